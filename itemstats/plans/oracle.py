@@ -8,7 +8,7 @@ rounded to 6 decimals on both sides.
 
 from __future__ import annotations
 
-from itemstats.sources.fixture import oracle
+from itemstats.sources.fixture import ORACLE_BATCHES, oracle
 
 _TOTALS = """
 pitems AS (SELECT paper_code, COUNT(DISTINCT item_id) AS n_items FROM items GROUP BY paper_code),
@@ -113,6 +113,237 @@ JOIN pitems k ON p.paper_code = k.paper_code""",
     )
 
 
+_GRID = """
+students AS (SELECT DISTINCT paper_code, create_time, stu_code, attempt FROM responses),
+grid AS (
+  SELECT s.paper_code, s.create_time, s.stu_code, s.attempt, i.item_id, i.kind, i.full_mark, r.score
+  FROM students s JOIN items i ON i.paper_code = s.paper_code
+  LEFT JOIN responses r ON r.paper_code = s.paper_code AND r.create_time = s.create_time
+       AND r.stu_code = s.stu_code AND r.attempt = s.attempt AND r.item_id = i.item_id)"""
+
+_LABELS = """
+labels AS (
+  SELECT paper_code, create_time, stu_code, attempt, item_id, score,
+    CASE WHEN (CASE WHEN kind = 'objective' THEN score > 0 ELSE score > full_mark / 2.0 END) THEN 't' ELSE 'f' END AS label
+  FROM grid)"""
+
+_KL = """
+kl AS (SELECT k.paper_code, k.kl_id, i.item_id, i.full_mark
+       FROM (SELECT DISTINCT paper_code, kl_id, item_id FROM item_knowledge) k
+       JOIN items i ON i.paper_code = k.paper_code AND i.item_id = k.item_id),
+klp AS (SELECT paper_code, kl_id, COUNT(*) AS n_kl, CAST(SUM(full_mark) AS INT) AS full_mark FROM kl GROUP BY paper_code, kl_id),
+ks AS (
+  SELECT g.paper_code, g.create_time, g.stu_code, g.attempt, kl.kl_id,
+    CAST(CASE WHEN COUNT(g.score) = MAX(p.n_kl) THEN SUM(g.score) END AS INT) AS kl_score, MAX(p.full_mark) AS full_mark
+  FROM grid g JOIN kl ON kl.paper_code = g.paper_code AND kl.item_id = g.item_id
+  JOIN klp p ON p.paper_code = kl.paper_code AND p.kl_id = kl.kl_id
+  GROUP BY g.paper_code, g.create_time, g.stu_code, g.attempt, kl.kl_id),
+kls AS (
+  SELECT *, CASE WHEN kl_score >= full_mark / 2.0 THEN 'h' WHEN kl_score < full_mark / 2.0 THEN 'l' END AS label FROM ks)"""
+
+
+def _nb(support: float) -> str:
+    return f"""
+nb AS (SELECT paper_code, create_time, COUNT(*) AS n, CAST(CEIL(CAST({support} AS DOUBLE) * COUNT(*)) AS BIGINT) AS mc
+       FROM students GROUP BY paper_code, create_time)"""
+
+
+_SAME = "a.paper_code = b.paper_code AND a.create_time = b.create_time AND a.stu_code = b.stu_code AND a.attempt = b.attempt"
+_STU = "paper_code, create_time, stu_code, attempt"
+
+
+def responses_long() -> str:
+    return oracle("SELECT paper_code, create_time, stu_code, attempt, section, item_id, score FROM responses")
+
+
+def blueprint_items() -> str:
+    return oracle("SELECT paper_code, section, kind, item_id, full_mark FROM items")
+
+
+def responses_complete() -> str:
+    return oracle(f"SELECT {_STU}, item_id, score FROM grid", _GRID)
+
+
+def responses_marked() -> str:
+    return oracle("""SELECT r.paper_code, r.create_time, r.stu_code, r.attempt, r.section, r.item_id, r.score, i.kind, i.full_mark
+FROM responses r JOIN items i ON r.paper_code = i.paper_code AND r.item_id = i.item_id""")
+
+
+def select_batch() -> str:
+    return oracle(
+        """SELECT r.paper_code, r.submit_time,
+  COALESCE((SELECT MIN(f.ts) FROM files f WHERE f.paper_code = r.paper_code AND f.ts >= r.submit_time),
+           (SELECT MAX(f.ts) FROM files f WHERE f.paper_code = r.paper_code)) AS create_time
+FROM requests r""",
+        ORACLE_BATCHES,
+    )
+
+
+def item_labels() -> str:
+    return oracle(f"SELECT {_STU}, item_id, score, label, CAST(item_id AS VARCHAR) || label AS tag FROM labels", _GRID, _LABELS)
+
+
+_EXTREME = "(nandu > 0.7 OR nandu < 0.45)"
+
+
+def extreme_items() -> str:
+    return oracle(
+        f"SELECT paper_code, create_time, item_id, ROUND(nandu, 6) AS nandu FROM ii WHERE {_EXTREME}",
+        _TOTALS, _groups("propagate"), _ITEM_INDEX,
+    )
+
+
+def kept_items() -> str:
+    return oracle(
+        f"SELECT paper_code, create_time, item_id FROM ii WHERE NOT COALESCE({_EXTREME}, FALSE)",
+        _TOTALS, _groups("propagate"), _ITEM_INDEX,
+    )
+
+
+def knowledge_full_marks() -> str:
+    return oracle(
+        """SELECT paper_code, kl_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS kl_items,
+  CAST(SUM(full_mark) AS INT) AS full_mark FROM kl GROUP BY paper_code, kl_id""",
+        _GRID, _KL, knowledge=True,
+    )
+
+
+def knowledge_scores() -> str:
+    return oracle(f"SELECT {_STU}, kl_id, kl_score, full_mark FROM ks", _GRID, _KL, knowledge=True)
+
+
+def knowledge_labels() -> str:
+    return oracle(
+        f"SELECT {_STU}, kl_id, kl_score, full_mark, label, CAST(kl_id AS VARCHAR) || label AS tag FROM kls",
+        _GRID, _KL, knowledge=True,
+    )
+
+
+def item_transactions() -> str:
+    return oracle(
+        f"""SELECT {_STU}, string_agg(CAST(item_id AS VARCHAR) || label, ',' ORDER BY CAST(item_id AS VARCHAR) || label) AS items
+FROM labels GROUP BY {_STU}""",
+        _GRID, _LABELS,
+    )
+
+
+def knowledge_transactions() -> str:
+    return oracle(
+        f"""SELECT {_STU}, COALESCE(string_agg(CAST(kl_id AS VARCHAR) || label, ',' ORDER BY CAST(kl_id AS VARCHAR) || label), '') AS items
+FROM kls GROUP BY {_STU}""",
+        _GRID, _KL, knowledge=True,
+    )
+
+
+def frequent_itemsets_le3(support: float = 0.3) -> str:
+    tx = f"""
+tx AS (SELECT {_STU}, CAST(item_id AS VARCHAR) || label AS tag FROM labels),
+s1 AS (SELECT paper_code, create_time, tag AS items, COUNT(*) AS freq FROM tx GROUP BY paper_code, create_time, tag),
+s2 AS (SELECT a.paper_code, a.create_time, a.tag || ',' || b.tag AS items, COUNT(*) AS freq
+       FROM tx a JOIN tx b ON {_SAME} AND a.tag < b.tag GROUP BY 1, 2, 3),
+s3 AS (SELECT a.paper_code, a.create_time, a.tag || ',' || b.tag || ',' || c.tag AS items, COUNT(*) AS freq
+       FROM tx a JOIN tx b ON {_SAME} AND a.tag < b.tag
+       JOIN tx c ON a.paper_code = c.paper_code AND a.create_time = c.create_time AND a.stu_code = c.stu_code
+                 AND a.attempt = c.attempt AND b.tag < c.tag
+       GROUP BY 1, 2, 3)"""
+    return oracle(
+        """SELECT s.paper_code, s.create_time, s.items, s.freq
+FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3) s
+JOIN nb ON nb.paper_code = s.paper_code AND nb.create_time = s.create_time WHERE s.freq >= nb.mc""",
+        _GRID, _LABELS, _nb(support), tx,
+    )
+
+
+def _rules_1(tx: str, support: float, confidence: float, order: bool, *ctes: str, knowledge: bool = False) -> str:
+    pairs = f"""
+txr AS ({tx}),
+f1 AS (SELECT paper_code, create_time, tag, COUNT(*) AS f FROM txr GROUP BY paper_code, create_time, tag),
+f2 AS (SELECT a.paper_code, a.create_time, a.tag AS ante, b.tag AS cons, COUNT(*) AS f
+       FROM txr a JOIN txr b ON {_SAME} AND a.tag <> b.tag GROUP BY 1, 2, 3, 4)"""
+    cond = ""
+    if order:
+        cond = (" AND CAST(regexp_extract(f2.ante, '^([0-9]+)', 1) AS INT)"
+                " < CAST(regexp_extract(f2.cons, '^([0-9]+)', 1) AS INT)")
+    conf = "CAST(f2.f AS DOUBLE) / fa.f"
+    return oracle(
+        f"""SELECT f2.paper_code, f2.create_time, f2.ante AS antecedent, f2.cons AS consequent,
+  ROUND({conf}, 6) AS confidence, ROUND(CAST(f2.f AS DOUBLE) / nb.n, 6) AS support,
+  ROUND(({conf}) / (CAST(fc.f AS DOUBLE) / nb.n), 6) AS lift
+FROM f2
+JOIN f1 fa ON fa.paper_code = f2.paper_code AND fa.create_time = f2.create_time AND fa.tag = f2.ante
+JOIN f1 fc ON fc.paper_code = f2.paper_code AND fc.create_time = f2.create_time AND fc.tag = f2.cons
+JOIN nb ON nb.paper_code = f2.paper_code AND nb.create_time = f2.create_time
+WHERE f2.f >= nb.mc AND {conf} >= {confidence}{cond}""",
+        *ctes, _nb(support), pairs, knowledge=knowledge,
+    )
+
+
+def item_rules_1(support: float = 0.3, confidence: float = 0.6) -> str:
+    tx = f"""SELECT l.paper_code, l.create_time, l.stu_code, l.attempt, CAST(l.item_id AS VARCHAR) || l.label AS tag
+  FROM labels l WHERE NOT EXISTS (
+    SELECT 1 FROM ii WHERE ii.paper_code = l.paper_code AND ii.create_time = l.create_time
+      AND ii.item_id = l.item_id AND (ii.nandu > 0.8 OR ii.nandu < 0.2))"""
+    return _rules_1(tx, support, confidence, False, _TOTALS, _groups("propagate"), _ITEM_INDEX, _GRID, _LABELS)
+
+
+def knowledge_rules_1(support: float = 0.45, confidence: float = 0.85) -> str:
+    tx = f"SELECT {_STU}, CAST(kl_id AS VARCHAR) || label AS tag FROM kls WHERE label IS NOT NULL"
+    return _rules_1(tx, support, confidence, True, _GRID, _KL, knowledge=True)
+
+
+def student_code_parts() -> str:
+    return oracle(
+        f"""SELECT {_STU}, gc, mc, cc, nc,
+  LPAD(CAST(gc AS VARCHAR), 2, '0') || LPAD(CAST(mc AS VARCHAR), 2, '0')
+  || LPAD(CAST(cc AS VARCHAR), 2, '0') || LPAD(CAST(nc AS VARCHAR), 2, '0') AS rebuilt
+FROM (SELECT {_STU}, TRY_CAST(SUBSTR(stu_code, 1, 2) AS INT) AS gc, TRY_CAST(SUBSTR(stu_code, 3, 2) AS INT) AS mc,
+             TRY_CAST(SUBSTR(stu_code, 5, 2) AS INT) AS cc, TRY_CAST(SUBSTR(stu_code, 7, 2) AS INT) AS nc
+      FROM students) p""",
+        _GRID,
+    )
+
+
+_BANDS = f"""
+comp AS (SELECT {_STU}, CAST(SUM(score) AS DOUBLE) AS s FROM grid GROUP BY {_STU} HAVING COUNT(score) = COUNT(*)),
+lim AS (SELECT paper_code, create_time, MIN(s) AS lo, MAX(s) AS hi FROM comp GROUP BY paper_code, create_time),
+band AS (SELECT c.paper_code, c.create_time, c.stu_code, c.attempt,
+                CAST(LEAST(3, FLOOR(4 * (c.s - l.lo) / (l.hi - l.lo + 1))) AS INT) AS cluster
+         FROM comp c JOIN lim l ON c.paper_code = l.paper_code AND c.create_time = l.create_time),
+bg AS (SELECT b.cluster, g.* FROM band b JOIN grid g ON b.paper_code = g.paper_code AND b.create_time = g.create_time
+         AND b.stu_code = g.stu_code AND b.attempt = g.attempt)"""
+
+
+def cluster_profile_given() -> str:
+    p = """
+pi AS (SELECT paper_code, create_time, cluster, item_id,
+              CAST(SUM(score) AS DOUBLE) / (MAX(full_mark) * COUNT(score)) AS p
+       FROM bg GROUP BY paper_code, create_time, cluster, item_id),
+lists AS (SELECT paper_code, create_time, cluster,
+  COALESCE(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) FILTER (WHERE p BETWEEN 0.7 AND 0.8), '') AS good_item,
+  COALESCE(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) FILTER (WHERE p BETWEEN 0.2 AND 0.3), '') AS bad_item
+  FROM pi GROUP BY paper_code, create_time, cluster)"""
+    return oracle(
+        """SELECT b.paper_code, b.create_time, b.stu_code, b.attempt, l.good_item, l.bad_item, b.cluster AS centers
+FROM band b JOIN lists l ON b.paper_code = l.paper_code AND b.create_time = l.create_time AND b.cluster = l.cluster""",
+        _GRID, _BANDS, p,
+    )
+
+
+def cluster_nearest_given() -> str:
+    d = f"""
+cent AS (SELECT paper_code, create_time, cluster, item_id, AVG(CAST(score AS DOUBLE)) AS c
+         FROM bg GROUP BY paper_code, create_time, cluster, item_id),
+d AS (SELECT g.paper_code, g.create_time, g.stu_code, g.attempt, c.cluster,
+             ROUND(SUM((g.score - c.c) * (g.score - c.c)), 9) AS dist
+      FROM bg g JOIN cent c ON c.paper_code = g.paper_code AND c.create_time = g.create_time AND c.item_id = g.item_id
+      GROUP BY g.paper_code, g.create_time, g.stu_code, g.attempt, c.cluster)"""
+    return oracle(
+        f"""SELECT {_STU}, cluster FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY {_STU} ORDER BY dist, cluster) AS rn FROM d) x WHERE rn = 1""",
+        _GRID, _BANDS, d,
+    )
+
+
 def registry() -> dict[str, str]:
     return {
         "total_score_propagate": total_score("propagate"),
@@ -124,4 +355,23 @@ def registry() -> dict[str, str]:
         "paper_index": paper_index("propagate"),
         "paper_index_zero": paper_index("zero"),
         "paper_index_rounded": paper_index("propagate", rounded=True),
+        "responses_long": responses_long(),
+        "blueprint_items": blueprint_items(),
+        "responses_complete": responses_complete(),
+        "responses_marked": responses_marked(),
+        "select_batch": select_batch(),
+        "item_labels": item_labels(),
+        "extreme_items": extreme_items(),
+        "kept_items": kept_items(),
+        "knowledge_full_marks": knowledge_full_marks(),
+        "knowledge_scores": knowledge_scores(),
+        "knowledge_labels": knowledge_labels(),
+        "item_transactions": item_transactions(),
+        "knowledge_transactions": knowledge_transactions(),
+        "frequent_itemsets_le3": frequent_itemsets_le3(),
+        "item_rules_1": item_rules_1(),
+        "knowledge_rules_1": knowledge_rules_1(),
+        "student_code_parts": student_code_parts(),
+        "cluster_profile_given": cluster_profile_given(),
+        "cluster_nearest_given": cluster_nearest_given(),
     }

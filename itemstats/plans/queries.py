@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from itemstats.operators import item_stats, paper_stats, reshape, totals
-from itemstats.schema import STUDENT_KEYS
-from itemstats.sources import fixture
+from itemstats.functions.students import code_parts, join_code
+from itemstats.operators import clusters, discretize, item_stats, knowledge, paper_stats, reshape, rules, totals
+from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
+from itemstats.sources import batches, fixture, responses as json_source, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +75,174 @@ def q_paper_index(mode: str, rounded: bool = False) -> Query:
     return run
 
 
+# Parameters of the registered rule queries.  At the reference's thresholds
+# (0.6 / 0.65 support, 0.85 confidence) the fixture has few or no rules, so the
+# checks run lower ones; the library defaults stay the reference's.
+ITEM_RULE_SUPPORT, ITEM_RULE_CONFIDENCE = 0.3, 0.6
+KL_RULE_SUPPORT, KL_RULE_CONFIDENCE = 0.45, 0.85
+ITEMSET_SUPPORT = 0.3
+# Extreme-item thresholds that remove items from this fixture (its difficulties lie in 0.40-0.74).
+EXTREME_LO, EXTREME_HI = 0.45, 0.7
+
+
+def q_responses_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture -> the reference's nested JSON lines -> parsed back to the long table."""
+    lines = fixture.as_json_lines(fixture.responses(spark, sf_dir))
+    return json_source.to_long(lines, create_time=F.col("create_time"))
+
+
+def q_blueprint_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bp = tables.wide_blueprint(fixture.wide_paper_item(spark, sf_dir))
+    return reshape.blueprint_items(bp)
+
+
+def q_responses_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items = _inputs(spark, sf_dir)
+    return reshape.complete(sheets, items)
+
+
+def q_responses_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = reshape.blueprint_items(fixture.blueprint(spark, sf_dir))
+    return reshape.attach_marks(fixture.responses(spark, sf_dir), items)
+
+
+def q_select_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files, requests = fixture.batch_requests(spark, sf_dir)
+    return batches.select_batch(batches.batch_files(files), requests)
+
+
+def q_item_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items = _inputs(spark, sf_dir)
+    return discretize.item_labels(sheets, items)
+
+
+def _item_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    sheets, items = _inputs(spark, sf_dir)
+    return sheets, items, item_stats.compute(sheets, items)
+
+
+def q_extreme_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, ii = _item_index(spark, sf_dir)
+    return round_doubles(discretize.extreme_items(ii, EXTREME_LO, EXTREME_HI))
+
+
+def q_kept_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, ii = _item_index(spark, sf_dir)
+    return discretize.kept_items(ii, EXTREME_LO, EXTREME_HI)
+
+
+def _kl(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    sheets, items = _inputs(spark, sf_dir)
+    ik = tables.read_item_knowledge(spark, fixture.item_knowledge(spark, sf_dir))
+    return sheets, items, ik
+
+
+def q_knowledge_full_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, items, ik = _kl(spark, sf_dir)
+    fm = knowledge.full_marks(ik, items)
+    return fm.select("paper_code", "kl_id", F.array_join("kl_items", ",").alias("kl_items"), "full_mark")
+
+
+def q_knowledge_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items, ik = _kl(spark, sf_dir)
+    return knowledge.scores(sheets, ik, items)
+
+
+def q_knowledge_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items, ik = _kl(spark, sf_dir)
+    return knowledge.labels(knowledge.scores(sheets, ik, items))
+
+
+def q_item_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items = _inputs(spark, sf_dir)
+    return rules.transactions_text(discretize.item_transactions(sheets, items))
+
+
+def q_knowledge_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items, ik = _kl(spark, sf_dir)
+    return rules.transactions_text(knowledge.transactions(sheets, ik, items))
+
+
+def q_frequent_itemsets_le3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items = _inputs(spark, sf_dir)
+    sets = rules.frequent_itemsets(discretize.item_transactions(sheets, items), ITEMSET_SUPPORT)
+    return sets.filter(F.size("items") <= 3).select(*BATCH_KEYS, F.array_join("items", ",").alias("items"), "freq")
+
+
+def _rule_rows(r: DataFrame) -> DataFrame:
+    return round_doubles(
+        r.select(
+            *BATCH_KEYS,
+            F.array_join("antecedent", ",").alias("antecedent"),
+            "consequent",
+            "confidence",
+            "support",
+            "lift",
+        )
+    )
+
+
+def _item_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items, ii = _item_index(spark, sf_dir)
+    return rules.item_rules(sheets, items, ii, ITEM_RULE_SUPPORT, ITEM_RULE_CONFIDENCE)
+
+
+def _knowledge_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items, ik = _kl(spark, sf_dir)
+    return rules.knowledge_rules(sheets, ik, items, KL_RULE_SUPPORT, KL_RULE_CONFIDENCE)
+
+
+def q_item_rules_1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rule_rows(_item_rules(spark, sf_dir).filter(F.size("antecedent") == 1))
+
+
+def q_knowledge_rules_1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rule_rows(_knowledge_rules(spark, sf_dir).filter(F.size("antecedent") == 1))
+
+
+def q_item_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rule_rows(_item_rules(spark, sf_dir))
+
+
+def q_knowledge_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rule_rows(_knowledge_rules(spark, sf_dir))
+
+
+def q_item_fpg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item rules in the reference's ``t_item_fpg`` shape."""
+    return round_doubles(rules.format_rules(_item_rules(spark, sf_dir)))
+
+
+def q_knowledge_fpg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Knowledge rules in the reference's ``t_item_fpg`` shape."""
+    return round_doubles(rules.format_rules(_knowledge_rules(spark, sf_dir)))
+
+
+def q_student_code_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, _ = _inputs(spark, sf_dir)
+    p = code_parts(sheets.select(*STUDENT_KEYS))
+    return p.withColumn("rebuilt", join_code(F.col("gc"), F.col("mc"), F.col("cc"), F.col("nc")))
+
+
+def q_cluster_profile_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items = _inputs(spark, sf_dir)
+    banded = clusters.score_bands(clusters.features(sheets, items), clusters.K)
+    return clusters.profile(banded, items)
+
+
+def q_cluster_nearest_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items = _inputs(spark, sf_dir)
+    feats = clusters.features(sheets, items)
+    cents = clusters.centroids(clusters.score_bands(feats, clusters.K))
+    return clusters.assign(feats, cents, digits=9).select(*STUDENT_KEYS, "cluster")
+
+
+def q_student_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items = _inputs(spark, sf_dir)
+    prof, _ = clusters.run(sheets, items)
+    return prof
+
+
 def registry() -> dict[str, Query]:
     return {
         "total_score_propagate": q_total_score("propagate"),
@@ -85,4 +254,28 @@ def registry() -> dict[str, Query]:
         "paper_index": q_paper_index("propagate"),
         "paper_index_zero": q_paper_index("zero"),
         "paper_index_rounded": q_paper_index("propagate", rounded=True),
+        "responses_long": q_responses_long,
+        "blueprint_items": q_blueprint_items,
+        "responses_complete": q_responses_complete,
+        "responses_marked": q_responses_marked,
+        "select_batch": q_select_batch,
+        "item_labels": q_item_labels,
+        "extreme_items": q_extreme_items,
+        "kept_items": q_kept_items,
+        "knowledge_full_marks": q_knowledge_full_marks,
+        "knowledge_scores": q_knowledge_scores,
+        "knowledge_labels": q_knowledge_labels,
+        "item_transactions": q_item_transactions,
+        "knowledge_transactions": q_knowledge_transactions,
+        "frequent_itemsets_le3": q_frequent_itemsets_le3,
+        "item_rules_1": q_item_rules_1,
+        "knowledge_rules_1": q_knowledge_rules_1,
+        "item_rules": q_item_rules,
+        "knowledge_rules": q_knowledge_rules,
+        "item_fpg": q_item_fpg,
+        "knowledge_fpg": q_knowledge_fpg,
+        "student_code_parts": q_student_code_parts,
+        "cluster_profile_given": q_cluster_profile_given,
+        "cluster_nearest_given": q_cluster_nearest_given,
+        "student_clusters": q_student_clusters,
     }

@@ -135,3 +135,54 @@ def oracle(body: str, *ctes: str, knowledge: bool = False) -> str:
         parts.append(ORACLE_KNOWLEDGE)
     parts.extend(ctes)
     return "WITH " + ",".join(parts) + "\n" + body
+
+
+def as_json_lines(responses: DataFrame) -> DataFrame:
+    """The reference's input format, one JSON line per sample (``value``), built from long responses:
+    ``{"stuCode":..,"paperCode":..,"item1":{"i1":2,..},..}``."""
+    keys = ["paper_code", "create_time", "stu_code", "attempt"]
+    sections = responses.groupBy(*keys, "section").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("i"), F.col("item_id").cast("string")), "score"))).alias("m")
+    )
+    sheets = sections.groupBy(*keys).agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("item"), F.col("section").cast("string")), "m")))).alias("j")
+    )
+    head = F.to_json(F.struct(F.col("stu_code").alias("stuCode"), F.col("paper_code").alias("paperCode")))
+    sheets = sheets.withColumn("h", head)
+    value = F.concat(F.col("h").substr(F.lit(1), F.length("h") - 1), F.lit(","), F.col("j").substr(F.lit(2), F.length("j")))
+    return sheets.select("create_time", value.alias("value"))
+
+
+def wide_paper_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's wide ``t_paper_item`` rows for every paper of the data."""
+    cols = [F.lit(len(LAYOUT)).alias("all_items"),
+            F.lit(sum(1 for _, k, _, _ in LAYOUT if k == OBJECTIVE)).alias("o_items"),
+            F.lit(sum(1 for _, k, _, _ in LAYOUT if k == SUBJECTIVE)).alias("s_items")]
+    cols += [F.lit(q).alias(f"part{s}_qty") for s, _, q, _ in LAYOUT]
+    cols += [F.lit(m).alias(f"part{s}_mark") for s, _, _, m in LAYOUT]
+    return papers(spark, sf_dir).select("paper_code", *cols)
+
+
+def batch_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Batch files and requests derived from orders: a finished order is a landed file
+    ``data.<orderkey>`` of its customer's paper, an open order a request at that key."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    cust = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    j = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
+        F.col("c_mktsegment").alias("paper_code"),
+        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("key"),
+        "o_orderstatus",
+    )
+    files = j.filter(F.col("o_orderstatus") == "F").select(
+        "paper_code", F.col("key").alias("ts"),
+        F.concat(F.lit("/landing/"), F.col("paper_code"), F.lit("/data."), F.col("key")).alias("path"),
+    )
+    requests = j.filter(F.col("o_orderstatus") == "O").select("paper_code", F.col("key").alias("submit_time"))
+    return files, requests
+
+
+ORACLE_BATCHES = """
+ordp AS (SELECT c.c_mktsegment AS paper_code, LPAD(CAST(o.o_orderkey AS VARCHAR), 12, '0') AS k, o.o_orderstatus AS st
+         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+files AS (SELECT paper_code, k AS ts FROM ordp WHERE st = 'F'),
+requests AS (SELECT paper_code, k AS submit_time FROM ordp WHERE st = 'O')"""
