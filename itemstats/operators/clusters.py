@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from itemstats.functions.sizing import small_side
 from itemstats.functions.students import PARTS, code_parts
 from itemstats.operators.reshape import cell, with_papers
 from itemstats.session import ensure_checkpoint_dir
@@ -56,7 +57,7 @@ def score_bands(df: DataFrame, k: int = K, score: Column | None = None) -> DataF
     ``least(k-1, floor(k * (s - min) / (max - min + 1)))``."""
     s = score if score is not None else F.aggregate("scores", F.lit(0.0), lambda a, x: a + x)
     df = df.withColumn("_s", s)
-    lim = df.groupBy(*BATCH_KEYS).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
+    lim = small_side(df.groupBy(*BATCH_KEYS).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi")))
     band = F.floor(F.lit(k) * (F.col("_s") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1))
     return df.join(lim, BATCH_KEYS).withColumn("cluster", F.least(F.lit(k - 1), band).cast("int")).drop(
         "_s", "_lo", "_hi"
@@ -80,7 +81,7 @@ def _sqdist(x: Column, c: Column) -> Column:
 def assign(feats: DataFrame, cents: DataFrame, vec: str = "features", digits: int | None = None) -> DataFrame:
     """Add ``cluster`` and ``distance`` (squared Euclidean) of the nearest centroid of the batch;
     ties go to the smaller cluster id.  ``digits`` rounds distances before the choice."""
-    per_batch = cents.groupBy(*BATCH_KEYS).agg(F.collect_list(F.struct("cluster", "center")).alias("_cs"))
+    per_batch = small_side(cents.groupBy(*BATCH_KEYS).agg(F.collect_list(F.struct("cluster", "center")).alias("_cs")))
 
     def dist(c: Column) -> Column:
         d = _sqdist(F.col(vec), c["center"])
@@ -121,7 +122,7 @@ def relabel(assigned: DataFrame) -> DataFrame:
     s = F.aggregate("scores", F.lit(0.0), lambda a, x: a + x)
     stats = assigned.withColumn("_s", s).groupBy(*BATCH_KEYS, "cluster").agg(F.avg("_s").alias("_mean"))
     order = Window.partitionBy(*BATCH_KEYS).orderBy("_mean", "cluster")  # at most k rows per batch
-    mapping = stats.withColumn("_new", (F.row_number().over(order) - 1).cast("int")).drop("_mean")
+    mapping = small_side(stats.withColumn("_new", (F.row_number().over(order) - 1).cast("int")).drop("_mean"))
     return assigned.join(mapping, [*BATCH_KEYS, "cluster"]).withColumn("cluster", F.col("_new")).drop("_new")
 
 
@@ -148,7 +149,7 @@ def profile(assigned: DataFrame, items: DataFrame, good: tuple[float, float] = G
             F.array_sort(F.collect_list(F.when(F.col("_p").between(lo, hi), F.col("item_id")))).cast("array<string>"), ","
         )
 
-    lists = p.groupBy(*BATCH_KEYS, "cluster").agg(ids(*good).alias("good_item"), ids(*bad).alias("bad_item"))
+    lists = small_side(p.groupBy(*BATCH_KEYS, "cluster").agg(ids(*good).alias("good_item"), ids(*bad).alias("bad_item")))
     return assigned.select(*STUDENT_KEYS, "cluster").join(lists, [*BATCH_KEYS, "cluster"]).select(
         *STUDENT_KEYS, "good_item", "bad_item", F.col("cluster").alias("centers")
     )

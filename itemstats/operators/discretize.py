@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemstats.functions.labels import item_label, tag
+from itemstats.functions.sizing import small_side
 from itemstats.operators.reshape import cell
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 
 
 def _item_meta(items: DataFrame) -> DataFrame:
     """Per paper, its items as an ascending array of ``(item_id, kind, full_mark)``."""
-    return items.groupBy("paper_code").agg(
-        F.array_sort(F.collect_list(F.struct("item_id", "kind", "full_mark"))).alias("_items")
+    return small_side(
+        items.groupBy("paper_code").agg(
+            F.array_sort(F.collect_list(F.struct("item_id", "kind", "full_mark"))).alias("_items")
+        )
     )
 
 
@@ -52,7 +55,7 @@ def item_transactions(sheets: DataFrame, items: DataFrame, drop: DataFrame | Non
     """
     s = sheets.join(_item_meta(items), "paper_code")
     if drop is not None:
-        bad = drop.groupBy(*BATCH_KEYS).agg(F.collect_set("item_id").alias("_drop"))
+        bad = small_side(drop.groupBy(*BATCH_KEYS).agg(F.collect_set("item_id").alias("_drop")))
         s = s.join(bad, BATCH_KEYS, "left")
         keep = F.filter("_items", lambda it: ~F.coalesce(F.array_contains(F.col("_drop"), it["item_id"]), F.lit(False)))
     else:

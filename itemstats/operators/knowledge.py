@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemstats.functions.labels import knowledge_label, tag
+from itemstats.functions.sizing import small_side
 from itemstats.operators.reshape import cell
 from itemstats.schema import STUDENT_KEYS
 
@@ -28,8 +29,10 @@ def full_marks(item_knowledge: DataFrame, items: DataFrame) -> DataFrame:
 
 def points_by_paper(item_knowledge: DataFrame, items: DataFrame) -> DataFrame:
     """Per paper, its knowledge points as an array of ``(kl_id, kl_items, full_mark)`` ascending by id."""
-    return full_marks(item_knowledge, items).groupBy("paper_code").agg(
-        F.array_sort(F.collect_list(F.struct("kl_id", "kl_items", "full_mark"))).alias("_points")
+    return small_side(
+        full_marks(item_knowledge, items).groupBy("paper_code").agg(
+            F.array_sort(F.collect_list(F.struct("kl_id", "kl_items", "full_mark"))).alias("_points")
+        )
     )
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from itemstats.functions.sizing import small_side
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 
 
@@ -64,9 +65,9 @@ def answer_sheets(responses: DataFrame) -> DataFrame:
 
 def with_papers(sheets: DataFrame, items: DataFrame) -> DataFrame:
     """Attach each sheet's paper item list (``item_ids``, ``n_items``); papers absent from
-    the blueprint are dropped.  The paper side is one row per paper, so the planner
-    broadcasts it when it is small and AQE splits a hot paper when it is not."""
-    return sheets.join(paper_items(items), "paper_code")
+    the blueprint are dropped.  The paper side (one row per paper) is broadcast
+    after a size check, so the sheets are never shuffled by paper, a hot key."""
+    return sheets.join(small_side(paper_items(items)), "paper_code")
 
 
 def cell(cells: Column, item_id: Column) -> Column:

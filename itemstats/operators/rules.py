@@ -16,6 +16,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from itemstats.functions.sizing import small_side
 from itemstats.operators import discretize, knowledge
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 
@@ -44,7 +45,7 @@ def frequent_itemsets(transactions: DataFrame, min_support: float, num_partition
     ``transactions(paper_code, create_time, ..., items array<string>)`` holds one
     row per sample with distinct labels.
     """
-    sizes = batch_sizes(transactions, min_support)
+    sizes = small_side(batch_sizes(transactions, min_support))
     classes = sizes.groupBy("size_class").agg(
         F.sum("n").alias("total"), F.min("min_count").alias("lowest")
     ).collect()  # at most 64 rows: one per power of two of the batch size

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from itemstats.functions.sizing import small_side
 from itemstats.operators.ranking import rank_in_group
 from itemstats.operators.reshape import cell, with_papers
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
@@ -75,7 +76,9 @@ def high_low_groups(totals: DataFrame, fraction: float = GROUP_FRACTION) -> Data
     t = totals.withColumn("_tnull", F.col("total_score").isNull()).withColumn(
         "_tval", F.coalesce(F.col("total_score"), F.lit(0))
     )
-    hist = _histogram(t, fraction).select(*BATCH_KEYS, "_tnull", "_tval", "n", "pg", "_cnt", "_take_hi", "_take_lo")
+    hist = small_side(
+        _histogram(t, fraction).select(*BATCH_KEYS, "_tnull", "_tval", "n", "pg", "_cnt", "_take_hi", "_take_lo")
+    )
     full = t.join(hist, [*BATCH_KEYS, "_tnull", "_tval"])
     partial = ((F.col("_take_hi") > 0) & (F.col("_take_hi") < F.col("_cnt"))) | (
         (F.col("_take_lo") > 0) & (F.col("_take_lo") < F.col("_cnt"))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from itemstats.functions.students import code_parts, join_code
 from itemstats.operators import clusters, discretize, item_stats, knowledge, paper_stats, reshape, rules, totals
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
+from itemstats.session import ensure_checkpoint_dir
 from itemstats.sources import batches, fixture, responses as json_source, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,9 +33,11 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Answer sheets (checkpointed: every branch of a query reads them) and blueprint items."""
     responses = fixture.responses(spark, sf_dir)
     items = reshape.blueprint_items(fixture.blueprint(spark, sf_dir))
-    return reshape.answer_sheets(responses), items
+    ensure_checkpoint_dir(spark)
+    return reshape.answer_sheets(responses).checkpoint(), items
 
 
 def q_total_score(mode: str) -> Query:
