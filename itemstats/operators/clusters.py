@@ -6,10 +6,12 @@ nearest-centroid choice inside the row, and one ``groupBy(batch, cluster,
 position)`` with partial aggregation for the new centroids.  Nothing is
 collected; the centroid table is checkpointed every step to cut lineage.
 
-Initial centroids are deterministic: the means of ``k`` equal-width bands of
-the students' score sums within the batch (the reference used MLlib's random
-k-means|| seeding, so its labels changed from run to run, D13).  Clusters are
-finally numbered by ascending mean score.
+Seeding is k-means++ per batch, also as aggregation: each next seed is the
+student with the largest ``ln(u) / d^2`` (weighted sampling by squared
+distance to the seeds so far), where ``u`` is a hash of the student key and
+the seed, so the choice is reproducible and independent of partitioning.  The
+reference used MLlib's randomly seeded k-means||, so its clusters changed from
+run to run (D13).  Clusters are finally numbered by ascending mean score.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from itemstats.operators.reshape import cell, with_papers
 from itemstats.session import ensure_checkpoint_dir
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 
-K, MAX_ITER, TOL = 4, 20, 1e-4
+K, MAX_ITER, TOL, SEED = 4, 20, 1e-4, 42
 GOOD, BAD = (0.7, 0.8), (0.2, 0.3)
 
 
@@ -95,7 +97,34 @@ def assign(feats: DataFrame, cents: DataFrame, vec: str = "features", digits: in
     )
 
 
-def fit(feats: DataFrame, k: int = K, max_iter: int = MAX_ITER, tol: float = TOL) -> DataFrame:
+def _uniform(seed: int, step: int) -> Column:
+    """A reproducible uniform number in (0, 1) per sample, seed and step."""
+    h = F.xxhash64(F.col("stu_code"), F.col("attempt"), F.lit(seed), F.lit(step))
+    return (F.pmod(h, F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
+
+
+def seeds(feats: DataFrame, k: int = K, seed: int = SEED, vec: str = "features") -> DataFrame:
+    """k-means++ seeding for every batch at once: ``(paper_code, create_time, cluster, center)``.
+
+    Each step is one pass: distance of every sample to the nearest seed so far,
+    then ``max_by(features, ln(u) / d^2)`` per batch (partial aggregation, no
+    batch gathered in one task).  Samples equal to a seed are never picked, so
+    a batch with fewer than ``k`` distinct points gets fewer seeds.
+    """
+    first = feats.withColumn("_key", _uniform(seed, 0)).groupBy(*BATCH_KEYS).agg(
+        F.max_by(vec, "_key").alias("center")
+    )
+    cents = first.withColumn("cluster", F.lit(0)).checkpoint()
+    for j in range(1, k):
+        d = assign(feats, cents, vec).filter(F.col("distance") > 0)
+        nxt = d.withColumn("_key", F.log(_uniform(seed, j)) / F.col("distance")).groupBy(*BATCH_KEYS).agg(
+            F.max_by(vec, "_key").alias("center")
+        )
+        cents = cents.unionByName(nxt.withColumn("cluster", F.lit(j))).checkpoint()
+    return cents
+
+
+def fit(feats: DataFrame, k: int = K, max_iter: int = MAX_ITER, tol: float = TOL, seed: int = SEED) -> DataFrame:
     """Lloyd's k-means per batch; returns the centroids ``(batch, cluster, center, size)``.
 
     Stops when no centroid moves more than ``tol`` (Euclidean) or after
@@ -103,7 +132,7 @@ def fit(feats: DataFrame, k: int = K, max_iter: int = MAX_ITER, tol: float = TOL
     session's ``spark.checkpoint.dir``.
     """
     ensure_checkpoint_dir(feats.sparkSession)
-    cents = centroids(score_bands(feats, k)).checkpoint()
+    cents = seeds(feats, k, seed)
     for _ in range(max_iter):
         new = centroids(assign(feats, cents)).checkpoint()
         moved = new.join(cents.select(*BATCH_KEYS, "cluster", F.col("center").alias("_old")), [*BATCH_KEYS, "cluster"], "left")
@@ -156,11 +185,11 @@ def profile(assigned: DataFrame, items: DataFrame, good: tuple[float, float] = G
 
 
 def run(sheets: DataFrame, items: DataFrame, k: int = K, max_iter: int = MAX_ITER, tol: float = TOL,
-        include_code: bool = False) -> tuple[DataFrame, DataFrame]:
+        include_code: bool = False, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """Features -> k-means -> relabelled assignment -> profile.  Returns ``(profile, assigned)``."""
     ensure_checkpoint_dir(sheets.sparkSession)
     feats = features(sheets, items, include_code).checkpoint()
-    cents = fit(feats, k, max_iter, tol)
+    cents = fit(feats, k, max_iter, tol, seed)
     assigned = relabel(assign(feats, cents))
     return profile(assigned, items), assigned
 

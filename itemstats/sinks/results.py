@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from itemstats.schema import BATCH_KEYS
 
@@ -74,7 +75,15 @@ def write_result(df: DataFrame, target: str, as_table: bool = False) -> None:
 def read_result(spark: SparkSession, target: str, paper_code: str | None = None,
                 create_time: str | None = None, as_table: bool = False) -> DataFrame:
     """Read a result back, pruned to one paper / batch when given (partition filters)."""
-    df = spark.table(target) if as_table else spark.read.parquet(target)
+    if as_table:
+        df = spark.table(target)
+    else:
+        # batch keys are strings: keep "0123" as written instead of inferring a number
+        found = spark.read.parquet(target).schema
+        schema = T.StructType(
+            [T.StructField(f.name, T.StringType()) if f.name in BATCH_KEYS else f for f in found.fields]
+        )
+        df = spark.read.schema(schema).parquet(target)
     if paper_code is not None:
         df = df.where(F.col("paper_code") == F.lit(str(paper_code)))
     if create_time is not None:
