@@ -9,6 +9,7 @@ from itemstats.functions.sizing import small_side
 from itemstats.operators.ranking import rank_in_group
 from itemstats.operators.reshape import cell, with_papers
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
+from itemstats.session import ensure_checkpoint_dir
 
 GROUP_FRACTION = 0.27
 MISSING_MODES = ("propagate", "zero")
@@ -71,8 +72,11 @@ def high_low_groups(totals: DataFrame, fraction: float = GROUP_FRACTION) -> Data
     No global sort and no window over a whole batch: a histogram of totals fixes
     the cut score of each batch; samples strictly inside the cut are settled
     directly and only those *at* the cut score are ranked, with
-    :func:`rank_in_group`, which stays distributed even under mass ties.
+    :func:`rank_in_group`, which stays distributed even under mass ties.  The
+    ranks come back by a broadcast join when they are few (the usual case) and
+    by a shuffle join on the sample key otherwise; the sheets are read once.
     """
+    ensure_checkpoint_dir(totals.sparkSession)
     t = totals.withColumn("_tnull", F.col("total_score").isNull()).withColumn(
         "_tval", F.coalesce(F.col("total_score"), F.lit(0))
     )
@@ -83,19 +87,19 @@ def high_low_groups(totals: DataFrame, fraction: float = GROUP_FRACTION) -> Data
     partial = ((F.col("_take_hi") > 0) & (F.col("_take_hi") < F.col("_cnt"))) | (
         (F.col("_take_lo") > 0) & (F.col("_take_lo") < F.col("_cnt"))
     )
-    settled = (
-        full.filter(~partial)
-        .withColumn("is_high", F.col("_take_hi") > 0)
-        .withColumn("is_low", F.col("_take_lo") > 0)
-    )
     tie_key = F.concat(F.col("stu_code"), F.lit("\u0001"), F.lpad(F.col("attempt").cast("string"), 10, "0"))
-    ranked = (
-        rank_in_group(full.filter(partial), [*BATCH_KEYS, "_tnull", "_tval"], tie_key, "_rank")
-        .withColumn("is_high", F.col("_rank") < F.col("_take_hi"))
-        .withColumn("is_low", F.col("_rank") < F.col("_take_lo"))
-        .drop("_rank")
+    ties = full.filter(partial).select(*STUDENT_KEYS, "_tnull", "_tval", tie_key.alias("_tie")).checkpoint()
+    ranks = small_side(
+        rank_in_group(ties, [*BATCH_KEYS, "_tnull", "_tval"], F.col("_tie"), "_rank").select(*STUDENT_KEYS, "_rank")
+    )
+    # samples off the cut score have no rank: their bucket is wholly in (take = cnt) or out (take = 0)
+    flagged = full.join(ranks, STUDENT_KEYS, "left")
+    rank = F.col("_rank")
+    return (
+        flagged.withColumn("is_high", F.when(rank.isNull(), F.col("_take_hi") > 0).otherwise(rank < F.col("_take_hi")))
+        .withColumn("is_low", F.when(rank.isNull(), F.col("_take_lo") > 0).otherwise(rank < F.col("_take_lo")))
+        .drop("_tnull", "_tval", "_cnt", "_take_hi", "_take_lo", "_rank")
     )
-    return settled.unionByName(ranked).drop("_tnull", "_tval", "_cnt", "_take_hi", "_take_lo")
 
 
 def score_totals(sheets: DataFrame, items: DataFrame, missing: str = "propagate") -> DataFrame:
