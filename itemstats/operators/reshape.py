@@ -51,6 +51,15 @@ def attach_marks(responses: DataFrame, items: DataFrame) -> DataFrame:
     return responses.join(marks, ["paper_code", "item_id"])
 
 
+def latest_attempt(responses: DataFrame) -> DataFrame:
+    """Keep only each student's last attempt in a batch (D22 ``dedupe="last"``); by default every
+    attempt is a sample, as in the reference.  The window holds one student's rows."""
+    per_student = Window.partitionBy(*BATCH_KEYS, "stu_code")
+    return responses.withColumn("_last", F.max("attempt").over(per_student)).filter(
+        F.col("attempt") == F.col("_last")
+    ).drop("_last")
+
+
 def answer_sheets(responses: DataFrame) -> DataFrame:
     """Gather the long responses into one row per sample.
 

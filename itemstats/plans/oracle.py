@@ -254,16 +254,18 @@ JOIN nb ON nb.paper_code = s.paper_code AND nb.create_time = s.create_time WHERE
     )
 
 
-def _rules_1(tx: str, support: float, confidence: float, order: bool, *ctes: str, knowledge: bool = False) -> str:
+def _rules_1(tx: str, support: float, confidence: float, order: str | None, *ctes: str, knowledge: bool = False) -> str:
     pairs = f"""
 txr AS ({tx}),
 f1 AS (SELECT paper_code, create_time, tag, COUNT(*) AS f FROM txr GROUP BY paper_code, create_time, tag),
 f2 AS (SELECT a.paper_code, a.create_time, a.tag AS ante, b.tag AS cons, COUNT(*) AS f
        FROM txr a JOIN txr b ON {_SAME} AND a.tag <> b.tag GROUP BY 1, 2, 3, 4)"""
     cond = ""
-    if order:
+    if order == "int":
         cond = (" AND CAST(regexp_extract(f2.ante, '^([0-9]+)', 1) AS INT)"
                 " < CAST(regexp_extract(f2.cons, '^([0-9]+)', 1) AS INT)")
+    elif order == "string":
+        cond = " AND regexp_extract(f2.ante, '^([0-9]+)', 1) < regexp_extract(f2.cons, '^([0-9]+)', 1)"
     conf = "CAST(f2.f AS DOUBLE) / fa.f"
     return oracle(
         f"""SELECT f2.paper_code, f2.create_time, f2.ante AS antecedent, f2.cons AS consequent,
@@ -283,12 +285,23 @@ def item_rules_1(support: float = 0.3, confidence: float = 0.6) -> str:
   FROM labels l WHERE NOT EXISTS (
     SELECT 1 FROM ii WHERE ii.paper_code = l.paper_code AND ii.create_time = l.create_time
       AND ii.item_id = l.item_id AND (ii.nandu > 0.8 OR ii.nandu < 0.2))"""
-    return _rules_1(tx, support, confidence, False, _TOTALS, _groups("propagate"), _ITEM_INDEX, _GRID, _LABELS)
+    return _rules_1(tx, support, confidence, None, _TOTALS, _groups("propagate"), _ITEM_INDEX, _GRID, _LABELS)
 
 
-def knowledge_rules_1(support: float = 0.45, confidence: float = 0.85) -> str:
+def knowledge_rules_1(support: float = 0.45, confidence: float = 0.85, compare: str = "int") -> str:
     tx = f"SELECT {_STU}, CAST(kl_id AS VARCHAR) || label AS tag FROM kls WHERE label IS NOT NULL"
-    return _rules_1(tx, support, confidence, True, _GRID, _KL, knowledge=True)
+    return _rules_1(tx, support, confidence, compare, _GRID, _KL, knowledge=True)
+
+
+def incomplete_sheets() -> str:
+    return oracle(f"SELECT {_STU} FROM grid GROUP BY {_STU} HAVING COUNT(score) < COUNT(*)", _GRID)
+
+
+def latest_attempt() -> str:
+    return oracle("""SELECT r.* FROM responses r
+JOIN (SELECT paper_code, create_time, stu_code, MAX(attempt) AS a FROM responses
+      GROUP BY paper_code, create_time, stu_code) m
+  ON r.paper_code = m.paper_code AND r.create_time = m.create_time AND r.stu_code = m.stu_code AND r.attempt = m.a""")
 
 
 def student_code_parts() -> str:
@@ -371,6 +384,9 @@ def registry() -> dict[str, str]:
         "frequent_itemsets_le3": frequent_itemsets_le3(),
         "item_rules_1": item_rules_1(),
         "knowledge_rules_1": knowledge_rules_1(),
+        "knowledge_rules_1_text": knowledge_rules_1(compare="string"),
+        "incomplete_sheets": incomplete_sheets(),
+        "latest_attempt": latest_attempt(),
         "student_code_parts": student_code_parts(),
         "cluster_profile_given": cluster_profile_given(),
         "cluster_nearest_given": cluster_nearest_given(),

@@ -203,6 +203,22 @@ def q_knowledge_rules_1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rule_rows(_knowledge_rules(spark, sf_dir).filter(F.size("antecedent") == 1))
 
 
+def q_knowledge_rules_1_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-item knowledge rules under the reference's text comparison of ids."""
+    sheets, items, ik = _kl(spark, sf_dir)
+    r = rules.knowledge_rules(sheets, ik, items, KL_RULE_SUPPORT, KL_RULE_CONFIDENCE, compare="string")
+    return _rule_rows(r.filter(F.size("antecedent") == 1))
+
+
+def q_incomplete_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items = _inputs(spark, sf_dir)
+    return clusters.incomplete(sheets, items)
+
+
+def q_latest_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reshape.latest_attempt(fixture.responses(spark, sf_dir))
+
+
 def q_item_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rule_rows(_item_rules(spark, sf_dir))
 
@@ -273,6 +289,9 @@ def registry() -> dict[str, Query]:
         "frequent_itemsets_le3": q_frequent_itemsets_le3,
         "item_rules_1": q_item_rules_1,
         "knowledge_rules_1": q_knowledge_rules_1,
+        "knowledge_rules_1_text": q_knowledge_rules_1_text,
+        "incomplete_sheets": q_incomplete_sheets,
+        "latest_attempt": q_latest_attempt,
         "item_rules": q_item_rules,
         "knowledge_rules": q_knowledge_rules,
         "item_fpg": q_item_fpg,

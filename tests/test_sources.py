@@ -34,6 +34,9 @@ def test_json_to_long(spark):
     assert not any(x[2] == "01020305" and x[5] == 2 for x in rows)            # missing item: no row
     assert {x[3] for x in rows if x[2] == "01020304"} == {1, 2}               # a repeated student: two attempts
     assert len(rows) == 3 + 2 + 3
+    last = reshape.latest_attempt(r)
+    assert sorted((x.stu_code, x.attempt) for x in last.collect()) == [
+        ("01020304", 2), ("01020304", 2), ("01020304", 2), ("01020305", 1), ("01020305", 1)]
     items = reshape.blueprint_items(
         spark.createDataFrame([("77", 1, "objective", 2, 2), ("77", 2, "subjective", 1, 5)],
                               "paper_code string, section int, kind string, qty int, full_mark int"))
