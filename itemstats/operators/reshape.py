@@ -64,14 +64,24 @@ def answer_sheets(responses: DataFrame) -> DataFrame:
     """Gather the long responses into one row per sample.
 
     ``sheets(paper_code, create_time, stu_code, attempt, cells map<int,int>)``;
-    the only shuffle of the long table.  ``responses`` holds at most one row per
-    (sample, item) (``to_long`` and the fixture guarantee it).
+    the only shuffle of the long table.
     """
     return responses.groupBy(*STUDENT_KEYS).agg(
-        F.map_from_entries(F.collect_list(F.struct("item_id", "score"))).alias("cells")
+        unique_cells(F.collect_list(F.struct("item_id", "score"))).alias("cells")
     )
 
 
+def unique_cells(entries: Column) -> Column:
+    """``array<struct<item_id, score>>`` -> ``map<item_id, score>``; an item given twice on one
+    sheet keeps one value (the lower score) instead of failing the job."""
+    ordered = F.array_sort(entries)
+    kept = F.filter(
+        ordered,
+        lambda e, i: F.when(i == 0, F.lit(True)).otherwise(e["item_id"] != ordered[i - 1]["item_id"]),
+    )
+    return F.map_from_entries(kept)
+
+
 def with_papers(sheets: DataFrame, items: DataFrame) -> DataFrame:
     """Attach each sheet's paper item list (``item_ids``, ``n_items``); papers absent from
     the blueprint are dropped.  The paper side (one row per paper) is broadcast

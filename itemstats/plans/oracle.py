@@ -156,6 +156,10 @@ def responses_long() -> str:
     return oracle("SELECT paper_code, create_time, stu_code, attempt, section, item_id, score FROM responses")
 
 
+def json_sheets() -> str:
+    return oracle("SELECT paper_code, create_time, stu_code, attempt, item_id, score FROM responses")
+
+
 def blueprint_items() -> str:
     return oracle("SELECT paper_code, section, kind, item_id, full_mark FROM items")
 
@@ -369,6 +373,7 @@ def registry() -> dict[str, str]:
         "paper_index_zero": paper_index("zero"),
         "paper_index_rounded": paper_index("propagate", rounded=True),
         "responses_long": responses_long(),
+        "json_sheets": json_sheets(),
         "blueprint_items": blueprint_items(),
         "responses_complete": responses_complete(),
         "responses_marked": responses_marked(),

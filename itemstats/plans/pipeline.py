@@ -43,20 +43,24 @@ class Options:
     narrow: bool = False
 
 
-def analyse(responses: DataFrame, blueprint: DataFrame, item_knowledge: DataFrame | None = None,
-            steps: str = "123", requests: DataFrame | None = None, options: Options | None = None) -> dict[str, DataFrame]:
+def analyse(responses: DataFrame | None, blueprint: DataFrame, item_knowledge: DataFrame | None = None,
+            steps: str = "123", requests: DataFrame | None = None, options: Options | None = None,
+            sheets: DataFrame | None = None) -> dict[str, DataFrame]:
     """Build the result DataFrames of the requested steps (MLlib fits run eagerly).
 
-    ``requests(paper_code, create_time)`` restricts the run to those batches (a
-    semi join); by default every batch in ``responses`` is analysed.
+    Input is the long ``responses`` or, from :func:`itemstats.sources.responses.read_sheets`,
+    ready ``sheets``.  ``requests(paper_code, create_time)`` restricts the run to
+    those batches (a semi join); by default every batch is analysed.
     """
     o = options or Options()
-    spark = responses.sparkSession
-    ensure_checkpoint_dir(spark)
+    src = sheets if sheets is not None else responses
+    if src is None:
+        raise ValueError("give responses or sheets")
+    ensure_checkpoint_dir(src.sparkSession)
     if requests is not None:
-        responses = responses.join(requests.select(*BATCH_KEYS).distinct(), BATCH_KEYS, "left_semi")
+        src = src.join(requests.select(*BATCH_KEYS).distinct(), BATCH_KEYS, "left_semi")
     items = reshape.blueprint_items(blueprint)
-    sheets = reshape.answer_sheets(responses).checkpoint()
+    sheets = (src if sheets is not None else reshape.answer_sheets(src)).checkpoint()
     out: dict[str, DataFrame] = {}
     ii = None
     if "1" in steps or ("2" in steps and o.item_rules):
@@ -89,12 +93,12 @@ def analyse(responses: DataFrame, blueprint: DataFrame, item_knowledge: DataFram
     return out
 
 
-def run(responses: DataFrame, blueprint: DataFrame, target: str, item_knowledge: DataFrame | None = None,
+def run(responses: DataFrame | None, blueprint: DataFrame, target: str, item_knowledge: DataFrame | None = None,
         steps: str = "123", requests: DataFrame | None = None, options: Options | None = None,
-        as_table: bool = False) -> dict[str, DataFrame]:
+        as_table: bool = False, sheets: DataFrame | None = None) -> dict[str, DataFrame]:
     """:func:`analyse`, then write every result under ``target`` (``<target>/<table>`` or
     ``<target>.<table>`` with ``as_table``), replacing only the batches analysed."""
-    res = analyse(responses, blueprint, item_knowledge, steps, requests, options)
+    res = analyse(responses, blueprint, item_knowledge, steps, requests, options, sheets)
     for name, df in res.items():
         sinks.write_result(df, f"{target}.{name}" if as_table else f"{target.rstrip('/')}/{name}", as_table)
     return res

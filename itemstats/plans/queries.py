@@ -94,6 +94,13 @@ def q_responses_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_source.to_long(lines, create_time=F.col("create_time"))
 
 
+def q_json_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture -> JSON lines -> answer sheets in one pass, shown as (sample, item, score) rows."""
+    lines = fixture.as_json_lines(fixture.responses(spark, sf_dir))
+    sheets = json_source.to_sheets(lines, create_time=F.col("create_time"))
+    return sheets.select(*STUDENT_KEYS, F.explode("cells").alias("item_id", "score"))
+
+
 def q_blueprint_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     bp = tables.wide_blueprint(fixture.wide_paper_item(spark, sf_dir))
     return reshape.blueprint_items(bp)
@@ -274,6 +281,7 @@ def registry() -> dict[str, Query]:
         "paper_index_zero": q_paper_index("zero"),
         "paper_index_rounded": q_paper_index("propagate", rounded=True),
         "responses_long": q_responses_long,
+        "json_sheets": q_json_sheets,
         "blueprint_items": q_blueprint_items,
         "responses_complete": q_responses_complete,
         "responses_marked": q_responses_marked,

@@ -62,13 +62,14 @@ def select_batch(files: DataFrame, requests: DataFrame) -> DataFrame:
     )
 
 
-def read_requested(spark: SparkSession, root: str, requests: DataFrame) -> DataFrame:
-    """Responses of the batches chosen for ``requests(paper_code, submit_time)`` under ``root``.
+def read_requested(spark: SparkSession, root: str, requests: DataFrame, as_sheets: bool = False) -> DataFrame:
+    """Responses (or, with ``as_sheets``, answer sheets) of the batches chosen for
+    ``requests(paper_code, submit_time)`` under ``root``.
 
     Rows are keyed by the request's submit time (``create_time``), as the
     reference keys its results; a file chosen by two requests feeds both.
     """
-    from itemstats.sources.responses import to_long
+    from itemstats.sources.responses import file_position, to_long, to_sheets
 
     files = list_batches(spark, root)
     chosen = select_batch(files, requests).join(
@@ -77,7 +78,8 @@ def read_requested(spark: SparkSession, root: str, requests: DataFrame) -> DataF
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .text(root)
-        .select("value", F.col("_metadata.file_path").alias("path"))
+        .select("value", F.col("_metadata.file_path").alias("path"), file_position().alias("_pos"))
     )
     picked = lines.join(chosen.select("path", "submit_time"), "path")
-    return to_long(picked, create_time=F.col("submit_time"), order_col="path")
+    parse = to_sheets if as_sheets else to_long
+    return parse(picked, create_time=F.col("submit_time"), order_col="_pos")

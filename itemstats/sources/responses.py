@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from itemstats.operators.reshape import unique_cells
 from itemstats.schema import STUDENT_KEYS
 
 SECTION_KEY = r"^item(\d+)$"
@@ -19,22 +20,19 @@ ITEM_KEY = r"^i(\d+)$"
 BATCH_FILE = r"(?:^|/)data[.]([^./]+)$"
 
 
-def to_long(lines: DataFrame, value_col: str = "value", create_time: Column | None = None,
-            order_col: str | None = None) -> DataFrame:
-    """Parse JSON answer lines into ``responses``.
+def _numbered(lines: DataFrame, value_col: str, create_time: Column | None, order_col: str | None) -> DataFrame:
+    """One row per valid line: ``STUDENT_KEYS`` and the parsed top-level map ``_m``.
 
-    ``create_time`` is the batch key (by default the ``create_time`` column of
-    ``lines``).  Malformed lines and lines without ``stuCode`` are dropped; a
-    cell that is null stays a row with a null score.  A student found on more
-    than one line gets ``attempt`` 1, 2, ... in the order of ``order_col`` (then
-    of the raw line), so every line stays one sample, as in the reference.
+    A student found on more than one line of a batch gets ``attempt`` 1, 2, ...
+    in the order of ``order_col`` (then of the raw line).  The window holds one
+    student's lines; it is the only shuffle of the raw input.
     """
     ct = create_time if create_time is not None else F.col("create_time")
     top = F.from_json(F.col(value_col), "map<string,string>")
     rows = lines.select(
         ct.cast("string").alias("create_time"),
         F.col(value_col).alias("_line"),
-        *( [F.col(order_col).alias("_order")] if order_col else [F.lit("").alias("_order")] ),
+        *([F.col(order_col).alias("_order")] if order_col else [F.lit("").alias("_order")]),
         top.alias("_m"),
     ).filter(F.col("_m").isNotNull() & F.col("_m")["stuCode"].isNotNull())
     rows = rows.select(
@@ -46,14 +44,33 @@ def to_long(lines: DataFrame, value_col: str = "value", create_time: Column | No
         "_m",
     )
     per_student = Window.partitionBy("paper_code", "create_time", "stu_code").orderBy("_order", "_line")
-    rows = rows.withColumn("attempt", F.row_number().over(per_student).cast("int"))
+    return rows.withColumn("attempt", F.row_number().over(per_student).cast("int")).select(*STUDENT_KEYS, "_m")
+
+
+def _section_cells(sv: Column) -> Column:
+    """``{"i3": 5, ...}`` text -> its items as a map (empty when unreadable)."""
+    return F.coalesce(F.from_json(sv, "map<string,int>"), F.create_map().cast("map<string,int>"))
+
+
+def to_long(lines: DataFrame, value_col: str = "value", create_time: Column | None = None,
+            order_col: str | None = None) -> DataFrame:
+    """Parse JSON answer lines into ``responses``.
+
+    ``create_time`` is the batch key (by default the ``create_time`` column of
+    ``lines``).  Malformed lines and lines without ``stuCode`` are dropped; a
+    cell that is null stays a row with a null score.  A student found on more
+    than one line gets ``attempt`` 1, 2, ... in the order of ``order_col`` (the
+    line's position in its file when read by :func:`read_responses`), so every
+    line stays one sample, as in the reference.
+    """
+    rows = _numbered(lines, value_col, create_time, order_col)
     sections = rows.select(*STUDENT_KEYS, F.explode("_m").alias("_sk", "_sv")).filter(
         F.col("_sk").rlike(SECTION_KEY)
     )
     cells = sections.select(
         *STUDENT_KEYS,
         F.regexp_extract("_sk", SECTION_KEY, 1).cast("int").alias("section"),
-        F.explode(F.from_json("_sv", "map<string,int>")).alias("_ik", "score"),
+        F.explode(_section_cells(F.col("_sv"))).alias("_ik", "score"),
     ).filter(F.col("_ik").rlike(ITEM_KEY))
     return cells.select(
         *STUDENT_KEYS,
@@ -63,6 +80,32 @@ def to_long(lines: DataFrame, value_col: str = "value", create_time: Column | No
     )
 
 
+def to_sheets(lines: DataFrame, value_col: str = "value", create_time: Column | None = None,
+              order_col: str | None = None) -> DataFrame:
+    """Parse JSON answer lines straight into answer sheets (``STUDENT_KEYS``, ``cells``).
+
+    A line already holds one sample, so its sections are flattened into the
+    ``map<item, score>`` inside the row: the attempt numbering is the only
+    shuffle, where :func:`to_long` followed by ``answer_sheets`` would shuffle
+    the input twice.  Same parsing rules as :func:`to_long`.
+    """
+    rows = _numbered(lines, value_col, create_time, order_col)
+    sections = F.map_filter("_m", lambda k, v: k.rlike(SECTION_KEY))
+    entries = F.flatten(
+        F.transform(
+            F.map_entries(sections),
+            lambda e: F.transform(
+                F.map_entries(F.map_filter(_section_cells(e["value"]), lambda k, v: k.rlike(ITEM_KEY))),
+                lambda c: F.struct(
+                    F.regexp_extract(c["key"], ITEM_KEY, 1).cast("int").alias("item_id"),
+                    c["value"].cast("int").alias("score"),
+                ),
+            ),
+        )
+    )
+    return rows.select(*STUDENT_KEYS, unique_cells(entries).alias("cells"))
+
+
 def read_responses(spark: SparkSession, path: str | list[str], create_time: str | None = None) -> DataFrame:
     """Read answer files (JSON lines) into ``responses``.
 
@@ -70,6 +113,25 @@ def read_responses(spark: SparkSession, path: str | list[str], create_time: str
     time); by default it is the ``<ts>`` of the file name ``data.<ts>``.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_file"))
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_file"), file_position().alias("_pos"))
+    ct = F.lit(create_time) if create_time is not None else F.regexp_extract("_file", BATCH_FILE, 1)
+    return to_long(lines, create_time=ct, order_col="_pos")
+
+
+def read_sheets(spark: SparkSession, path: str | list[str], create_time: str | None = None) -> DataFrame:
+    """Read answer files straight into answer sheets (see :func:`to_sheets`)."""
+    paths = [path] if isinstance(path, str) else list(path)
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_file"), file_position().alias("_pos"))
     ct = F.lit(create_time) if create_time is not None else F.regexp_extract("_file", BATCH_FILE, 1)
-    return to_long(lines, create_time=ct, order_col="_file")
+    return to_sheets(lines, create_time=ct, order_col="_pos")
+
+
+def file_position() -> Column:
+    """Where a line sits in its file: (path, split start, row number within the split).
+
+    Taken straight off the scan, it follows the file's line order and is the same
+    when a split is re-read after a lost executor.
+    """
+    return F.struct(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    )

@@ -2,8 +2,8 @@
 
 The reference's collector drops ``<root>/<paper_code>/data.<ts>`` files and a
 later batch job picks one.  Here Structured Streaming watches the folder:
-each micro-batch holds whole new files, which are parsed to the long table
-(keyed by their ``<ts>``) and run through :func:`itemstats.plans.pipeline.run`.
+each micro-batch holds whole new files, which are parsed straight into answer
+sheets (keyed by their ``<ts>``) and run through :func:`itemstats.plans.pipeline.run`.
 Results are written with dynamic partition overwrite, so a replayed
 micro-batch rewrites the same batches and the sink stays exactly-once.
 """
@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from itemstats.plans import pipeline
 from itemstats.session import ensure_checkpoint_dir
-from itemstats.sources.responses import BATCH_FILE, to_long
+from itemstats.sources.responses import BATCH_FILE, file_position, to_sheets
 
 
 def landing_lines(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -28,7 +28,7 @@ def landing_lines(spark: SparkSession, root: str, max_files_per_trigger: int | N
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(f"{root.rstrip('/')}/*/data.*").select(
-        "value", F.col("_metadata.file_path").alias("path")
+        "value", F.col("_metadata.file_path").alias("path"), file_position().alias("_pos")
     )
     return lines.withColumn("create_time", F.regexp_extract("path", BATCH_FILE, 1)).filter(F.col("create_time") != "")
 
@@ -41,8 +41,8 @@ def watch(spark: SparkSession, root: str, blueprint: DataFrame, target: str,
     ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "itemstats-landing")
 
     def each(batch: DataFrame, epoch: int) -> None:
-        responses = to_long(batch, create_time=F.col("create_time"), order_col="path")
-        pipeline.run(responses, blueprint, target, item_knowledge, steps, options=options)
+        sheets = to_sheets(batch, create_time=F.col("create_time"), order_col="_pos")
+        pipeline.run(None, blueprint, target, item_knowledge, steps, options=options, sheets=sheets)
 
     w = landing_lines(spark, root, max_files_per_trigger).writeStream.foreachBatch(each).option(
         "checkpointLocation", ckpt

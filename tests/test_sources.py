@@ -34,9 +34,15 @@ def test_json_to_long(spark):
     assert not any(x[2] == "01020305" and x[5] == 2 for x in rows)            # missing item: no row
     assert {x[3] for x in rows if x[2] == "01020304"} == {1, 2}               # a repeated student: two attempts
     assert len(rows) == 3 + 2 + 3
+    sheets = json_source.read_sheets(spark, f"{root}/77/data.1551231000")
+    as_rows = sheets.select("stu_code", "attempt", F.explode("cells").alias("item_id", "score"))
+    assert sorted(tuple(x) for x in as_rows.collect()) == sorted((x[2], x[3], x[5], x[6]) for x in rows)
+    dup = spark.createDataFrame([("P", "t", "s", 1, 1, 1, 3), ("P", "t", "s", 1, 1, 1, 2)],
+                                "paper_code string, create_time string, stu_code string, attempt int, section int, item_id int, score int")
+    assert reshape.answer_sheets(dup).collect()[0].cells == {1: 2}      # a repeated cell does not fail the job
     last = reshape.latest_attempt(r)
-    assert sorted((x.stu_code, x.attempt) for x in last.collect()) == [
-        ("01020304", 2), ("01020304", 2), ("01020304", 2), ("01020305", 1), ("01020305", 1)]
+    assert sorted((x.stu_code, x.attempt, x.item_id, x.score) for x in last.collect()) == [
+        ("01020304", 2, 1, 0), ("01020304", 2, 2, 2), ("01020304", 2, 3, 1), ("01020305", 1, 1, 1), ("01020305", 1, 3, None)]
     items = reshape.blueprint_items(
         spark.createDataFrame([("77", 1, "objective", 2, 2), ("77", 2, "subjective", 1, 5)],
                               "paper_code string, section int, kind string, qty int, full_mark int"))
