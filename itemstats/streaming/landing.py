@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from itemstats.plans import pipeline
 from itemstats.session import ensure_checkpoint_dir
-from itemstats.sources.responses import BATCH_FILE, file_position, to_sheets
+from itemstats.sources.responses import BATCH_FILE, to_sheets
 
 
 def landing_lines(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -28,7 +28,7 @@ def landing_lines(spark: SparkSession, root: str, max_files_per_trigger: int | N
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(f"{root.rstrip('/')}/*/data.*").select(
-        "value", F.col("_metadata.file_path").alias("path"), file_position().alias("_pos")
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block")
     )
     return lines.withColumn("create_time", F.regexp_extract("path", BATCH_FILE, 1)).filter(F.col("create_time") != "")
 
@@ -41,7 +41,9 @@ def watch(spark: SparkSession, root: str, blueprint: DataFrame, target: str,
     ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "itemstats-landing")
 
     def each(batch: DataFrame, epoch: int) -> None:
-        sheets = to_sheets(batch, create_time=F.col("create_time"), order_col="_pos")
+        # row ids are taken in the micro-batch (streams cannot number rows); the scan order is the file's
+        lines = batch.withColumn("_pos", F.struct("path", "_block", F.monotonically_increasing_id()))
+        sheets = to_sheets(lines, create_time=F.col("create_time"), order_col="_pos")
         pipeline.run(None, blueprint, target, item_knowledge, steps, options=options, sheets=sheets)
 
     w = landing_lines(spark, root, max_files_per_trigger).writeStream.foreachBatch(each).option(
