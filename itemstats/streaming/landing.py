@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from itemstats.plans import pipeline
 from itemstats.session import ensure_checkpoint_dir
-from itemstats.sources.responses import BATCH_FILE, to_sheets
+from itemstats.sources.responses import BATCH_FILE, file_position, to_sheets
 
 
 def landing_lines(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -42,7 +42,7 @@ def watch(spark: SparkSession, root: str, blueprint: DataFrame, target: str,
 
     def each(batch: DataFrame, epoch: int) -> None:
         # row ids are taken in the micro-batch (streams cannot number rows); the scan order is the file's
-        lines = batch.withColumn("_pos", F.struct("path", "_block", F.monotonically_increasing_id()))
+        lines = batch.withColumn("_pos", file_position(F.col("path"), F.col("_block")))
         sheets = to_sheets(lines, create_time=F.col("create_time"), order_col="_pos")
         pipeline.run(None, blueprint, target, item_knowledge, steps, options=options, sheets=sheets)
 
