@@ -46,8 +46,9 @@ def paper_items(items: DataFrame) -> DataFrame:
 
 
 def attach_marks(responses: DataFrame, items: DataFrame) -> DataFrame:
-    """Responses with the item's ``kind`` and ``full_mark`` (equi join on paper and item)."""
-    marks = items.select("paper_code", "item_id", "kind", "full_mark")
+    """Responses with the item's ``kind`` and ``full_mark`` (equi join on paper and item;
+    the item table is broadcast after a size check, so responses are not shuffled by item)."""
+    marks = small_side(items.select("paper_code", "item_id", "kind", "full_mark"))
     return responses.join(marks, ["paper_code", "item_id"])
 
 

@@ -49,9 +49,10 @@ def frequent_itemsets(transactions: DataFrame, min_support: float, num_partition
     classes = sizes.groupBy("size_class").agg(
         F.sum("n").alias("total"), F.min("min_count").alias("lowest")
     ).collect()  # at most 64 rows: one per power of two of the batch size
+    # materialised once: every size class reads it, and FP-Growth scans its input more than once
     prefixed = transactions.select(
         *BATCH_KEYS, F.transform("items", lambda x: F.concat(_batch_tag(), F.lit(_SEP), x)).alias("items")
-    ).join(sizes.select(*BATCH_KEYS, "size_class"), BATCH_KEYS)
+    ).join(sizes.select(*BATCH_KEYS, "size_class"), BATCH_KEYS).select("size_class", "items").checkpoint()
     out = None
     for c in sorted(classes, key=lambda r: r["size_class"]):
         total, lowest = int(c["total"]), int(c["lowest"])
