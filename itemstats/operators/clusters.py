@@ -196,6 +196,19 @@ def run(sheets: DataFrame, items: DataFrame, k: int = K, max_iter: int = MAX_ITE
     return profile(assigned, items), assigned
 
 
+def centers_by_item(assigned: DataFrame, items: DataFrame) -> DataFrame:
+    """Cluster centres as rows ``(paper_code, create_time, cluster, item_id, center)``: the
+    mean score of every item in every cluster (M11), from the final assignment."""
+    pos_items = small_side(
+        items.select("paper_code", "item_id").withColumn(
+            "_pos", (F.row_number().over(Window.partitionBy("paper_code").orderBy("item_id")) - 1).cast("int")
+        )
+    )
+    cells = assigned.select(*BATCH_KEYS, "cluster", F.posexplode("scores").alias("_pos", "_x"))
+    means = cells.groupBy(*BATCH_KEYS, "cluster", "_pos").agg(F.avg("_x").alias("center"))
+    return means.join(pos_items, ["paper_code", "_pos"]).select(*BATCH_KEYS, "cluster", "item_id", "center")
+
+
 def summary(assigned: DataFrame) -> DataFrame:
     """Per batch: number of clusters found and their sizes."""
     sizes = assigned.groupBy(*BATCH_KEYS, "cluster").agg(F.count(F.lit(1)).alias("size"))

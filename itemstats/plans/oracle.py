@@ -361,6 +361,22 @@ d AS (SELECT g.paper_code, g.create_time, g.stu_code, g.attempt, c.cluster,
     )
 
 
+def cluster_centers_given() -> str:
+    return oracle(
+        """SELECT paper_code, create_time, cluster, item_id, ROUND(AVG(CAST(score AS DOUBLE)), 6) AS center
+FROM bg GROUP BY paper_code, create_time, cluster, item_id""",
+        _GRID, _BANDS,
+    )
+
+
+def item_index_narrow() -> str:
+    cols = ", ".join(f"CAST(TRY_CAST({c} AS DECIMAL(4,3)) AS DOUBLE) AS {c}" for c in ("avg_score", "fc_score", "bzc_score", "nandu", "qufendu"))
+    return oracle(
+        f"SELECT paper_code, create_time, item_id, max_score, min_score, {cols} FROM ii",
+        _TOTALS, _groups("propagate"), _ITEM_INDEX,
+    )
+
+
 def registry() -> dict[str, str]:
     return {
         "total_score_propagate": total_score("propagate"),
@@ -395,4 +411,6 @@ def registry() -> dict[str, str]:
         "student_code_parts": student_code_parts(),
         "cluster_profile_given": cluster_profile_given(),
         "cluster_nearest_given": cluster_nearest_given(),
+        "cluster_centers_given": cluster_centers_given(),
+        "item_index_narrow": item_index_narrow(),
     }

@@ -17,6 +17,7 @@ from itemstats.functions.students import code_parts, join_code
 from itemstats.operators import clusters, discretize, item_stats, knowledge, paper_stats, reshape, rules, totals
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 from itemstats.session import ensure_checkpoint_dir
+from itemstats.sinks import results as result_sinks
 from itemstats.sources import batches, fixture, responses as json_source, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -263,6 +264,23 @@ def q_cluster_nearest_given(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.assign(feats, cents, digits=9).select(*STUDENT_KEYS, "cluster")
 
 
+def q_cluster_centers_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items = _inputs(spark, sf_dir)
+    banded = clusters.score_bands(clusters.features(sheets, items), clusters.K)
+    return round_doubles(clusters.centers_by_item(banded, items))
+
+
+def q_item_index_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item statistics in the reference's decimal(4,3) columns; a variance of 10 or more is null."""
+    sheets, items = _inputs(spark, sf_dir)
+    narrow = result_sinks.narrow(item_stats.compute(sheets, items), "t_item_index")
+    # shown as doubles so both engines print the same values
+    return narrow.select(
+        *[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+          for f in narrow.schema.fields]
+    )
+
+
 def q_student_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheets, items = _inputs(spark, sf_dir)
     prof, _ = clusters.run(sheets, items)
@@ -307,5 +325,7 @@ def registry() -> dict[str, Query]:
         "student_code_parts": q_student_code_parts,
         "cluster_profile_given": q_cluster_profile_given,
         "cluster_nearest_given": q_cluster_nearest_given,
+        "cluster_centers_given": q_cluster_centers_given,
+        "item_index_narrow": q_item_index_narrow,
         "student_clusters": q_student_clusters,
     }

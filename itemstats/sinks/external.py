@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
-               mode: str = "append", num_partitions: int | None = None, batch_size: int = 1000) -> None:
+               mode: str = "append", num_partitions: int | None = None, batch_size: int = 1000,
+               **options: str) -> None:
     """Append ``df`` to a database table (the reference's MySQL export).
 
     ``num_partitions`` caps the concurrent connections (Spark coalesces to it);
     appends are not idempotent, so a caller re-running a batch should delete its
-    keys first or write to a staging table (D6).
+    keys first or write to a staging table (D6).  Other Spark JDBC write options
+    (e.g. ``createTableColumnTypes``) pass through.
     """
-    w = df.write.mode(mode).option("batchsize", str(batch_size))
+    w = df.write.mode(mode).option("batchsize", str(batch_size)).options(**options)
     if num_partitions:
         w = w.option("numPartitions", str(num_partitions))
     w.jdbc(url, table, properties=properties or {})

@@ -65,3 +65,18 @@ def test_code_parts_round_trip(spark):
     assert got["01020304"] == (1, 2, 3, 4, "01020304")
     assert got["10070809"] == (10, 7, 8, 9, "10070809")
     assert got["ab020304"][0] is None and got["ab020304"][4] is None
+
+
+def test_code_parts_as_features(spark):
+    items = reshape.blueprint_items(blueprint(spark, BP))
+    rows = [("P", "01020304", 1, 5), ("P", "01020304", 2, 6), ("P", "0x020304", 1, 1), ("P", "0x020304", 2, 1)]
+    feats = clusters.features(reshape.answer_sheets(responses(spark, rows)), items, include_code=True).collect()
+    assert [(r.stu_code, r.features, r.scores) for r in feats] == [("01020304", [1.0, 2.0, 3.0, 4.0, 5.0, 6.0], [5.0, 6.0])]
+
+
+def test_centers_by_item(spark):
+    items = reshape.blueprint_items(blueprint(spark, BP))
+    feats = clusters.features(_sheets(spark, [(1, 2), (3, 4), (9, 9)]), items)
+    given = feats.withColumn("cluster", F.when(F.col("stu_code") == "01010002", 1).otherwise(0))
+    got = {(r.cluster, r.item_id): r.center for r in clusters.centers_by_item(given, items).collect()}
+    assert got == {(0, 1): 2.0, (0, 2): 3.0, (1, 1): 9.0, (1, 2): 9.0}

@@ -61,3 +61,18 @@ def test_jdbc_round_trip_embedded_derby(spark):
     back = spark.read.jdbc(url, "T_ITEM_FPG", properties=props)
     assert [tuple(r) for r in back.collect()] == [("1,3", "5", 0.9, "P", "1")]
     assert os.path.exists(tempfile.gettempdir())
+
+
+def test_blueprint_over_jdbc_embedded_derby(spark):
+    from itemstats.sources import tables
+
+    url = "jdbc:derby:memory:itemstats_bp;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    wide = spark.createDataFrame([("77", 2, 1, 1, 3, 2, 2, 5)],
+                                 "paper_code string, all_items int, o_items int, s_items int, "
+                                 "part1_qty int, part2_qty int, part1_mark int, part2_mark int")
+    external.write_jdbc(wide, url, "T_PAPER_ITEM", props, createTableColumnTypes="paper_code VARCHAR(32)")
+    bp = tables.read_blueprint(spark, "T_PAPER_ITEM", url=url, **props)
+    selected = bp.where("paper_code = '77'")                # pushed down to the database
+    got = sorted(tuple(r) for r in selected.collect())
+    assert got == [("77", 1, "objective", 3, 2), ("77", 2, "subjective", 2, 5)]
