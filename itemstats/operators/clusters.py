@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from itemstats.functions.sizing import small_side
+from itemstats.functions.sizing import BROADCAST_ROWS, small_side
 from itemstats.functions.students import PARTS, code_parts
 from itemstats.operators.reshape import cell, with_papers
 from itemstats.session import ensure_checkpoint_dir
@@ -80,10 +80,18 @@ def _sqdist(x: Column, c: Column) -> Column:
     return F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def assign(feats: DataFrame, cents: DataFrame, vec: str = "features", digits: int | None = None) -> DataFrame:
+def assign(feats: DataFrame, cents: DataFrame, vec: str = "features", digits: int | None = None,
+           small: bool | None = None) -> DataFrame:
     """Add ``cluster`` and ``distance`` (squared Euclidean) of the nearest centroid of the batch;
-    ties go to the smaller cluster id.  ``digits`` rounds distances before the choice."""
-    per_batch = small_side(cents.groupBy(*BATCH_KEYS).agg(F.collect_list(F.struct("cluster", "center")).alias("_cs")))
+    ties go to the smaller cluster id.  ``digits`` rounds distances before the choice.
+
+    The centroid list (one row per batch) is broadcast after a size check, or as
+    ``small`` says when the caller already knows its bound."""
+    per_batch = cents.groupBy(*BATCH_KEYS).agg(F.collect_list(F.struct("cluster", "center")).alias("_cs"))
+    if small is None:
+        per_batch = small_side(per_batch)
+    elif small:
+        per_batch = F.broadcast(per_batch)
 
     def dist(c: Column) -> Column:
         d = _sqdist(F.col(vec), c["center"])
@@ -103,6 +111,11 @@ def _uniform(seed: int, step: int) -> Column:
     return (F.pmod(h, F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
 
 
+def _centroids_small(cents: DataFrame) -> bool:
+    """The centroid list has one row per batch whatever the step: count the batches once."""
+    return cents.select(*BATCH_KEYS).distinct().count() <= BROADCAST_ROWS
+
+
 def seeds(feats: DataFrame, k: int = K, seed: int = SEED, vec: str = "features") -> DataFrame:
     """k-means++ seeding for every batch at once: ``(paper_code, create_time, cluster, center)``.
 
@@ -115,8 +128,9 @@ def seeds(feats: DataFrame, k: int = K, seed: int = SEED, vec: str = "features")
         F.max_by(vec, "_key").alias("center")
     )
     cents = first.withColumn("cluster", F.lit(0)).checkpoint()
+    small = _centroids_small(cents)
     for j in range(1, k):
-        d = assign(feats, cents, vec).filter(F.col("distance") > 0)
+        d = assign(feats, cents, vec, small=small).filter(F.col("distance") > 0)
         nxt = d.withColumn("_key", F.log(_uniform(seed, j)) / F.col("distance")).groupBy(*BATCH_KEYS).agg(
             F.max_by(vec, "_key").alias("center")
         )
@@ -133,8 +147,9 @@ def fit(feats: DataFrame, k: int = K, max_iter: int = MAX_ITER, tol: float = TOL
     """
     ensure_checkpoint_dir(feats.sparkSession)
     cents = seeds(feats, k, seed)
+    small = _centroids_small(cents)
     for _ in range(max_iter):
-        new = centroids(assign(feats, cents)).checkpoint()
+        new = centroids(assign(feats, cents, small=small)).checkpoint()
         # one small job: the largest centroid move; a cluster that appeared or emptied counts as infinite
         old = cents.select(*BATCH_KEYS, "cluster", F.col("center").alias("_old"))
         moved = new.join(old, [*BATCH_KEYS, "cluster"], "full_outer")
@@ -192,7 +207,7 @@ def run(sheets: DataFrame, items: DataFrame, k: int = K, max_iter: int = MAX_ITE
     ensure_checkpoint_dir(sheets.sparkSession)
     feats = features(sheets, items, include_code).checkpoint()
     cents = fit(feats, k, max_iter, tol, seed)
-    assigned = relabel(assign(feats, cents))
+    assigned = relabel(assign(feats, cents, small=_centroids_small(cents)))
     return profile(assigned, items), assigned
 
 
