@@ -20,8 +20,14 @@ from itemstats.session import ensure_checkpoint_dir
 BROADCAST_ROWS = 1_000_000
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` checkpointed, with a broadcast hint when it has at most ``max_rows`` rows."""
+def checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
+    """``df`` checkpointed and its row count; broadcast-hinted when at most ``max_rows``."""
     ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint()
-    return F.broadcast(df) if df.count() <= max_rows else df
+    n = df.count()
+    return (F.broadcast(df) if n <= max_rows else df), n
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` checkpointed, with a broadcast hint when it has at most ``max_rows`` rows."""
+    return checked(df, max_rows)[0]

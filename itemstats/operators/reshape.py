@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from itemstats.functions.sizing import small_side
+from itemstats.functions.sizing import checked, small_side
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 
 
@@ -59,9 +59,9 @@ def latest_attempt(df: DataFrame) -> DataFrame:
     The students with more than one attempt (normally few) are found by an
     aggregation and broadcast after a size check; no window over a student."""
     student = [*BATCH_KEYS, "stu_code"]
-    last = small_side(
-        df.groupBy(*student).agg(F.max("attempt").alias("_last")).filter(F.col("_last") > 1)
-    )
+    last, n = checked(df.groupBy(*student).agg(F.max("attempt").alias("_last")).filter(F.col("_last") > 1))
+    if n == 0:
+        return df
     j = df.join(last, student, "left")
     return j.filter(F.col("_last").isNull() | (F.col("attempt") == F.col("_last"))).drop("_last")
 
@@ -80,12 +80,13 @@ def answer_sheets(responses: DataFrame) -> DataFrame:
 def unique_cells(entries: Column) -> Column:
     """``array<struct<item_id, score>>`` -> ``map<item_id, score>``; an item given twice on one
     sheet keeps one value (the lower score) instead of failing the job."""
+    # each entry is compared with the previous item id; the arrays are built once per row
+    # (a lambda that referred back to the sorted array would re-sort it for every element)
     ordered = F.array_sort(entries)
-    kept = F.filter(
-        ordered,
-        lambda e, i: F.when(i == 0, F.lit(True)).otherwise(e["item_id"] != ordered[i - 1]["item_id"]),
-    )
-    return F.map_from_entries(kept)
+    ids = F.transform(ordered, lambda e: e["item_id"])
+    prev = F.concat(F.array(F.lit(None).cast("int")), F.slice(ids, 1, F.greatest(F.size(ids) - 1, F.lit(0))))
+    firsts = F.zip_with(ordered, prev, lambda e, p: F.when(p.isNull() | (e["item_id"] != p), e))
+    return F.map_from_entries(F.filter(firsts, lambda x: x.isNotNull()))
 
 
 def with_papers(sheets: DataFrame, items: DataFrame) -> DataFrame:

@@ -89,11 +89,14 @@ def high_low_groups(totals: DataFrame, fraction: float = GROUP_FRACTION) -> Data
     )
     tie_key = F.concat(F.col("stu_code"), F.lit("\u0001"), F.lpad(F.col("attempt").cast("string"), 10, "0"))
     ties = full.filter(partial).select(*STUDENT_KEYS, "_tnull", "_tval", tie_key.alias("_tie")).checkpoint()
-    ranks = small_side(
-        rank_in_group(ties, [*BATCH_KEYS, "_tnull", "_tval"], F.col("_tie"), "_rank").select(*STUDENT_KEYS, "_rank")
-    )
     # samples off the cut score have no rank: their bucket is wholly in (take = cnt) or out (take = 0)
-    flagged = full.join(ranks, STUDENT_KEYS, "left")
+    if ties.count() == 0:
+        flagged = full.withColumn("_rank", F.lit(None).cast("long"))
+    else:
+        ranks = small_side(
+            rank_in_group(ties, [*BATCH_KEYS, "_tnull", "_tval"], F.col("_tie"), "_rank").select(*STUDENT_KEYS, "_rank")
+        )
+        flagged = full.join(ranks, STUDENT_KEYS, "left")
     rank = F.col("_rank")
     return (
         flagged.withColumn("is_high", F.when(rank.isNull(), F.col("_take_hi") > 0).otherwise(rank < F.col("_take_hi")))

@@ -89,16 +89,20 @@ ITEMSET_SUPPORT = 0.3
 EXTREME_LO, EXTREME_HI = 0.45, 0.7
 
 
+def _json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture written as the reference's JSON lines, materialised like landed files."""
+    ensure_checkpoint_dir(spark)
+    return fixture.as_json_lines(fixture.responses(spark, sf_dir)).checkpoint()
+
+
 def q_responses_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture -> the reference's nested JSON lines -> parsed back to the long table."""
-    lines = fixture.as_json_lines(fixture.responses(spark, sf_dir))
-    return json_source.to_long(lines, create_time=F.col("create_time"))
+    return json_source.to_long(_json_lines(spark, sf_dir), create_time=F.col("create_time"))
 
 
 def q_json_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture -> JSON lines -> answer sheets in one pass, shown as (sample, item, score) rows."""
-    lines = fixture.as_json_lines(fixture.responses(spark, sf_dir))
-    sheets = json_source.to_sheets(lines, create_time=F.col("create_time"))
+    sheets = json_source.to_sheets(_json_lines(spark, sf_dir), create_time=F.col("create_time"))
     return sheets.select(*STUDENT_KEYS, F.explode("cells").alias("item_id", "score"))
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemstats.functions.sizing import small_side
+from itemstats.functions.sizing import checked
 from itemstats.operators.ranking import rank_in_group
 from itemstats.operators.reshape import unique_cells
 from itemstats.schema import STUDENT_KEYS
@@ -45,9 +45,11 @@ def _numbered(lines: DataFrame, value_col: str, create_time: Column | None, orde
         "_m",
     )
     student = ["paper_code", "create_time", "stu_code"]
-    repeated = small_side(
+    repeated, n_repeated = checked(
         rows.groupBy(*student).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*student, F.lit(True).alias("_rep"))
     )
+    if n_repeated == 0:
+        return rows.withColumn("attempt", F.lit(1)).select(*STUDENT_KEYS, "_m")
     flagged = rows.join(repeated, student, "left")
     once = flagged.filter(F.col("_rep").isNull()).withColumn("attempt", F.lit(1))
     again = rank_in_group(flagged.filter(F.col("_rep").isNotNull()), student, F.col("_order"), "_rank").withColumn(
@@ -112,7 +114,7 @@ def to_sheets(lines: DataFrame, value_col: str = "value", create_time: Column |
             ),
         )
     )
-    return rows.select(*STUDENT_KEYS, unique_cells(entries).alias("cells"))
+    return rows.select(*STUDENT_KEYS, entries.alias("_e")).select(*STUDENT_KEYS, unique_cells(F.col("_e")).alias("cells"))
 
 
 def read_responses(spark: SparkSession, path: str | list[str], create_time: str | None = None) -> DataFrame:
