@@ -92,3 +92,14 @@ def test_blueprint_from_json_file(spark):
     _write(f"{root}/x_p", '{"paper_code":"5","all_items":1,"o_items":1,"s_items":0,"part1_qty":2,"part1_mark":3}\n')
     bp = tables.read_blueprint(spark, f"{root}/x_p")
     assert [tuple(r) for r in bp.collect()] == [("5", 1, "objective", 2, 3)]
+
+
+def test_attempts_for_a_code_shared_by_many_lines(spark):
+    # a junk code on many lines: every line stays its own sample, numbered in file order
+    root = tempfile.mkdtemp(prefix="itemstats-hot-")
+    body = "\n".join(f'{{"stuCode":"","paperCode":"9","item1":{{"i1":{i}}}}}' for i in range(40))
+    body += '\n{"stuCode":"x","paperCode":"9","item1":{"i1":7}}\n'
+    _write(f"{root}/9/data.1", body)
+    sheets = json_source.read_sheets(spark, f"{root}/9/data.1")
+    got = {(r.stu_code, r.attempt): r.cells[1] for r in sheets.collect()}
+    assert got == {**{("", i + 1): i for i in range(40)}, ("x", 1): 7}
