@@ -13,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from itemstats.functions.sizing import small_side
+from itemstats.session import ensure_checkpoint_dir
+
 from itemstats.sources.responses import BATCH_FILE
 
 PAPER_DIR = r"/([^/]+)/[^/]+$"
@@ -39,26 +42,43 @@ def batch_files(files: DataFrame, path_col: str = "path") -> DataFrame:
     ).filter(F.col("ts") != "")
 
 
-def select_batch(files: DataFrame, requests: DataFrame) -> DataFrame:
+def select_batch(files: DataFrame, requests: DataFrame, partitions: int | None = None) -> DataFrame:
     """Pick a batch per request.
 
     ``files(paper_code, ts, ...)``, ``requests(paper_code, submit_time)`` ->
     ``(paper_code, submit_time, create_time)`` where ``create_time`` is the
     smallest ``ts >= submit_time``, else the largest ``ts`` of the paper, else
-    null (no file).  Files and requests are merged into one ordered stream per
-    paper and each request looks ahead to the next file, so no request is ever
-    paired with all files.
+    null (no file).
+
+    Files and requests are merged into one stream and range-partitioned by
+    (paper, time), so even a paper holding most of the files is spread over many
+    tasks.  Inside a range partition each request looks ahead to the next file;
+    a request with no file after it in its partition takes the earliest file of
+    the later partitions of its paper, from a small table with one row per
+    (partition, paper).  No request is ever paired with all files.
     """
+    spark = files.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     f = files.select("paper_code", F.col("ts").alias("_t"), F.lit(0).alias("_req"), F.lit(None).cast("string").alias("submit_time"))
     r = requests.select("paper_code", F.col("submit_time").alias("_t"), F.lit(1).alias("_req"), "submit_time")
-    stream = f.unionByName(r)
-    per_paper = Window.partitionBy("paper_code")
-    # order: at an equal key the file comes first, so ts >= submit_time includes equality
-    ahead = per_paper.orderBy(F.col("_t").desc(), F.col("_req").asc()).rowsBetween(Window.unboundedPreceding, 0)
+    # the partition ids come from sampled range bounds: materialise them once so every branch agrees
+    ranged = (
+        f.unionByName(r).repartitionByRange(n, "paper_code", "_t").withColumn("_pid", F.spark_partition_id()).checkpoint()
+    )
+    part = ["_pid", "paper_code"]
+    # at an equal time the file comes first, so ts >= submit_time includes equality
+    ahead = Window.partitionBy(*part).orderBy(F.col("_t").desc(), F.col("_req").asc()).rowsBetween(Window.unboundedPreceding, 0)
     file_ts = F.when(F.col("_req") == 0, F.col("_t"))
-    stream = stream.withColumn("_next", F.min(file_ts).over(ahead)).withColumn("_last", F.max(file_ts).over(per_paper))
-    return stream.filter(F.col("_req") == 1).select(
-        "paper_code", "submit_time", F.coalesce("_next", "_last").alias("create_time")
+    local = ranged.withColumn("_next", F.min(file_ts).over(ahead)).filter(F.col("_req") == 1)
+    firsts = ranged.groupBy(*part).agg(F.min(file_ts).alias("_first"))
+    later = Window.partitionBy("paper_code").orderBy(F.col("_pid").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = small_side(firsts.withColumn("_carry", F.min("_first").over(later)).select(*part, "_carry"))
+    last = small_side(ranged.groupBy("paper_code").agg(F.max(file_ts).alias("_last")))
+    return (
+        local.join(carry, part, "left")
+        .join(last, "paper_code", "left")
+        .select("paper_code", "submit_time", F.coalesce("_next", "_carry", "_last").alias("create_time"))
     )
 
 

@@ -103,3 +103,13 @@ def test_attempts_for_a_code_shared_by_many_lines(spark):
     sheets = json_source.read_sheets(spark, f"{root}/9/data.1")
     got = {(r.stu_code, r.attempt): r.cells[1] for r in sheets.collect()}
     assert got == {**{("", i + 1): i for i in range(40)}, ("x", 1): 7}
+
+
+def test_select_batch_same_for_any_partitioning(spark):
+    from conftest import SF_SMALL
+    from itemstats.sources import fixture
+
+    files, req = fixture.batch_requests(spark, SF_SMALL)
+    files = batches.batch_files(files)
+    runs = [{tuple(r) for r in batches.select_batch(files, req, partitions=n).collect()} for n in (1, 3, 64)]
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) == req.count()
