@@ -77,3 +77,24 @@ def test_registered_queries_match_oracle(spark):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() == 35 and "qufendu" in df.columns
+
+
+def test_submit_command_line(spark):
+    from itemstats.plans import submit
+
+    base = tempfile.mkdtemp(prefix="itemstats-submit-")
+    root = f"{base}/itemdata"
+    tmp = tempfile.mkdtemp(prefix="itemstats-submit-src-")
+    lines = fixture.as_json_lines(fixture.responses(spark, SF_SMALL)).filter("value like '%\"HOUSEHOLD\"%'")
+    lines.select("value").coalesce(1).write.mode("overwrite").text(tmp)
+    part = [f for f in os.listdir(tmp) if f.startswith("part-")][0]
+    os.makedirs(f"{root}/HOUSEHOLD")
+    for ts in ("20190227100000", "20190227120000"):
+        shutil.copy(f"{tmp}/{part}", f"{root}/HOUSEHOLD/data.{ts}")
+    fixture.wide_paper_item(spark, SF_SMALL).coalesce(1).write.json(f"{root}_p")
+    fixture.item_knowledge(spark, SF_SMALL).coalesce(1).write.json(f"{root}_k")
+    out = f"{base}/out"
+    res = submit.main([root, "HOUSEHOLD", "20190227110000", "12", out])
+    assert set(res) == {"t_score_total", "t_item_index", "t_paper_index", "t_item_fpg"}
+    got = results.read_result(spark, f"{out}/t_item_index")
+    assert got.count() == 7 and {(r.paper_code, r.create_time) for r in got.collect()} == {("HOUSEHOLD", "20190227110000")}
