@@ -66,8 +66,16 @@ def score_bands(df: DataFrame, k: int = K, score: Column | None = None) -> DataF
     )
 
 
-def centroids(assigned: DataFrame, vec: str = "features") -> DataFrame:
-    """Mean vector of each (batch, cluster): ``(paper_code, create_time, cluster, center, size)``."""
+def centroids(assigned: DataFrame, vec: str = "features", width: int | None = None) -> DataFrame:
+    """Mean vector of each (batch, cluster): ``(paper_code, create_time, cluster, center, size)``.
+
+    With ``width`` (the longest vector) it is one aggregation with an average per
+    position; otherwise positions are exploded and regrouped."""
+    if width is not None:
+        means = [F.avg(F.col(vec)[i]).alias(f"_m{i}") for i in range(width)]
+        agg = assigned.groupBy(*BATCH_KEYS, "cluster").agg(*means, F.count(F.lit(1)).alias("size"))
+        center = F.filter(F.array(*[F.col(f"_m{i}") for i in range(width)]), lambda x: x.isNotNull())
+        return agg.select(*BATCH_KEYS, "cluster", center.alias("center"), "size")
     cells = assigned.select(*BATCH_KEYS, "cluster", F.posexplode(vec).alias("_pos", "_x"))
     means = cells.groupBy(*BATCH_KEYS, "cluster", "_pos").agg(F.avg("_x").alias("_m"), F.count(F.lit(1)).alias("_n"))
     return means.groupBy(*BATCH_KEYS, "cluster").agg(
@@ -148,8 +156,9 @@ def fit(feats: DataFrame, k: int = K, max_iter: int = MAX_ITER, tol: float = TOL
     ensure_checkpoint_dir(feats.sparkSession)
     cents = seeds(feats, k, seed)
     small = _centroids_small(cents)
+    width = feats.agg(F.max(F.size("features"))).first()[0] or 0
     for _ in range(max_iter):
-        new = centroids(assign(feats, cents, small=small)).checkpoint()
+        new = centroids(assign(feats, cents, small=small), width=width).checkpoint()
         # one small job: the largest centroid move; a cluster that appeared or emptied counts as infinite
         old = cents.select(*BATCH_KEYS, "cluster", F.col("center").alias("_old"))
         moved = new.join(old, [*BATCH_KEYS, "cluster"], "full_outer")
