@@ -32,6 +32,7 @@ def rank_in_group(df: DataFrame, group_cols: Sequence[str], key: Column, rank_co
 
     Keys must be distinct within a group and must not contain U+0000.
     Ordering is Spark's string order (UTF-8 bytes), the order of ``ORDER BY key``.
+    ``df`` is read twice, so it should be deterministic (a scan or a checkpoint).
     """
     g = list(group_cols)
     rows = df.withColumn("_rk_key", F.concat(key.cast("string"), F.lit(_END)))

@@ -52,7 +52,9 @@ def _numbered(lines: DataFrame, value_col: str, create_time: Column | None, orde
         return rows.withColumn("attempt", F.lit(1)).select(*STUDENT_KEYS, "_m")
     flagged = rows.join(repeated, student, "left")
     once = flagged.filter(F.col("_rep").isNull()).withColumn("attempt", F.lit(1))
-    again = rank_in_group(flagged.filter(F.col("_rep").isNotNull()), student, F.col("_order"), "_rank").withColumn(
+    # frozen first: the ranking reads its input twice, and the order key must be the same both times
+    multi = flagged.filter(F.col("_rep").isNotNull()).checkpoint()
+    again = rank_in_group(multi, student, F.col("_order"), "_rank").withColumn(
         "attempt", (F.col("_rank") + 1).cast("int")
     )
     return once.unionByName(again.drop("_rank")).select(*STUDENT_KEYS, "_m")
