@@ -47,11 +47,19 @@ def test_landing_stream(spark):
     os.makedirs(f"{root}/AUTOMOBILE")
     shutil.copy(f"{tmp}/{part}", f"{root}/AUTOMOBILE/data.1551231000")
     shutil.copy(f"{tmp}/{part}", f"{root}/AUTOMOBILE/data.1551239999.tmp")
-    q = landing.watch(spark, root, fixture.blueprint(spark, SF_SMALL), out, steps="1",
-                      checkpoint=tempfile.mkdtemp(prefix="itemstats-stream-ck-"), available_now=True)
+    ck = tempfile.mkdtemp(prefix="itemstats-stream-ck-")
+    q = landing.watch(spark, root, fixture.blueprint(spark, SF_SMALL), out, steps="1", checkpoint=ck, available_now=True)
     q.awaitTermination(300)
     got = results.read_result(spark, f"{out}/t_item_index")
     assert got.count() == 7 and {r.create_time for r in got.collect()} == {"1551231000"}
+    # a later file: a restart from the same checkpoint processes only it, nothing is duplicated
+    shutil.copy(f"{tmp}/{part}", f"{root}/AUTOMOBILE/data.1551240000")
+    q = landing.watch(spark, root, fixture.blueprint(spark, SF_SMALL), out, steps="1", checkpoint=ck, available_now=True)
+    q.awaitTermination(300)
+    got = results.read_result(spark, f"{out}/t_item_index")
+    assert got.count() == 14 and {r.create_time for r in got.collect()} == {"1551231000", "1551240000"}
+    per_batch = results.read_result(spark, f"{out}/t_score_total").groupBy("create_time").count().collect()
+    assert len({r["count"] for r in per_batch}) == 1                      # both batches hold the same students once
 
 
 def test_registered_queries_match_oracle(spark):
