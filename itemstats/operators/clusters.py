@@ -19,14 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from itemstats.defaults import BAD, GOOD, K, MAX_ITER, SEED, TOL
 from itemstats.functions.sizing import BROADCAST_ROWS, small_side
 from itemstats.functions.students import PARTS, code_parts
 from itemstats.operators.reshape import cell, with_papers
 from itemstats.session import ensure_checkpoint_dir
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 
-K, MAX_ITER, TOL, SEED = 4, 20, 1e-4, 42
-GOOD, BAD = (0.7, 0.8), (0.2, 0.3)
 
 
 def features(sheets: DataFrame, items: DataFrame, include_code: bool = False) -> DataFrame:

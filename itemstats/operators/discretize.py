@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from itemstats.defaults import EXTREME_HI, EXTREME_LO
 from itemstats.functions.labels import item_label, tag
 from itemstats.functions.sizing import small_side
 from itemstats.operators.reshape import cell
@@ -34,13 +35,13 @@ def item_labels(sheets: DataFrame, items: DataFrame) -> DataFrame:
     return long.select(*STUDENT_KEYS, "item_id", "score", lab.alias("label"), tag(F.col("item_id"), lab).alias("tag"))
 
 
-def extreme_items(item_index: DataFrame, lo: float = 0.2, hi: float = 0.8) -> DataFrame:
+def extreme_items(item_index: DataFrame, lo: float = EXTREME_LO, hi: float = EXTREME_HI) -> DataFrame:
     """Items too hard or too easy for rule mining: ``nandu < lo`` or ``nandu > hi`` (bounds kept)."""
     n = F.col("nandu")
     return item_index.filter((n > hi) | (n < lo)).select(*BATCH_KEYS, "item_id", "nandu")
 
 
-def kept_items(item_index: DataFrame, lo: float = 0.2, hi: float = 0.8) -> DataFrame:
+def kept_items(item_index: DataFrame, lo: float = EXTREME_LO, hi: float = EXTREME_HI) -> DataFrame:
     """The complement of :func:`extreme_items` among a batch's items (anti join)."""
     return item_index.select(*BATCH_KEYS, "item_id").join(
         extreme_items(item_index, lo, hi), [*BATCH_KEYS, "item_id"], "left_anti"

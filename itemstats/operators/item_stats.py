@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itemstats.operators.totals import GROUP_FRACTION, high_low_groups, total_score
+from itemstats.defaults import GROUP_FRACTION
+from itemstats.operators.totals import high_low_groups, total_score
 from itemstats.schema import BATCH_KEYS, ITEM_INDEX_COLUMNS, OBJECTIVE
 
 

@@ -16,6 +16,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from itemstats.defaults import CONFIDENCE, EXTREME_HI, EXTREME_LO, ITEM_SUPPORT, KNOWLEDGE_SUPPORT
 from itemstats.functions.sizing import small_side
 from itemstats.operators import discretize, knowledge
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
@@ -23,8 +24,6 @@ from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 _SEP = "\u0001"
 _KEYSEP = "\u0002"
 
-# defaults of the reference (items / knowledge points) and of MLlib's partitions
-ITEM_SUPPORT, KNOWLEDGE_SUPPORT, CONFIDENCE = 0.6, 0.65, 0.85
 
 
 def batch_sizes(transactions: DataFrame, min_support: float) -> DataFrame:
@@ -161,7 +160,7 @@ def mine(transactions: DataFrame, min_support: float, min_confidence: float,
 
 def item_rules(sheets: DataFrame, items: DataFrame, item_index: DataFrame | None = None,
                min_support: float = ITEM_SUPPORT, min_confidence: float = CONFIDENCE,
-               lo: float = 0.2, hi: float = 0.8) -> DataFrame:
+               lo: float = EXTREME_LO, hi: float = EXTREME_HI) -> DataFrame:
     """Rules between items' right / wrong labels (M4); extreme items are left out first
     when ``item_index`` is given (F3, J5)."""
     drop = discretize.extreme_items(item_index, lo, hi) if item_index is not None else None

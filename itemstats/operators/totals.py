@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from itemstats.defaults import GROUP_FRACTION
 from itemstats.functions.sizing import small_side
 from itemstats.operators.ranking import rank_in_group
 from itemstats.operators.reshape import cell, with_papers
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 from itemstats.session import ensure_checkpoint_dir
 
-GROUP_FRACTION = 0.27
 MISSING_MODES = ("propagate", "zero")
 
 

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from itemstats import defaults
 from itemstats.operators import clusters, item_stats, paper_stats, reshape, rules, totals
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 from itemstats.session import ensure_checkpoint_dir
@@ -28,17 +29,17 @@ from itemstats.sinks import results as sinks
 @dataclass
 class Options:
     missing: str = "propagate"
-    fraction: float = totals.GROUP_FRACTION
+    fraction: float = defaults.GROUP_FRACTION
     rounded: bool = False
-    item_support: float = rules.ITEM_SUPPORT
-    knowledge_support: float = rules.KNOWLEDGE_SUPPORT
-    confidence: float = rules.CONFIDENCE
+    item_support: float = defaults.ITEM_SUPPORT
+    knowledge_support: float = defaults.KNOWLEDGE_SUPPORT
+    confidence: float = defaults.CONFIDENCE
     order_compare: str = "int"
-    extreme_lo: float = 0.2
-    extreme_hi: float = 0.8
+    extreme_lo: float = defaults.EXTREME_LO
+    extreme_hi: float = defaults.EXTREME_HI
     item_rules: bool = False
-    k: int = clusters.K
-    max_iter: int = clusters.MAX_ITER
+    k: int = defaults.K
+    max_iter: int = defaults.MAX_ITER
     include_code: bool = False
     narrow: bool = False
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from itemstats import defaults
 from itemstats.functions.students import code_parts, join_code
 from itemstats.operators import clusters, discretize, item_stats, knowledge, paper_stats, reshape, rules, totals
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
@@ -257,20 +258,20 @@ def q_student_code_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_cluster_profile_given(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheets, items = _inputs(spark, sf_dir)
-    banded = clusters.score_bands(clusters.features(sheets, items), clusters.K)
+    banded = clusters.score_bands(clusters.features(sheets, items), defaults.K)
     return clusters.profile(banded, items)
 
 
 def q_cluster_nearest_given(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheets, items = _inputs(spark, sf_dir)
     feats = clusters.features(sheets, items)
-    cents = clusters.centroids(clusters.score_bands(feats, clusters.K))
+    cents = clusters.centroids(clusters.score_bands(feats, defaults.K))
     return clusters.assign(feats, cents, digits=9).select(*STUDENT_KEYS, "cluster")
 
 
 def q_cluster_centers_given(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheets, items = _inputs(spark, sf_dir)
-    banded = clusters.score_bands(clusters.features(sheets, items), clusters.K)
+    banded = clusters.score_bands(clusters.features(sheets, items), defaults.K)
     return round_doubles(clusters.centers_by_item(banded, items))
 
 
