@@ -284,17 +284,76 @@ WHERE f2.f >= nb.mc AND {conf} >= {confidence}{cond}""",
     )
 
 
-def item_rules_1(support: float = 0.3, confidence: float = 0.6) -> str:
-    tx = f"""SELECT l.paper_code, l.create_time, l.stu_code, l.attempt, CAST(l.item_id AS VARCHAR) || l.label AS tag
+_ITEM_TX = f"""SELECT l.paper_code, l.create_time, l.stu_code, l.attempt, CAST(l.item_id AS VARCHAR) || l.label AS tag
   FROM labels l WHERE NOT EXISTS (
     SELECT 1 FROM ii WHERE ii.paper_code = l.paper_code AND ii.create_time = l.create_time
       AND ii.item_id = l.item_id AND (ii.nandu > 0.8 OR ii.nandu < 0.2))"""
-    return _rules_1(tx, support, confidence, None, _TOTALS, _groups("propagate"), _ITEM_INDEX, _GRID, _LABELS)
+_KL_TX = f"SELECT {_STU}, CAST(kl_id AS VARCHAR) || label AS tag FROM kls WHERE label IS NOT NULL"
+
+
+def item_rules_1(support: float = 0.3, confidence: float = 0.6) -> str:
+    return _rules_1(_ITEM_TX, support, confidence, None, _TOTALS, _groups("propagate"), _ITEM_INDEX, _GRID, _LABELS)
+
+
+def _rules_all(tx: str, support: float, confidence: float, order: str | None, *ctes: str, knowledge: bool = False,
+               fpg: bool = False) -> str:
+    """Every rule of any antecedent size, by brute force: each transaction's subsets are
+    enumerated (a recursive CTE: include or skip each label in turn) and counted."""
+    sets = f"""
+txr AS ({tx}),
+txl AS (SELECT {_STU}, list_sort(list(tag)) AS items FROM txr GROUP BY {_STU}),
+sub AS (
+  SELECT {_STU}, items, CAST([] AS VARCHAR[]) AS s, 0 AS i FROM txl
+  UNION ALL
+  SELECT {_STU}, items, CASE WHEN c.b = 1 THEN list_append(s, items[i + 1]) ELSE s END AS s, i + 1 AS i
+  FROM sub CROSS JOIN (VALUES (0), (1)) AS c(b) WHERE i < len(items)),
+fs AS (
+  SELECT x.paper_code, x.create_time, x.s AS items, COUNT(*) AS f
+  FROM sub x WHERE x.i = len(x.items) AND len(x.s) >= 1
+  GROUP BY x.paper_code, x.create_time, x.s),
+fq AS (SELECT fs.* FROM fs JOIN nb ON nb.paper_code = fs.paper_code AND nb.create_time = fs.create_time WHERE fs.f >= nb.mc),
+cand AS (
+  SELECT paper_code, create_time, items, f, UNNEST(items) AS cons FROM fq WHERE len(items) >= 2)"""
+    cond = ""
+    if order == "int":
+        cond = (" AND list_max(list_transform(list_filter(c.items, lambda x: x <> c.cons), "
+                "lambda x: CAST(regexp_extract(x, '^([0-9]+)', 1) AS INT)))"
+                " < CAST(regexp_extract(c.cons, '^([0-9]+)', 1) AS INT)")
+    conf = "CAST(c.f AS DOUBLE) / a.f"
+    ids = "list_sort(list_transform(list_filter(c.items, lambda x: x <> c.cons), lambda x: CAST(regexp_extract(x, '^([0-9]+)', 1) AS INT)))"
+    if fpg:   # the reference's t_item_fpg shape: ids without labels
+        cols = (f"array_to_string({ids}, ',') AS pre_order, regexp_extract(c.cons, '^([0-9]+)', 1) AS suf_order, "
+                f"ROUND({conf}, 6) AS confidence")
+    else:
+        cols = (f"array_to_string(list_filter(c.items, lambda x: x <> c.cons), ',') AS antecedent, c.cons AS consequent, "
+                f"ROUND({conf}, 6) AS confidence, ROUND(CAST(c.f AS DOUBLE) / nb.n, 6) AS support, "
+                f"ROUND(({conf}) / (CAST(s.f AS DOUBLE) / nb.n), 6) AS lift")
+    return oracle(
+        f"""SELECT c.paper_code, c.create_time, {cols}
+FROM cand c
+JOIN fq a ON a.paper_code = c.paper_code AND a.create_time = c.create_time AND a.items = list_filter(c.items, lambda x: x <> c.cons)
+JOIN fq s ON s.paper_code = c.paper_code AND s.create_time = c.create_time AND s.items = [c.cons]
+JOIN nb ON nb.paper_code = c.paper_code AND nb.create_time = c.create_time
+WHERE {conf} >= {confidence}{cond}""",
+        *ctes, _nb(support), sets, knowledge=knowledge, recursive=True,
+    )
+
+
+def item_rules(support: float = 0.3, confidence: float = 0.6) -> str:
+    return _rules_all(_ITEM_TX, support, confidence, None, _TOTALS, _groups("propagate"), _ITEM_INDEX, _GRID, _LABELS)
+
+
+def knowledge_rules(support: float = 0.45, confidence: float = 0.85, fpg: bool = False) -> str:
+    return _rules_all(_KL_TX, support, confidence, "int", _GRID, _KL, knowledge=True, fpg=fpg)
+
+
+def item_fpg(support: float = 0.3, confidence: float = 0.6) -> str:
+    return _rules_all(_ITEM_TX, support, confidence, None, _TOTALS, _groups("propagate"), _ITEM_INDEX, _GRID, _LABELS,
+                      fpg=True)
 
 
 def knowledge_rules_1(support: float = 0.45, confidence: float = 0.85, compare: str = "int") -> str:
-    tx = f"SELECT {_STU}, CAST(kl_id AS VARCHAR) || label AS tag FROM kls WHERE label IS NOT NULL"
-    return _rules_1(tx, support, confidence, compare, _GRID, _KL, knowledge=True)
+    return _rules_1(_KL_TX, support, confidence, compare, _GRID, _KL, knowledge=True)
 
 
 def incomplete_sheets() -> str:
@@ -406,6 +465,10 @@ def registry() -> dict[str, str]:
         "item_rules_1": item_rules_1(),
         "knowledge_rules_1": knowledge_rules_1(),
         "knowledge_rules_1_text": knowledge_rules_1(compare="string"),
+        "item_rules": item_rules(),
+        "knowledge_rules": knowledge_rules(),
+        "item_fpg": item_fpg(),
+        "knowledge_fpg": knowledge_rules(fpg=True),
         "incomplete_sheets": incomplete_sheets(),
         "latest_attempt": latest_attempt(),
         "student_code_parts": student_code_parts(),

@@ -128,13 +128,13 @@ item_knowledge AS (SELECT p.paper_code, CAST(k.kl_id AS INT) AS kl_id, CAST(k.it
                    FROM papers p CROSS JOIN kpairs k)"""
 
 
-def oracle(body: str, *ctes: str, knowledge: bool = False) -> str:
+def oracle(body: str, *ctes: str, knowledge: bool = False, recursive: bool = False) -> str:
     """Prefix an oracle query with the fixture's common table expressions and ``ctes``."""
     parts = [ORACLE_RESPONSES, ORACLE_BLUEPRINT]
     if knowledge:
         parts.append(ORACLE_KNOWLEDGE)
     parts.extend(ctes)
-    return "WITH " + ",".join(parts) + "\n" + body
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",".join(parts) + "\n" + body
 
 
 def as_json_lines(responses: DataFrame) -> DataFrame:
