@@ -106,3 +106,13 @@ def test_submit_command_line(spark):
     assert set(res) == {"t_score_total", "t_item_index", "t_paper_index", "t_item_fpg"}
     got = results.read_result(spark, f"{out}/t_item_index")
     assert got.count() == 7 and {(r.paper_code, r.create_time) for r in got.collect()} == {("HOUSEHOLD", "20190227110000")}
+
+
+def test_pipeline_parity_options(spark):
+    opts = pipeline.Options(narrow=True, rounded=True, missing="zero")
+    res = pipeline.analyse(fixture.responses(spark, SF_SMALL), fixture.blueprint(spark, SF_SMALL), steps="1", options=opts)
+    types = dict(res["t_item_index"].dtypes)
+    assert types["nandu"] == "decimal(4,3)" and types["fc_score"] == "decimal(4,3)"
+    assert dict(res["t_paper_index"].dtypes)["fc_score"] == "decimal(7,3)"
+    assert res["t_score_total"].filter("total_score is null").count() == 0      # zero mode
+    assert res["t_paper_index"].count() == 5
