@@ -216,6 +216,17 @@ def knowledge_scores() -> str:
     return oracle(f"SELECT {_STU}, kl_id, kl_score, full_mark FROM ks", _GRID, _KL, knowledge=True)
 
 
+def knowledge_scores_zero() -> str:
+    return oracle(
+        f"""SELECT g.paper_code, g.create_time, g.stu_code, g.attempt, kl.kl_id,
+  CAST(SUM(COALESCE(g.score, 0)) AS INT) AS kl_score, MAX(p.full_mark) AS full_mark
+FROM grid g JOIN kl ON kl.paper_code = g.paper_code AND kl.item_id = g.item_id
+JOIN klp p ON p.paper_code = kl.paper_code AND p.kl_id = kl.kl_id
+GROUP BY g.paper_code, g.create_time, g.stu_code, g.attempt, kl.kl_id""",
+        _GRID, _KL, knowledge=True,
+    )
+
+
 def knowledge_labels() -> str:
     return oracle(
         f"SELECT {_STU}, kl_id, kl_score, full_mark, label, CAST(kl_id AS VARCHAR) || label AS tag FROM kls",
@@ -458,6 +469,7 @@ def registry() -> dict[str, str]:
         "kept_items": kept_items(),
         "knowledge_full_marks": knowledge_full_marks(),
         "knowledge_scores": knowledge_scores(),
+        "knowledge_scores_zero": knowledge_scores_zero(),
         "knowledge_labels": knowledge_labels(),
         "item_transactions": item_transactions(),
         "knowledge_transactions": knowledge_transactions(),

@@ -164,6 +164,11 @@ def q_knowledge_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knowledge.scores(sheets, ik, items)
 
 
+def q_knowledge_scores_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items, ik = _kl(spark, sf_dir)
+    return knowledge.scores(sheets, ik, items, missing="zero")
+
+
 def q_knowledge_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheets, items, ik = _kl(spark, sf_dir)
     return knowledge.labels(knowledge.scores(sheets, ik, items))
@@ -314,6 +319,7 @@ def registry() -> dict[str, Query]:
         "kept_items": q_kept_items,
         "knowledge_full_marks": q_knowledge_full_marks,
         "knowledge_scores": q_knowledge_scores,
+        "knowledge_scores_zero": q_knowledge_scores_zero,
         "knowledge_labels": q_knowledge_labels,
         "item_transactions": q_item_transactions,
         "knowledge_transactions": q_knowledge_transactions,
