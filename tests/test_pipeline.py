@@ -116,3 +116,16 @@ def test_pipeline_parity_options(spark):
     assert dict(res["t_paper_index"].dtypes)["fc_score"] == "decimal(7,3)"
     assert res["t_score_total"].filter("total_score is null").count() == 0      # zero mode
     assert res["t_paper_index"].count() == 5
+
+
+def test_pipeline_into_tables(spark):
+    db = "itemstats_pipe_db"
+    results.ensure_tables(spark, db, tempfile.mkdtemp(prefix="itemstats-wh2-"))
+    opts = pipeline.Options(knowledge_support=0.45, max_iter=3)
+    args = (fixture.responses(spark, SF_SMALL), fixture.blueprint(spark, SF_SMALL), db, fixture.item_knowledge(spark, SF_SMALL))
+    pipeline.run(*args, steps="123", options=opts, as_table=True)
+    pipeline.run(*args, steps="123", options=opts, as_table=True)          # a re-run replaces, never appends
+    counts = {t: spark.table(f"{db}.{t}").count() for t in results.DDL}
+    assert counts["t_item_index"] == 35 and counts["t_paper_index"] == 5 and counts["t_score_total"] == 150
+    assert counts["t_item_fpg"] > 0 and 0 < counts["t_item_cluster"] <= 150
+    assert spark.table(f"{db}.t_item_index").filter("nandu < 0 or nandu > 1").count() == 0
