@@ -7,16 +7,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from itemstats.llm import sharding
+from itemstats.llm import html_text, packing, secrets, sharding
 from itemstats.llm.common import table
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find(table(spark, sf_dir, "documents"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_sharding": op10_sharding}
+    return {
+        "op2_html_extraction": op2_html_extraction,
+        "op3_secret_scan": op3_secret_scan,
+        "op7_best_fit_packing": op7_best_fit_packing,
+        "op10_sharding": op10_sharding,
+    }
 
 
 def oracles() -> dict[str, str]:
