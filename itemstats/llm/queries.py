@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from itemstats.llm import html_text, packing, secrets, sharding
+from itemstats.llm import html_text, language_id, packing, secrets, sharding
 from itemstats.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_html_extraction": op2_html_extraction,
         "op3_secret_scan": op3_secret_scan,
         "op7_best_fit_packing": op7_best_fit_packing,
+        "op8_language_id": op8_language_id,
         "op10_sharding": op10_sharding,
     }
 
