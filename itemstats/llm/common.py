@@ -115,7 +115,7 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
         e2 = _star(scratch, both, F.col("v") > F.col("u"))
         # small star: u and its smaller neighbours link to the smallest of them
         e3 = _star(scratch, e2, F.lit(True), own=True)
-        state = tuple(e3.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 31)), F.sum("v")).first())
+        state = tuple(e3.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor("u")).first())
         scratch.free(e, e2)
         e = e3
         if state == last:

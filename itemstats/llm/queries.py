@@ -7,10 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from itemstats.llm import html_text, language_id, packing, secrets, sharding
+from itemstats.llm import embeddings, html_text, language_id, ngram_join, packing, secrets, sharding
 from itemstats.llm.common import table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -19,6 +23,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -33,8 +41,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_html_extraction": op2_html_extraction,
         "op3_secret_scan": op3_secret_scan,
+        "op5_embedding_near_dedup": op5_embedding_near_dedup,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_language_id": op8_language_id,
         "op10_sharding": op10_sharding,
