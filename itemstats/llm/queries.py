@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from itemstats.llm import embeddings, html_text, language_id, ngram_join, packing, secrets, sharding
+from itemstats.llm import decontamination, embeddings, html_text, language_id, line_dedup, ngram_join, packing, secrets, sharding
 from itemstats.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -45,11 +53,13 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_html_extraction": op2_html_extraction,
         "op3_secret_scan": op3_secret_scan,
         "op5_embedding_near_dedup": op5_embedding_near_dedup,
+        "op6_benchmark_decontamination": op6_benchmark_decontamination,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_language_id": op8_language_id,
+        "op9_line_dedup": op9_line_dedup,
         "op10_sharding": op10_sharding,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op9_line_dedup": line_dedup.ORACLE}
