@@ -74,8 +74,15 @@ def test_two_replace_the_smallest():
     assert packing.patterns({6: 1, 3: 1, 2: 2}, 10)[0] == ([6, 2, 2], 1)
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="ab1é'!   \n\tst😀"))
-def test_memo_equals_the_tokenizer(text):
-    encode = packing.Encoder(packing.default_tokenizer())
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab1é'!   \n\tst😀ſ\u00a0\u0345½|<>"))
+def test_ids_equal_the_tokenizer(text):
+    encode = packing.encoder(packing.default_tokenizer())
     assert encode(text) == encode.whole(text)
+
+
+def test_ids_equal_the_tokenizer_on_the_table(spark):
+    encode = packing.encoder(packing.default_tokenizer())
+    assert encode.fast is not None
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect():
+        assert encode(r["text"]) == encode.whole(r["text"])
