@@ -7,7 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from itemstats.llm import decontamination, embeddings, html_text, language_id, line_dedup, ngram_join, packing, secrets, sharding
+from itemstats.llm import (
+    decontamination,
+    embeddings,
+    html_text,
+    language_id,
+    line_dedup,
+    ngram_join,
+    packing,
+    quotations,
+    secrets,
+    sharding,
+)
 from itemstats.llm.common import table
 
 
@@ -23,6 +34,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(table(spark, sf_dir, "documents"))
 
 
+def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.reply_order(table(spark, sf_dir, "conversations"))
+
+
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -52,6 +67,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_html_extraction": op2_html_extraction,
         "op3_secret_scan": op3_secret_scan,
+        "op4_quotation_linking": op4_quotation_linking,
         "op5_embedding_near_dedup": op5_embedding_near_dedup,
         "op6_benchmark_decontamination": op6_benchmark_decontamination,
         "op7_best_fit_packing": op7_best_fit_packing,
