@@ -16,11 +16,13 @@ run to run (D13).  Clusters are finally numbered by ascending mean score.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemstats.defaults import BAD, GOOD, K, MAX_ITER, SEED, TOL
-from itemstats.functions.sizing import BROADCAST_ROWS, small_side
+from itemstats.functions.sizing import BROADCAST_BYTES, measured, small_side, stored
 from itemstats.functions.students import PARTS, code_parts
 from itemstats.operators.reshape import cell, with_papers
 from itemstats.session import ensure_checkpoint_dir
@@ -28,15 +30,18 @@ from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 
 
 
-def features(sheets: DataFrame, items: DataFrame, include_code: bool = False) -> DataFrame:
+def features(sheets: DataFrame, items: DataFrame, include_code: bool = False, missing: str = "propagate") -> DataFrame:
     """Per complete sample: ``scores array<double>`` in item order and ``features``.
 
     ``features`` is ``scores``, or the four code parts followed by the scores
-    with ``include_code=True`` (the reference's vector, D16).  Samples with a
-    missing cell are left out (see :func:`incomplete`).
+    with ``include_code=True`` (the reference's vector, D16).  A missing cell
+    counts 0 with ``missing="zero"``; otherwise such samples are left out, as are
+    those whose code has no numeric parts (:func:`left_out` lists both).
     """
     s = with_papers(sheets, items)
     scores = F.transform("item_ids", lambda i: cell(F.col("cells"), i).cast("double"))
+    if missing == "zero":
+        scores = F.transform(scores, lambda x: F.coalesce(x, F.lit(0.0)))
     s = s.withColumn("scores", scores).filter(F.forall("scores", lambda x: x.isNotNull()))
     if include_code:
         s = code_parts(s)
@@ -53,6 +58,20 @@ def incomplete(sheets: DataFrame, items: DataFrame) -> DataFrame:
     return s.filter(F.exists("item_ids", lambda i: cell(F.col("cells"), i).isNull())).select(*STUDENT_KEYS)
 
 
+def left_out(sheets: DataFrame, items: DataFrame, include_code: bool = False, missing: str = "propagate") -> DataFrame:
+    """Samples without a cluster and why: ``(paper_code, create_time, stu_code, attempt, reason)``,
+    reason ``missing cell``, ``no numeric code`` or ``unknown paper``."""
+    known = items.select("paper_code").distinct()
+    out = sheets.join(small_side(known), "paper_code", "left_anti").select(*STUDENT_KEYS, F.lit("unknown paper").alias("reason"))
+    if missing != "zero":
+        out = out.unionByName(incomplete(sheets, items).withColumn("reason", F.lit("missing cell")))
+    if include_code:
+        parts = code_parts(with_papers(sheets, items).select(*STUDENT_KEYS))
+        bad = parts.filter(F.col("gc").isNull() | F.col("mc").isNull() | F.col("cc").isNull() | F.col("nc").isNull())
+        out = out.unionByName(bad.select(*STUDENT_KEYS, F.lit("no numeric code").alias("reason")))
+    return out
+
+
 def score_bands(df: DataFrame, k: int = K, score: Column | None = None) -> DataFrame:
     """Add ``cluster``: the band of the score sum among ``k`` equal-width bands of the batch,
     ``least(k-1, floor(k * (s - min) / (max - min + 1)))``."""
@@ -65,22 +84,14 @@ def score_bands(df: DataFrame, k: int = K, score: Column | None = None) -> DataF
     )
 
 
-def centroids(assigned: DataFrame, vec: str = "features", width: int | None = None) -> DataFrame:
+def centroids(assigned: DataFrame, vec: str = "features") -> DataFrame:
     """Mean vector of each (batch, cluster): ``(paper_code, create_time, cluster, center, size)``.
 
-    With ``width`` (the longest vector) it is one aggregation with an average per
-    position; otherwise positions are exploded and regrouped."""
-    if width is not None:
-        means = [F.avg(F.col(vec)[i]).alias(f"_m{i}") for i in range(width)]
-        agg = assigned.groupBy(*BATCH_KEYS, "cluster").agg(*means, F.count(F.lit(1)).alias("size"))
-        center = F.filter(F.array(*[F.col(f"_m{i}") for i in range(width)]), lambda x: x.isNotNull())
-        return agg.select(*BATCH_KEYS, "cluster", center.alias("center"), "size")
-    cells = assigned.select(*BATCH_KEYS, "cluster", F.posexplode(vec).alias("_pos", "_x"))
-    means = cells.groupBy(*BATCH_KEYS, "cluster", "_pos").agg(F.avg("_x").alias("_m"), F.count(F.lit(1)).alias("_n"))
-    return means.groupBy(*BATCH_KEYS, "cluster").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_m"))), lambda p: p["_m"]).alias("center"),
-        F.max("_n").alias("size"),
+    One aggregation with partial sums per vector; papers may have any number of items."""
+    agg = assigned.withColumn("_v", array_to_vector(vec)).groupBy(*BATCH_KEYS, "cluster").agg(
+        Summarizer.mean(F.col("_v")).alias("_m"), F.count(F.lit(1)).alias("size")
     )
+    return agg.select(*BATCH_KEYS, "cluster", vector_to_array("_m").alias("center"), "size")
 
 
 def _sqdist(x: Column, c: Column) -> Column:
@@ -119,8 +130,8 @@ def _uniform(seed: int, step: int) -> Column:
 
 
 def _centroids_small(cents: DataFrame) -> bool:
-    """The centroid list has one row per batch whatever the step: count the batches once."""
-    return cents.select(*BATCH_KEYS).distinct().count() <= BROADCAST_ROWS
+    """Whether the first step's centroids, times the ``K`` there may be, stay under the broadcast bound."""
+    return measured(cents)[1] * K <= BROADCAST_BYTES
 
 
 def seeds(feats: DataFrame, k: int = K, seed: int = SEED, vec: str = "features") -> DataFrame:
@@ -154,10 +165,9 @@ def fit(feats: DataFrame, k: int = K, max_iter: int = MAX_ITER, tol: float = TOL
     """
     ensure_checkpoint_dir(feats.sparkSession)
     cents = seeds(feats, k, seed)
-    small = _centroids_small(cents)
-    width = feats.agg(F.max(F.size("features"))).first()[0] or 0
+    small = _centroids_small(cents.filter("cluster = 0"))
     for _ in range(max_iter):
-        new = centroids(assign(feats, cents, small=small), width=width).checkpoint()
+        new = centroids(assign(feats, cents, small=small)).checkpoint()
         # one small job: the largest centroid move; a cluster that appeared or emptied counts as infinite
         old = cents.select(*BATCH_KEYS, "cluster", F.col("center").alias("_old"))
         moved = new.join(old, [*BATCH_KEYS, "cluster"], "full_outer")
@@ -210,12 +220,12 @@ def profile(assigned: DataFrame, items: DataFrame, good: tuple[float, float] = G
 
 
 def run(sheets: DataFrame, items: DataFrame, k: int = K, max_iter: int = MAX_ITER, tol: float = TOL,
-        include_code: bool = False, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+        include_code: bool = False, seed: int = SEED, missing: str = "propagate") -> tuple[DataFrame, DataFrame]:
     """Features -> k-means -> relabelled assignment -> profile.  Returns ``(profile, assigned)``."""
     ensure_checkpoint_dir(sheets.sparkSession)
-    feats = features(sheets, items, include_code).checkpoint()
+    feats = stored(features(sheets, items, include_code, missing))
     cents = fit(feats, k, max_iter, tol, seed)
-    assigned = relabel(assign(feats, cents, small=_centroids_small(cents)))
+    assigned = relabel(assign(feats, cents, small=_centroids_small(cents.filter("cluster = 0"))))
     return profile(assigned, items), assigned
 
 

@@ -10,22 +10,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemstats.defaults import GROUP_FRACTION
+from itemstats.operators.reshape import cell
 from itemstats.operators.totals import high_low_groups, total_score
 from itemstats.schema import BATCH_KEYS, ITEM_INDEX_COLUMNS, OBJECTIVE
 
 
 def from_groups(grouped: DataFrame, items: DataFrame) -> DataFrame:
-    """Item statistics from sheets carrying ``cells``, ``is_high``, ``is_low``, ``n``, ``pg``.
+    """Item statistics from sheets carrying ``cells``, ``item_ids``, ``is_high``, ``is_low``, ``n``, ``pg``.
 
-    * max / min / avg / var_pop / stddev_pop skip missing cells;
+    * every item of the blueprint has a row, also one nobody answered (null statistics);
+    * max / min / avg / var_pop / stddev_pop skip missing cells (``missing="zero"`` has none:
+      :func:`itemstats.operators.totals.total_score` fills them with 0);
     * ``nandu`` (difficulty) = sum / full mark / n, so a missing cell counts 0;
     * ``qufendu`` (discrimination) = (sum over high group - sum over low group) / pg
       divided by the full mark for an objective item, by (max - min) for a
-      subjective one; null when a divisor is 0.
+      subjective one; null when a divisor is 0 or a group has no score of the item.
     """
     cells = grouped.select(
-        *BATCH_KEYS, "n", "pg", "is_high", "is_low", F.explode("cells").alias("item_id", "score")
-    )
+        *BATCH_KEYS, "n", "pg", "is_high", "is_low", "cells", F.explode("item_ids").alias("item_id")
+    ).withColumn("score", cell(F.col("cells"), F.col("item_id")))
     score = F.col("score")
     agg = cells.groupBy(*BATCH_KEYS, "item_id").agg(
         F.max(score).alias("max_score"),
@@ -34,8 +37,8 @@ def from_groups(grouped: DataFrame, items: DataFrame) -> DataFrame:
         F.var_pop(score).alias("fc_score"),
         F.stddev_pop(score).alias("bzc_score"),
         F.sum(score).alias("_sum"),
-        F.sum(F.when(F.col("is_high"), score).otherwise(0)).alias("_sum_hi"),
-        F.sum(F.when(F.col("is_low"), score).otherwise(0)).alias("_sum_lo"),
+        F.sum(F.when(F.col("is_high"), score)).alias("_sum_hi"),
+        F.sum(F.when(F.col("is_low"), score)).alias("_sum_lo"),
         F.max("n").alias("_n"),
         F.max("pg").alias("_pg"),
     )

@@ -1,18 +1,11 @@
 """Rank rows inside groups without putting a group into one task.
 
 ``row_number()`` over ``Window.partitionBy(group)`` sorts a whole group in one
-task, which fails when one paper holds a third of the students.  Here the rank
-of a key is the number of smaller keys in its group, computed from a
-character-prefix tree of the keys:
-
-    rank(k) = sum over levels L of  #keys that share k[:L-1] and whose L-th
-              character is smaller than k[L]
-
-The tree counts come from one aggregation (partial aggregation collapses the
-shallow, crowded levels), the "smaller siblings" sums from a window whose
-partitions are the children of one node (at most one alphabet wide), and the
-per-key sum from one more aggregation.  Every shuffle is keyed by tree node or
-by key, never by the group alone.
+task, which fails when one paper holds a third of the students.  Here the rows
+are range-partitioned by (group, key) and sorted inside their partition, so a
+group spans as many partitions as it needs; a row's rank is its place among
+its group's rows in the partition plus the number of the group's rows in the
+partitions before, carried in a table of one row per (partition, group).
 """
 
 from __future__ import annotations
@@ -22,33 +15,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Appended to every key so that no key is a prefix of another; it sorts before
-# every other character, as the end of a shorter string does.
-_END = "\u0000"
+from itemstats.functions.sizing import small_side, stored
 
 
 def rank_in_group(df: DataFrame, group_cols: Sequence[str], key: Column, rank_col: str = "rank") -> DataFrame:
     """Add ``rank_col``: the 0-based position of ``key`` among its group, ascending.
 
-    Keys must be distinct within a group and must not contain U+0000.
-    Ordering is Spark's string order (UTF-8 bytes), the order of ``ORDER BY key``.
-    ``df`` is read twice, so it should be deterministic (a scan or a checkpoint).
+    Ordering is Spark's string order (UTF-8 bytes), the order of ``ORDER BY key``;
+    equal keys of a group take their places in any order.
     """
     g = list(group_cols)
-    rows = df.withColumn("_rk_key", F.concat(key.cast("string"), F.lit(_END)))
-    k = F.col("_rk_key")
-    steps = F.transform(
-        F.sequence(F.lit(1), F.length(k)),
-        lambda i: F.struct(
-            i.alias("_lvl"),
-            k.substr(F.lit(1), i - 1).alias("_parent"),
-            k.substr(i, F.lit(1)).alias("_ch"),
-        ),
-    )
-    paths = rows.select(*g, "_rk_key", F.inline(steps))
-    node = [*g, "_lvl", "_parent", "_ch"]
-    counts = paths.groupBy(*node).agg(F.count(F.lit(1)).alias("_n"))
-    siblings = Window.partitionBy(*g, "_lvl", "_parent").orderBy("_ch").rowsBetween(Window.unboundedPreceding, -1)
-    smaller = counts.select(*node, F.coalesce(F.sum("_n").over(siblings), F.lit(0)).alias("_smaller"))
-    ranks = paths.join(smaller, node).groupBy(*g, "_rk_key").agg(F.sum("_smaller").alias(rank_col))
-    return rows.join(ranks, [*g, "_rk_key"]).drop("_rk_key")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*g, "_rk_key"]
+    rows = df.withColumn("_rk_key", key.cast("string")).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # written once: the range bounds are sampled, and every branch below must see the same partitions
+    rows = stored(rows.withColumn("_rk_at", F.monotonically_increasing_id()))
+    rows = rows.withColumn("_rk_part", F.shiftright("_rk_at", 33))
+    held = rows.groupBy(*g, "_rk_part").agg(F.min("_rk_at").alias("_rk_first"), F.count(F.lit(1)).alias("_rk_n"))
+    before = Window.partitionBy(*g).orderBy("_rk_part").rowsBetween(Window.unboundedPreceding, -1)  # partitions of one group
+    held = small_side(held.withColumn("_rk_before", F.coalesce(F.sum("_rk_n").over(before), F.lit(0))).drop("_rk_n"))
+    same = F.col("_r._rk_part") == F.col("_h._rk_part")
+    for c in g:
+        same = same & F.col(f"_r.{c}").eqNullSafe(F.col(f"_h.{c}"))
+    rank = F.col("_rk_at") - F.col("_rk_first") + F.col("_rk_before")
+    joined = rows.alias("_r").join(held.alias("_h"), same)
+    return joined.select(*[F.col(f"_r.{c}") for c in df.columns], rank.alias(rank_col))

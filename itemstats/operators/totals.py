@@ -20,16 +20,25 @@ def total_score(sheets: DataFrame, items: DataFrame, missing: str = "propagate")
 
     ``missing="propagate"``: null when any cell of the paper is missing or null,
     as the reference's ``item1.i1 + item1.i2 + ...``.  ``"zero"``: missing cells
-    count 0.  Also adds ``item_ids`` and ``n_items`` of the paper.
+    count 0, and ``cells`` holds those zeros, so item statistics read the same sample.
+    Also adds ``item_ids`` and ``n_items`` of the paper.
     """
     if missing not in MISSING_MODES:
         raise ValueError(f"missing must be one of {MISSING_MODES}")
     s = with_papers(sheets, items)
     scores = F.transform("item_ids", lambda i: cell(F.col("cells"), i))
+    kind = score_type(sheets)
     if missing == "zero":
-        scores = F.transform(scores, lambda x: F.coalesce(x, F.lit(0)))
-    total = F.aggregate(scores, F.lit(0), lambda acc, x: acc + x)
-    return s.withColumn("total_score", total.cast("int"))
+        scores = F.transform(scores, lambda x: F.coalesce(x, F.lit(0).cast(kind)))
+        s = s.withColumn("cells", F.map_from_arrays("item_ids", scores))
+        scores = F.map_values("cells")
+    total = F.aggregate(scores, F.lit(0).cast(kind), lambda acc, x: (acc + x).cast(kind))
+    return s.withColumn("total_score", total.cast(kind))
+
+
+def score_type(sheets: DataFrame) -> str:
+    """Type of the scores on the sheets: ``int``, or ``double`` where marks may be fractional."""
+    return sheets.schema["cells"].dataType.valueType.simpleString()
 
 
 def group_sizes(totals: DataFrame, fraction: float = GROUP_FRACTION) -> DataFrame:
@@ -78,7 +87,7 @@ def high_low_groups(totals: DataFrame, fraction: float = GROUP_FRACTION) -> Data
     """
     ensure_checkpoint_dir(totals.sparkSession)
     t = totals.withColumn("_tnull", F.col("total_score").isNull()).withColumn(
-        "_tval", F.coalesce(F.col("total_score"), F.lit(0))
+        "_tval", F.coalesce(F.col("total_score"), F.lit(0).cast(totals.schema["total_score"].dataType))
     )
     hist = small_side(
         _histogram(t, fraction).select(*BATCH_KEYS, "_tnull", "_tval", "n", "pg", "_cnt", "_take_hi", "_take_lo")

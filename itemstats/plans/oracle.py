@@ -35,21 +35,31 @@ g AS (
   FROM t)"""
 
 
-_ITEM_INDEX = """
+_GRID = """
+students AS (SELECT DISTINCT paper_code, create_time, stu_code, attempt FROM responses),
+grid AS (
+  SELECT s.paper_code, s.create_time, s.stu_code, s.attempt, i.item_id, i.kind, i.full_mark, r.score
+  FROM students s JOIN items i ON i.paper_code = s.paper_code
+  LEFT JOIN responses r ON r.paper_code = s.paper_code AND r.create_time = s.create_time
+       AND r.stu_code = s.stu_code AND r.attempt = s.attempt AND r.item_id = i.item_id)"""
+
+
+def _item_index(mode: str = "propagate") -> str:
+    score = "COALESCE(r.score, 0)" if mode == "zero" else "r.score"
+    return f"""
 ii AS (
   SELECT r.paper_code, r.create_time, r.item_id,
-    MAX(r.score) AS max_score, MIN(r.score) AS min_score,
-    AVG(r.score) AS avg_score, VAR_POP(r.score) AS fc_score, STDDEV_POP(r.score) AS bzc_score,
-    CAST(SUM(r.score) AS DOUBLE) / MAX(i.full_mark) / MAX(g.n) AS nandu,
-    CAST(SUM(CASE WHEN g.rh <= g.pg THEN r.score ELSE 0 END)
-         - SUM(CASE WHEN g.rl <= g.pg THEN r.score ELSE 0 END) AS DOUBLE)
+    MAX({score}) AS max_score, MIN({score}) AS min_score,
+    AVG({score}) AS avg_score, VAR_POP({score}) AS fc_score, STDDEV_POP({score}) AS bzc_score,
+    CAST(SUM({score}) AS DOUBLE) / MAX(r.full_mark) / MAX(g.n) AS nandu,
+    CAST(SUM(CASE WHEN g.rh <= g.pg THEN {score} END)
+         - SUM(CASE WHEN g.rl <= g.pg THEN {score} END) AS DOUBLE)
       / NULLIF(MAX(g.pg), 0)
-      / CASE WHEN MAX(i.kind) = 'objective' THEN MAX(i.full_mark)
-             ELSE NULLIF(MAX(r.score) - MIN(r.score), 0) END AS qufendu
-  FROM responses r
+      / CASE WHEN MAX(r.kind) = 'objective' THEN MAX(r.full_mark)
+             ELSE NULLIF(MAX({score}) - MIN({score}), 0) END AS qufendu
+  FROM grid r
   JOIN g ON r.paper_code = g.paper_code AND r.create_time = g.create_time
         AND r.stu_code = g.stu_code AND r.attempt = g.attempt
-  JOIN items i ON r.paper_code = i.paper_code AND r.item_id = i.item_id
   GROUP BY r.paper_code, r.create_time, r.item_id)"""
 
 
@@ -86,7 +96,8 @@ def item_index(mode: str = "propagate") -> str:
   {r6("avg_score", "fc_score", "bzc_score", "nandu", "qufendu")} FROM ii""",
         _TOTALS,
         _groups(mode),
-        _ITEM_INDEX,
+        _GRID,
+        _item_index(mode),
     )
 
 
@@ -109,18 +120,11 @@ JOIN (SELECT paper_code, create_time, AVG({v("nandu")}) AS nandu, AVG({v("qufend
 JOIN pitems k ON p.paper_code = k.paper_code""",
         _TOTALS,
         _groups(mode),
-        _ITEM_INDEX,
+        _GRID,
+        _item_index(mode),
     )
 
 
-_GRID = """
-students AS (SELECT DISTINCT paper_code, create_time, stu_code, attempt FROM responses),
-grid AS (
-  SELECT s.paper_code, s.create_time, s.stu_code, s.attempt, i.item_id, i.kind, i.full_mark, r.score
-  FROM students s JOIN items i ON i.paper_code = s.paper_code
-  LEFT JOIN responses r ON r.paper_code = s.paper_code AND r.create_time = s.create_time
-       AND r.stu_code = s.stu_code AND r.attempt = s.attempt AND r.item_id = i.item_id)"""
-
 _LABELS = """
 labels AS (
   SELECT paper_code, create_time, stu_code, attempt, item_id, score,
@@ -193,14 +197,14 @@ _EXTREME = "(nandu > 0.7 OR nandu < 0.45)"
 def extreme_items() -> str:
     return oracle(
         f"SELECT paper_code, create_time, item_id, ROUND(nandu, 6) AS nandu FROM ii WHERE {_EXTREME}",
-        _TOTALS, _groups("propagate"), _ITEM_INDEX,
+        _TOTALS, _groups("propagate"), _GRID, _item_index(),
     )
 
 
 def kept_items() -> str:
     return oracle(
         f"SELECT paper_code, create_time, item_id FROM ii WHERE NOT COALESCE({_EXTREME}, FALSE)",
-        _TOTALS, _groups("propagate"), _ITEM_INDEX,
+        _TOTALS, _groups("propagate"), _GRID, _item_index(),
     )
 
 
@@ -303,14 +307,13 @@ _KL_TX = f"SELECT {_STU}, CAST(kl_id AS VARCHAR) || label AS tag FROM kls WHERE
 
 
 def item_rules_1(support: float = 0.3, confidence: float = 0.6) -> str:
-    return _rules_1(_ITEM_TX, support, confidence, None, _TOTALS, _groups("propagate"), _ITEM_INDEX, _GRID, _LABELS)
+    return _rules_1(_ITEM_TX, support, confidence, None, _TOTALS, _groups("propagate"), _GRID, _item_index(), _LABELS)
 
 
-def _rules_all(tx: str, support: float, confidence: float, order: str | None, *ctes: str, knowledge: bool = False,
-               fpg: bool = False) -> str:
-    """Every rule of any antecedent size, by brute force: each transaction's subsets are
+def _all_itemsets(tx: str) -> str:
+    """Every itemset that reaches its batch's count, by brute force: each transaction's subsets are
     enumerated (a recursive CTE: include or skip each label in turn) and counted."""
-    sets = f"""
+    return f"""
 txr AS ({tx}),
 txl AS (SELECT {_STU}, list_sort(list(tag)) AS items FROM txr GROUP BY {_STU}),
 sub AS (
@@ -322,7 +325,21 @@ fs AS (
   SELECT x.paper_code, x.create_time, x.s AS items, COUNT(*) AS f
   FROM sub x WHERE x.i = len(x.items) AND len(x.s) >= 1
   GROUP BY x.paper_code, x.create_time, x.s),
-fq AS (SELECT fs.* FROM fs JOIN nb ON nb.paper_code = fs.paper_code AND nb.create_time = fs.create_time WHERE fs.f >= nb.mc),
+fq AS (SELECT fs.* FROM fs JOIN nb ON nb.paper_code = fs.paper_code AND nb.create_time = fs.create_time WHERE fs.f >= nb.mc)"""
+
+
+def frequent_itemsets(support: float = 0.3) -> str:
+    tx = f"SELECT {_STU}, CAST(item_id AS VARCHAR) || label AS tag FROM labels"
+    return oracle(
+        "SELECT paper_code, create_time, array_to_string(items, ',') AS items, f AS freq FROM fq",
+        _GRID, _LABELS, _nb(support), _all_itemsets(tx), recursive=True,
+    )
+
+
+def _rules_all(tx: str, support: float, confidence: float, order: str | None, *ctes: str, knowledge: bool = False,
+               fpg: bool = False) -> str:
+    """Every rule of any antecedent size, from all frequent itemsets."""
+    sets = _all_itemsets(tx) + """,
 cand AS (
   SELECT paper_code, create_time, items, f, UNNEST(items) AS cons FROM fq WHERE len(items) >= 2)"""
     cond = ""
@@ -330,6 +347,9 @@ cand AS (
         cond = (" AND list_max(list_transform(list_filter(c.items, lambda x: x <> c.cons), "
                 "lambda x: CAST(regexp_extract(x, '^([0-9]+)', 1) AS INT)))"
                 " < CAST(regexp_extract(c.cons, '^([0-9]+)', 1) AS INT)")
+    elif order == "string":
+        cond = (" AND list_max(list_transform(list_filter(c.items, lambda x: x <> c.cons), "
+                "lambda x: regexp_extract(x, '^([0-9]+)', 1))) < regexp_extract(c.cons, '^([0-9]+)', 1)")
     conf = "CAST(c.f AS DOUBLE) / a.f"
     ids = "list_sort(list_transform(list_filter(c.items, lambda x: x <> c.cons), lambda x: CAST(regexp_extract(x, '^([0-9]+)', 1) AS INT)))"
     if fpg:   # the reference's t_item_fpg shape: ids without labels
@@ -351,15 +371,15 @@ WHERE {conf} >= {confidence}{cond}""",
 
 
 def item_rules(support: float = 0.3, confidence: float = 0.6) -> str:
-    return _rules_all(_ITEM_TX, support, confidence, None, _TOTALS, _groups("propagate"), _ITEM_INDEX, _GRID, _LABELS)
+    return _rules_all(_ITEM_TX, support, confidence, None, _TOTALS, _groups("propagate"), _GRID, _item_index(), _LABELS)
 
 
-def knowledge_rules(support: float = 0.45, confidence: float = 0.85, fpg: bool = False) -> str:
-    return _rules_all(_KL_TX, support, confidence, "int", _GRID, _KL, knowledge=True, fpg=fpg)
+def knowledge_rules(support: float = 0.45, confidence: float = 0.85, fpg: bool = False, compare: str = "int") -> str:
+    return _rules_all(_KL_TX, support, confidence, compare, _GRID, _KL, knowledge=True, fpg=fpg)
 
 
 def item_fpg(support: float = 0.3, confidence: float = 0.6) -> str:
-    return _rules_all(_ITEM_TX, support, confidence, None, _TOTALS, _groups("propagate"), _ITEM_INDEX, _GRID, _LABELS,
+    return _rules_all(_ITEM_TX, support, confidence, None, _TOTALS, _groups("propagate"), _GRID, _item_index(), _LABELS,
                       fpg=True)
 
 
@@ -443,7 +463,7 @@ def item_index_narrow() -> str:
     cols = ", ".join(f"CAST(TRY_CAST({c} AS DECIMAL(4,3)) AS DOUBLE) AS {c}" for c in ("avg_score", "fc_score", "bzc_score", "nandu", "qufendu"))
     return oracle(
         f"SELECT paper_code, create_time, item_id, max_score, min_score, {cols} FROM ii",
-        _TOTALS, _groups("propagate"), _ITEM_INDEX,
+        _TOTALS, _groups("propagate"), _GRID, _item_index(),
     )
 
 
@@ -474,11 +494,13 @@ def registry() -> dict[str, str]:
         "item_transactions": item_transactions(),
         "knowledge_transactions": knowledge_transactions(),
         "frequent_itemsets_le3": frequent_itemsets_le3(),
+        "frequent_itemsets": frequent_itemsets(),
         "item_rules_1": item_rules_1(),
         "knowledge_rules_1": knowledge_rules_1(),
         "knowledge_rules_1_text": knowledge_rules_1(compare="string"),
         "item_rules": item_rules(),
         "knowledge_rules": knowledge_rules(),
+        "knowledge_rules_text": knowledge_rules(compare="string"),
         "item_fpg": item_fpg(),
         "knowledge_fpg": knowledge_rules(fpg=True),
         "incomplete_sheets": incomplete_sheets(),

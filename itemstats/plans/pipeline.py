@@ -7,10 +7,10 @@ Steps, as the reference's ``executorStep`` digits:
   ``item_rules=True``, the reference's commented-out variant): ``t_item_fpg``;
 * ``"3"`` student clusters: ``t_item_cluster``.
 
-The long responses are shuffled once into answer sheets, which are
-checkpointed to the session's ``spark.checkpoint.dir`` (a shared folder on a
-cluster), so every result reads the same materialised sheets and a lost
-executor costs a recomputation from the checkpoint, not from the raw files.
+The long responses are shuffled once into answer sheets, which are written as
+Parquet below the session's ``spark.checkpoint.dir`` (a shared folder on a
+cluster), so every result reads only its columns of the same sheets and a lost
+executor costs a re-read, not a recomputation from the raw files.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from itemstats import defaults
+from itemstats.functions.sizing import stored
 from itemstats.operators import clusters, item_stats, paper_stats, reshape, rules, totals
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 from itemstats.session import ensure_checkpoint_dir
@@ -61,12 +62,12 @@ def analyse(responses: DataFrame | None, blueprint: DataFrame, item_knowledge: D
     if requests is not None:
         src = src.join(requests.select(*BATCH_KEYS).distinct(), BATCH_KEYS, "left_semi")
     items = reshape.blueprint_items(blueprint)
-    sheets = (src if sheets is not None else reshape.answer_sheets(src)).checkpoint()
+    sheets = stored(src if sheets is not None else reshape.answer_sheets(src))
     out: dict[str, DataFrame] = {}
     ii = None
     if "1" in steps or ("2" in steps and o.item_rules):
         t = totals.total_score(sheets, items, o.missing)
-        grouped = totals.high_low_groups(t, o.fraction).checkpoint()
+        grouped = stored(totals.high_low_groups(t, o.fraction))
         ii = item_stats.from_groups(grouped, items)
         if "1" in steps:
             out["t_score_total"] = grouped.select(*STUDENT_KEYS, "total_score")
@@ -79,7 +80,7 @@ def analyse(responses: DataFrame | None, blueprint: DataFrame, item_knowledge: D
                                        o.order_compare, o.missing)
             fpg.append(rules.format_rules(kr))
         if o.item_rules:
-            ir = rules.item_rules(sheets, items, ii, o.item_support, o.confidence, o.extreme_lo, o.extreme_hi)
+            ir = rules.item_rules(sheets, items, ii, o.item_support, o.confidence, o.extreme_lo, o.extreme_hi, o.rounded)
             fpg.append(rules.format_rules(ir))
         if fpg:
             res = fpg[0]
@@ -87,7 +88,7 @@ def analyse(responses: DataFrame | None, blueprint: DataFrame, item_knowledge: D
                 res = res.unionByName(f)
             out["t_item_fpg"] = res
     if "3" in steps:
-        prof, _ = clusters.run(sheets, items, o.k, o.max_iter, include_code=o.include_code)
+        prof, _ = clusters.run(sheets, items, o.k, o.max_iter, include_code=o.include_code, missing=o.missing)
         out["t_item_cluster"] = prof
     if o.narrow:
         out = {name: sinks.narrow(df, name) for name, df in out.items()}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from itemstats import defaults
+from itemstats.functions.sizing import stored
 from itemstats.functions.students import code_parts, join_code
 from itemstats.operators import clusters, discretize, item_stats, knowledge, paper_stats, reshape, rules, totals
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
@@ -35,11 +36,11 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Answer sheets (checkpointed: every branch of a query reads them) and blueprint items."""
+    """Answer sheets (stored: every branch of a query reads them) and blueprint items."""
     responses = fixture.responses(spark, sf_dir)
     items = reshape.blueprint_items(fixture.blueprint(spark, sf_dir))
     ensure_checkpoint_dir(spark)
-    return reshape.answer_sheets(responses).checkpoint(), items
+    return stored(reshape.answer_sheets(responses)), items
 
 
 def q_total_score(mode: str) -> Query:
@@ -93,7 +94,7 @@ EXTREME_LO, EXTREME_HI = 0.45, 0.7
 def _json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture written as the reference's JSON lines, materialised like landed files."""
     ensure_checkpoint_dir(spark)
-    return fixture.as_json_lines(fixture.responses(spark, sf_dir)).checkpoint()
+    return stored(fixture.as_json_lines(fixture.responses(spark, sf_dir)))
 
 
 def q_responses_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +155,8 @@ def _kl(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFra
 
 
 def q_knowledge_full_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, items, ik = _kl(spark, sf_dir)
+    items = reshape.blueprint_items(fixture.blueprint(spark, sf_dir))
+    ik = tables.read_item_knowledge(spark, fixture.item_knowledge(spark, sf_dir))
     fm = knowledge.full_marks(ik, items)
     return fm.select("paper_code", "kl_id", F.array_join("kl_items", ",").alias("kl_items"), "full_mark")
 
@@ -190,6 +192,12 @@ def q_frequent_itemsets_le3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.filter(F.size("items") <= 3).select(*BATCH_KEYS, F.array_join("items", ",").alias("items"), "freq")
 
 
+def q_frequent_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items = _inputs(spark, sf_dir)
+    sets = rules.frequent_itemsets(discretize.item_transactions(sheets, items), ITEMSET_SUPPORT)
+    return sets.select(*BATCH_KEYS, F.array_join("items", ",").alias("items"), "freq")
+
+
 def _rule_rows(r: DataFrame) -> DataFrame:
     return round_doubles(
         r.select(
@@ -245,6 +253,12 @@ def q_knowledge_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rule_rows(_knowledge_rules(spark, sf_dir))
 
 
+def q_knowledge_rules_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Knowledge rules of any size under the reference's text comparison of ids."""
+    sheets, items, ik = _kl(spark, sf_dir)
+    return _rule_rows(rules.knowledge_rules(sheets, ik, items, KL_RULE_SUPPORT, KL_RULE_CONFIDENCE, compare="string"))
+
+
 def q_item_fpg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item rules in the reference's ``t_item_fpg`` shape."""
     return round_doubles(rules.format_rules(_item_rules(spark, sf_dir)))
@@ -324,6 +338,7 @@ def registry() -> dict[str, Query]:
         "item_transactions": q_item_transactions,
         "knowledge_transactions": q_knowledge_transactions,
         "frequent_itemsets_le3": q_frequent_itemsets_le3,
+        "frequent_itemsets": q_frequent_itemsets,
         "item_rules_1": q_item_rules_1,
         "knowledge_rules_1": q_knowledge_rules_1,
         "knowledge_rules_1_text": q_knowledge_rules_1_text,
@@ -331,6 +346,7 @@ def registry() -> dict[str, Query]:
         "latest_attempt": q_latest_attempt,
         "item_rules": q_item_rules,
         "knowledge_rules": q_knowledge_rules,
+        "knowledge_rules_text": q_knowledge_rules_text,
         "item_fpg": q_item_fpg,
         "knowledge_fpg": q_knowledge_fpg,
         "student_code_parts": q_student_code_parts,
