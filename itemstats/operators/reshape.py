@@ -79,10 +79,11 @@ def answer_sheets(responses: DataFrame) -> DataFrame:
 
 def unique_cells(entries: Column) -> Column:
     """``array<struct<item_id, score>>`` -> ``map<item_id, score>``; an item given twice on one
-    sheet keeps one value (the lower score) instead of failing the job."""
+    sheet keeps one value (the lower score; a score before a null) instead of failing the job."""
     # each entry is compared with the previous item id; the arrays are built once per row
     # (a lambda that referred back to the sorted array would re-sort it for every element)
-    ordered = F.array_sort(entries)
+    flagged = F.transform(entries, lambda e: F.struct(e["item_id"].alias("item_id"), e["score"].isNull().alias("_none"), e["score"].alias("score")))
+    ordered = F.transform(F.array_sort(flagged), lambda e: F.struct(e["item_id"].alias("item_id"), e["score"].alias("score")))
     ids = F.transform(ordered, lambda e: e["item_id"])
     prev = F.concat(F.array(F.lit(None).cast("int")), F.slice(ids, 1, F.greatest(F.size(ids) - 1, F.lit(0))))
     firsts = F.zip_with(ordered, prev, lambda e, p: F.when(p.isNull() | (e["item_id"] != p), e))

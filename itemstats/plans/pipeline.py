@@ -24,6 +24,7 @@ from itemstats.functions.sizing import stored
 from itemstats.operators import clusters, item_stats, paper_stats, reshape, rules, totals
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 from itemstats.session import ensure_checkpoint_dir
+from itemstats.sinks import external
 from itemstats.sinks import results as sinks
 
 
@@ -48,7 +49,9 @@ class Options:
 def analyse(responses: DataFrame | None, blueprint: DataFrame, item_knowledge: DataFrame | None = None,
             steps: str = "123", requests: DataFrame | None = None, options: Options | None = None,
             sheets: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Build the result DataFrames of the requested steps (MLlib fits run eagerly).
+    """Build the result DataFrames of the requested steps (MLlib fits run eagerly), with
+    ``batches`` (the batches analysed) and, for step 3, ``left_out`` (samples without a cluster
+    and why).
 
     Input is the long ``responses`` or, from :func:`itemstats.sources.responses.read_sheets`,
     ready ``sheets``.  ``requests(paper_code, create_time)`` restricts the run to
@@ -63,7 +66,7 @@ def analyse(responses: DataFrame | None, blueprint: DataFrame, item_knowledge: D
         src = src.join(requests.select(*BATCH_KEYS).distinct(), BATCH_KEYS, "left_semi")
     items = reshape.blueprint_items(blueprint)
     sheets = stored(src if sheets is not None else reshape.answer_sheets(src))
-    out: dict[str, DataFrame] = {}
+    out: dict[str, DataFrame] = {"batches": reshape.batches(sheets)}
     ii = None
     if "1" in steps or ("2" in steps and o.item_rules):
         t = totals.total_score(sheets, items, o.missing)
@@ -90,6 +93,7 @@ def analyse(responses: DataFrame | None, blueprint: DataFrame, item_knowledge: D
     if "3" in steps:
         prof, _ = clusters.run(sheets, items, o.k, o.max_iter, include_code=o.include_code, missing=o.missing)
         out["t_item_cluster"] = prof
+        out["left_out"] = clusters.left_out(sheets, items, o.include_code, o.missing)
     if o.narrow:
         out = {name: sinks.narrow(df, name) for name, df in out.items()}
     return out
@@ -97,10 +101,18 @@ def analyse(responses: DataFrame | None, blueprint: DataFrame, item_knowledge: D
 
 def run(responses: DataFrame | None, blueprint: DataFrame, target: str, item_knowledge: DataFrame | None = None,
         steps: str = "123", requests: DataFrame | None = None, options: Options | None = None,
-        as_table: bool = False, sheets: DataFrame | None = None) -> dict[str, DataFrame]:
+        as_table: bool = False, sheets: DataFrame | None = None, jdbc: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """:func:`analyse`, then write every result under ``target`` (``<target>/<table>`` or
-    ``<target>.<table>`` with ``as_table``), replacing only the batches analysed."""
+    ``<target>.<table>`` with ``as_table``, created where missing), replacing only the batches
+    analysed, also where they now give no row.  With ``jdbc`` (``url`` and connection properties)
+    the results are appended to database tables of the same names as well."""
+    if as_table:
+        sinks.ensure_tables((responses if responses is not None else sheets).sparkSession, target)
     res = analyse(responses, blueprint, item_knowledge, steps, requests, options, sheets)
+    analysed = res.pop("batches")
     for name, df in res.items():
-        sinks.write_result(df, f"{target}.{name}" if as_table else f"{target.rstrip('/')}/{name}", as_table)
+        if name in sinks.DDL:
+            sinks.write_result(df, f"{target}.{name}" if as_table else f"{target.rstrip('/')}/{name}", as_table, analysed)
+            if jdbc:
+                external.write_jdbc(df, jdbc["url"], name, {k: v for k, v in jdbc.items() if k != "url"})
     return res

@@ -2,7 +2,7 @@
 
     spark-submit -m itemstats.plans.submit <input_dir> <paper_code> <submit_time> <steps> <target>
         [--blueprint PATH_OR_TABLE] [--knowledge PATH_OR_TABLE] [--jdbc-url URL --jdbc-user U --jdbc-password P]
-        [--tables]
+        [--tables] [--export]
 
 ``<input_dir>/<paper_code>/data.<ts>`` holds the answer batches; the first batch
 not older than ``submit_time`` is analysed (or the latest one) and the results
@@ -11,7 +11,7 @@ are keyed by ``submit_time``.  Blueprint and knowledge map come from JSON files
 database tables (default ``t_paper_item`` / ``t_item_knowledge``).  ``steps`` is
 any combination of ``1`` (statistics), ``2`` (rules), ``3`` (clusters).
 Results go to ``<target>/<table>`` as Parquet, or to tables ``<target>.<table>``
-with ``--tables``.
+with ``--tables``; ``--export`` appends them to the database of ``--jdbc-url`` too.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password")
     p.add_argument("--tables", action="store_true")
+    p.add_argument("--export", action="store_true")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("itemstats").getOrCreate()
 
@@ -59,7 +60,7 @@ def main(argv: list[str] | None = None) -> dict:
     req = spark.createDataFrame([(a.paper_code, a.submit_time)], "paper_code string, submit_time string")
     # list and read only this paper's folder
     sheets = batches.read_requested(spark, f"{root}/{a.paper_code}", req, as_sheets=True)
-    return pipeline.run(None, bp, a.target, ik, a.steps, as_table=a.tables, sheets=sheets)
+    return pipeline.run(None, bp, a.target, ik, a.steps, as_table=a.tables, sheets=sheets, jdbc=jdbc if a.export else None)
 
 
 if __name__ == "__main__":

@@ -10,10 +10,12 @@ not matter.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from itemstats.functions.sizing import small_side
+from itemstats.functions.sizing import small_side, stored
 from itemstats.session import ensure_checkpoint_dir
 
 from itemstats.sources.responses import BATCH_FILE
@@ -22,23 +24,25 @@ PAPER_DIR = r"/([^/]+)/[^/]+$"
 
 
 def list_batches(spark: SparkSession, root: str) -> DataFrame:
-    """``(paper_code, ts, path)`` for every batch file under ``root`` (contents are not read)."""
+    """``(paper_code, ts, path, uri)`` for every batch file under ``root`` (contents are not read);
+    ``uri`` is the encoded path by which a scan names its file."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(root)
-        .select("path")
+        .select("path", F.col("_metadata.file_path").alias("uri"))
     )
-    return batch_files(files)
+    return batch_files(files).select("paper_code", "ts", "path", "uri")
 
 
 def batch_files(files: DataFrame, path_col: str = "path") -> DataFrame:
-    """Keep the paths named ``.../<paper_code>/data.<ts>``: ``(paper_code, ts, path)``."""
+    """Keep the paths named ``.../<paper_code>/data.<ts>``: ``(paper_code, ts, path)`` and other columns."""
     p = F.col(path_col)
     return files.select(
         F.regexp_extract(p, PAPER_DIR, 1).alias("paper_code"),
         F.regexp_extract(p, BATCH_FILE, 1).alias("ts"),
         p.alias("path"),
+        *[c for c in files.columns if c not in (path_col, "paper_code", "ts")],
     ).filter(F.col("ts") != "")
 
 
@@ -82,24 +86,55 @@ def select_batch(files: DataFrame, requests: DataFrame, partitions: int | None =
     )
 
 
-def read_requested(spark: SparkSession, root: str, requests: DataFrame, as_sheets: bool = False) -> DataFrame:
+def chosen_files(spark: SparkSession, root: str, requests: DataFrame) -> DataFrame:
+    """``(paper_code, submit_time, create_time, path, uri)`` per request; null where the paper has no file."""
+    files = list_batches(spark, root)
+    return select_batch(files, requests).join(
+        files.select("paper_code", F.col("ts").alias("create_time"), "path", "uri"), ["paper_code", "create_time"], "left"
+    )
+
+
+def _lines(spark: SparkSession, root: str, requests: DataFrame) -> DataFrame:
+    from itemstats.sources.responses import file_position
+
+    chosen = stored(chosen_files(spark, root, requests).filter(F.col("path").isNotNull()))
+    # one path per request goes to the reader, which then opens no other file
+    paths = [r["path"] for r in chosen.select("path").distinct().toLocalIterator()]
+    schema = "value string, uri string, _pos string"
+    if not paths:
+        lines = spark.createDataFrame([], schema)
+    else:
+        lines = spark.read.text([_literal(p) for p in paths]).select("value", F.col("_metadata.file_path").alias("uri"), file_position().alias("_pos"))
+    return lines.join(small_side(chosen.select("uri", "paper_code", "submit_time")), "uri")
+
+
+def _literal(path: str) -> str:
+    """The path with the reader's wildcard characters escaped."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def read_requested(spark: SparkSession, root: str, requests: DataFrame, as_sheets: bool = False,
+                   score_type: str = "double") -> DataFrame:
     """Responses (or, with ``as_sheets``, answer sheets) of the batches chosen for
-    ``requests(paper_code, submit_time)`` under ``root``.
+    ``requests(paper_code, submit_time)`` under ``root``; only the chosen files are read.
 
-    Rows are keyed by the request's submit time (``create_time``), as the
-    reference keys its results; a file chosen by two requests feeds both.
+    Rows are keyed by the request's paper and submit time, as the reference keys
+    its results; a file chosen by two requests feeds both.  Every line of a chosen
+    file counts, also one that names another paper (:func:`requested_rejects`).
     """
-    from itemstats.sources.responses import file_position, to_long, to_sheets
+    from itemstats.sources.responses import to_long, to_sheets
 
-    files = list_batches(spark, root)
-    chosen = select_batch(files, requests).join(
-        files.select("paper_code", F.col("ts").alias("create_time"), "path"), ["paper_code", "create_time"]
-    )
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(root)
-        .select("value", F.col("_metadata.file_path").alias("path"), file_position().alias("_pos"))
-    )
-    picked = lines.join(chosen.select("path", "submit_time"), "path")
     parse = to_sheets if as_sheets else to_long
-    return parse(picked, create_time=F.col("submit_time"), order_col="_pos")
+    return parse(_lines(spark, root, requests), create_time=F.col("submit_time"), order_col="_pos",
+                 paper_code=F.col("paper_code"), score_type=score_type)
+
+
+def requested_rejects(spark: SparkSession, root: str, requests: DataFrame, score_type: str = "double") -> DataFrame:
+    """``(create_time, reason, n)`` of what :func:`read_requested` could not use (or, for another
+    ``paperCode``, used all the same), with ``no file`` for requests without one."""
+    from itemstats.sources.responses import rejected
+
+    none = chosen_files(spark, root, requests).filter(F.col("path").isNull())
+    none = none.groupBy(F.col("submit_time").alias("create_time")).agg(F.count(F.lit(1)).alias("n"))
+    out = rejected(_lines(spark, root, requests), create_time=F.col("submit_time"), paper_code=F.col("paper_code"), score_type=score_type)
+    return out.unionByName(none.select("create_time", F.lit("no file").alias("reason"), "n"))

@@ -10,14 +10,12 @@ micro-batch rewrites the same batches and the sink stays exactly-once.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from itemstats.plans import pipeline
-from itemstats.session import ensure_checkpoint_dir
+from itemstats.sources.batches import PAPER_DIR
 from itemstats.sources.responses import BATCH_FILE, file_position, to_sheets
 
 
@@ -30,24 +28,29 @@ def landing_lines(spark: SparkSession, root: str, max_files_per_trigger: int | N
     lines = reader.load(f"{root.rstrip('/')}/*/data.*").select(
         "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block")
     )
-    return lines.withColumn("create_time", F.regexp_extract("path", BATCH_FILE, 1)).filter(F.col("create_time") != "")
+    # the path is encoded: decode what the folder's name may hold ("+" stands for itself there)
+    folder = F.url_decode(F.replace(F.regexp_extract("path", PAPER_DIR, 1), F.lit("+"), F.lit("%2B")))
+    return lines.withColumn("create_time", F.regexp_extract("path", BATCH_FILE, 1)).withColumn("paper_code", folder).filter(F.col("create_time") != "")
 
 
 def watch(spark: SparkSession, root: str, blueprint: DataFrame, target: str,
           item_knowledge: DataFrame | None = None, steps: str = "1",
-          options: pipeline.Options | None = None, checkpoint: str | None = None,
+          options: pipeline.Options | None = None, *, checkpoint: str,
           available_now: bool = False, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream; ``available_now=True`` processes what has landed and stops."""
-    ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "itemstats-landing")
+    """Start the stream; ``available_now=True`` processes what has landed and stops.
+
+    ``checkpoint`` is the stream's own folder, on the shared store and the same at every start
+    (the application's checkpoint folder is renamed by Spark each time, and a restart would replay
+    all files).  A batch is keyed by its folder and ``<ts>``."""
 
     def each(batch: DataFrame, epoch: int) -> None:
         # row ids are taken in the micro-batch (streams cannot number rows); the scan order is the file's
         lines = batch.withColumn("_pos", file_position(F.col("path"), F.col("_block")))
-        sheets = to_sheets(lines, create_time=F.col("create_time"), order_col="_pos")
+        sheets = to_sheets(lines, create_time=F.col("create_time"), order_col="_pos", paper_code=F.col("paper_code"), score_type="double")
         pipeline.run(None, blueprint, target, item_knowledge, steps, options=options, sheets=sheets)
 
     w = landing_lines(spark, root, max_files_per_trigger).writeStream.foreachBatch(each).option(
-        "checkpointLocation", ckpt
+        "checkpointLocation", checkpoint
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
