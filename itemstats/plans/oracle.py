@@ -8,6 +8,7 @@ rounded to 6 decimals on both sides.
 
 from __future__ import annotations
 
+from itemstats.defaults import BAD, GOOD, K, MAX_ITER, SEED
 from itemstats.sources.fixture import ORACLE_BATCHES, oracle
 
 _TOTALS = """
@@ -164,6 +165,23 @@ def json_sheets() -> str:
     return oracle("SELECT paper_code, create_time, stu_code, attempt, item_id, score FROM responses")
 
 
+def json_fractional() -> str:
+    return oracle("SELECT paper_code, create_time, stu_code, attempt, section, item_id, CAST(score AS DOUBLE) / 2 AS score FROM responses")
+
+
+def rejected() -> str:
+    lines = """
+st AS (SELECT create_time, stu_code, paper_code, right(stu_code, 1) AS d, bool_or(item_id = 1) AS first
+       FROM responses GROUP BY create_time, stu_code, paper_code)"""
+    return oracle(
+        """SELECT create_time, reason, COUNT(*) AS n FROM (
+  SELECT create_time, CASE WHEN d = '3' THEN 'malformed line' WHEN d = '5' THEN 'no stuCode'
+    WHEN d = '7' AND first THEN 'unreadable score' WHEN d = '9' THEN 'other paperCode' END AS reason FROM st)
+WHERE reason IS NOT NULL GROUP BY create_time, reason""",
+        lines,
+    )
+
+
 def blueprint_items() -> str:
     return oracle("SELECT paper_code, section, kind, item_id, full_mark FROM items")
 
@@ -459,6 +477,96 @@ FROM bg GROUP BY paper_code, create_time, cluster, item_id""",
     )
 
 
+_DIST = "list_sum(list_transform(list_zip(s.v, c.center), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+_ON_BATCH = "c.paper_code = s.paper_code AND c.create_time = s.create_time"
+
+
+def _uniform(step: int) -> str:
+    """48 bits of an MD5 digest as a number in (0, 1), one per sample and step."""
+    text = f"s.stu_code || '|' || CAST(s.attempt AS VARCHAR) || '|{SEED}|{step}'"
+    return f"((CAST(CAST('0x' || substr(md5({text}), 1, 12) AS UBIGINT) AS DOUBLE) + 0.5) / {float(1 << 48)!r})"
+
+
+def _kmeans(rounds: int) -> list[str]:
+    """k-means++ seeding and ``rounds`` Lloyd steps, unrolled: c0 are the seeds, c<r> the centres of step r."""
+    vectors = f"""
+vec AS MATERIALIZED (SELECT {_STU}, list(CAST(score AS DOUBLE) ORDER BY item_id) AS v FROM grid
+        GROUP BY {_STU} HAVING COUNT(score) = COUNT(*)),
+k0 AS MATERIALIZED (SELECT s.paper_code, s.create_time, 0 AS cluster, arg_max(s.v, {_uniform(0)}) AS center
+       FROM vec s GROUP BY s.paper_code, s.create_time)"""
+    out = [vectors]
+    for j in range(1, K):
+        out.append(f"""
+d{j} AS (SELECT s.paper_code, s.create_time, s.stu_code, s.attempt, any_value(s.v) AS v, MIN({_DIST}) AS d
+        FROM vec s JOIN k{j - 1} c ON {_ON_BATCH} GROUP BY s.paper_code, s.create_time, s.stu_code, s.attempt),
+k{j} AS MATERIALIZED (SELECT * FROM k{j - 1} UNION ALL
+        SELECT s.paper_code, s.create_time, {j}, arg_max(s.v, ln({_uniform(j)}) / s.d) FROM d{j} s WHERE s.d > 0
+        GROUP BY s.paper_code, s.create_time)""")
+    out.append(f"\nc0 AS (SELECT * FROM k{K - 1})")
+    for r in range(1, rounds + 1):
+        out.append(f"""
+a{r} AS MATERIALIZED ({_nearest(f"c{r - 1}")}),
+c{r} AS MATERIALIZED (SELECT paper_code, create_time, cluster, list(m ORDER BY pos) AS center FROM (
+        SELECT paper_code, create_time, cluster, pos, AVG(x) AS m FROM (
+          SELECT paper_code, create_time, cluster, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{r})
+        GROUP BY paper_code, create_time, cluster, pos) GROUP BY paper_code, create_time, cluster)""")
+    return out
+
+
+def _nearest(centers: str) -> str:
+    return f"""SELECT paper_code, create_time, stu_code, attempt, any_value(v) AS v, MIN(struct_pack(d := dist, c := cluster)).c AS cluster
+        FROM (SELECT s.*, c.cluster, {_DIST} AS dist FROM vec s JOIN {centers} c ON {_ON_BATCH})
+        GROUP BY paper_code, create_time, stu_code, attempt"""
+
+
+def _centers(rounds: int) -> str:
+    return oracle(
+        f"""SELECT paper_code, create_time, CAST(cluster AS INT) AS cluster, CAST(pos - 1 AS INT) AS pos, ROUND(x, 6) AS x
+FROM (SELECT paper_code, create_time, cluster, unnest(center) AS x, generate_subscripts(center, 1) AS pos FROM c{rounds})""",
+        _GRID, *_kmeans(rounds),
+    )
+
+
+def kmeans_seeds() -> str:
+    return _centers(0)
+
+
+def kmeans_steps() -> str:
+    return _centers(3)
+
+
+def clusters_summary() -> str:
+    return oracle(
+        """SELECT paper_code, create_time, COUNT(*) AS clusters, string_agg(CAST(size AS VARCHAR), ',' ORDER BY cluster) AS sizes
+FROM (SELECT paper_code, create_time, cluster, COUNT(*) AS size FROM band GROUP BY paper_code, create_time, cluster)
+GROUP BY paper_code, create_time""",
+        _GRID, _BANDS,
+    )
+
+
+def student_clusters() -> str:
+    """All steps of the fit, the final assignment, clusters renumbered by mean total, their item lists."""
+    final = f"""
+own AS MATERIALIZED ({_nearest(f"c{MAX_ITER}")}),
+ord AS (SELECT paper_code, create_time, cluster,
+          CAST(ROW_NUMBER() OVER (PARTITION BY paper_code, create_time ORDER BY AVG(list_sum(v)), cluster) - 1 AS INT) AS centers
+        FROM own GROUP BY paper_code, create_time, cluster),
+mine AS (SELECT o.paper_code, o.create_time, o.stu_code, o.attempt, r.centers FROM own o JOIN ord r
+         ON r.paper_code = o.paper_code AND r.create_time = o.create_time AND r.cluster = o.cluster),
+p AS (SELECT m.paper_code, m.create_time, m.centers, g.item_id, CAST(SUM(g.score) AS DOUBLE) / (MAX(g.full_mark) * COUNT(g.score)) AS p
+      FROM mine m JOIN grid g ON g.paper_code = m.paper_code AND g.create_time = m.create_time
+       AND g.stu_code = m.stu_code AND g.attempt = m.attempt GROUP BY m.paper_code, m.create_time, m.centers, g.item_id),
+lists AS (SELECT paper_code, create_time, centers,
+  COALESCE(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) FILTER (WHERE p BETWEEN {GOOD[0]} AND {GOOD[1]}), '') AS good_item,
+  COALESCE(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) FILTER (WHERE p BETWEEN {BAD[0]} AND {BAD[1]}), '') AS bad_item
+  FROM p GROUP BY paper_code, create_time, centers)"""
+    return oracle(
+        """SELECT m.paper_code, m.create_time, m.stu_code, m.attempt, l.good_item, l.bad_item, m.centers
+FROM mine m JOIN lists l ON l.paper_code = m.paper_code AND l.create_time = m.create_time AND l.centers = m.centers""",
+        _GRID, *_kmeans(MAX_ITER), final,
+    )
+
+
 def item_index_narrow() -> str:
     cols = ", ".join(f"CAST(TRY_CAST({c} AS DECIMAL(4,3)) AS DOUBLE) AS {c}" for c in ("avg_score", "fc_score", "bzc_score", "nandu", "qufendu"))
     return oracle(
@@ -480,6 +588,9 @@ def registry() -> dict[str, str]:
         "paper_index_rounded": paper_index("propagate", rounded=True),
         "responses_long": responses_long(),
         "json_sheets": json_sheets(),
+        "json_fractional": json_fractional(),
+        "rejected": rejected(),
+        "result_round_trip": item_index("propagate"),
         "blueprint_items": blueprint_items(),
         "responses_complete": responses_complete(),
         "responses_marked": responses_marked(),
@@ -510,4 +621,8 @@ def registry() -> dict[str, str]:
         "cluster_nearest_given": cluster_nearest_given(),
         "cluster_centers_given": cluster_centers_given(),
         "item_index_narrow": item_index_narrow(),
+        "kmeans_seeds": kmeans_seeds(),
+        "kmeans_steps": kmeans_steps(),
+        "clusters_summary": clusters_summary(),
+        "student_clusters": student_clusters(),
     }

@@ -7,6 +7,7 @@ Doubles are rounded to 6 decimals for the comparison with the oracle SQL
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,6 +109,36 @@ def q_json_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sheets.select(*STUDENT_KEYS, F.explode("cells").alias("item_id", "score"))
 
 
+def q_json_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half marks through the JSON lines: every score is halved before it is written."""
+    halves = fixture.responses(spark, sf_dir).withColumn("score", F.col("score") / 2.0)
+    return json_source.to_long(stored(fixture.as_json_lines(halves)), create_time=F.col("create_time"), score_type="double")
+
+
+def q_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the parser cannot use, on lines spoilt by the last digit of the student code: 3 has no
+    opening brace, 5 no stuCode, 7 an unreadable first score, 9 another paper than its folder."""
+    digit = F.regexp_extract("value", r'"stuCode":"\d*(\d)"', 1)
+    value = (
+        F.when(digit == "3", F.substr("value", F.lit(2)))
+        .when(digit == "5", F.replace("value", F.lit('"stuCode"'), F.lit('"code"')))
+        .when(digit == "7", F.regexp_replace("value", r'"i1":\d+', '"i1":"?"'))
+        .otherwise(F.col("value"))
+    )
+    paper = F.when(digit == "9", F.lit("elsewhere")).otherwise(F.regexp_extract("value", r'"paperCode":"([^"]*)"', 1))
+    lines = _json_lines(spark, sf_dir).select("create_time", value.alias("value"), paper.alias("folder"))
+    return json_source.rejected(lines, create_time=F.col("create_time"), paper_code=F.col("folder"))
+
+
+def q_result_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item statistics written twice as a result and read back."""
+    sheets, items, ii = _item_index(spark, sf_dir)
+    target = f"{ensure_checkpoint_dir(spark)}/round-trip-{uuid.uuid4().hex}/t_item_index"
+    for _ in range(2):
+        result_sinks.write_result(ii, target, analysed=reshape.batches(sheets))
+    return round_doubles(result_sinks.read_result(spark, target))
+
+
 def q_blueprint_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     bp = tables.wide_blueprint(fixture.wide_paper_item(spark, sf_dir))
     return reshape.blueprint_items(bp)
@@ -305,6 +336,29 @@ def q_item_index_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _cluster_rows(cents: DataFrame) -> DataFrame:
+    """Centres as one row per vector position, for comparison."""
+    return round_doubles(cents.select(*BATCH_KEYS, "cluster", F.posexplode("center").alias("pos", "x")))
+
+
+def q_kmeans_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items = _inputs(spark, sf_dir)
+    return _cluster_rows(clusters.seeds(stored(clusters.features(sheets, items))))
+
+
+def q_kmeans_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three Lloyd steps from the seeds."""
+    sheets, items = _inputs(spark, sf_dir)
+    return _cluster_rows(clusters.fit(stored(clusters.features(sheets, items)), max_iter=3, tol=-1.0))
+
+
+def q_clusters_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of clusters and their sizes per batch."""
+    sheets, items = _inputs(spark, sf_dir)
+    s = clusters.summary(clusters.score_bands(clusters.features(sheets, items), defaults.K))
+    return s.select(*BATCH_KEYS, "clusters", F.array_join(F.transform("sizes", lambda x: x["size"].cast("string")), ",").alias("sizes"))
+
+
 def q_student_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheets, items = _inputs(spark, sf_dir)
     prof, _ = clusters.run(sheets, items)
@@ -324,6 +378,9 @@ def registry() -> dict[str, Query]:
         "paper_index_rounded": q_paper_index("propagate", rounded=True),
         "responses_long": q_responses_long,
         "json_sheets": q_json_sheets,
+        "json_fractional": q_json_fractional,
+        "rejected": q_rejected,
+        "result_round_trip": q_result_round_trip,
         "blueprint_items": q_blueprint_items,
         "responses_complete": q_responses_complete,
         "responses_marked": q_responses_marked,
@@ -354,5 +411,8 @@ def registry() -> dict[str, Query]:
         "cluster_nearest_given": q_cluster_nearest_given,
         "cluster_centers_given": q_cluster_centers_given,
         "item_index_narrow": q_item_index_narrow,
+        "kmeans_seeds": q_kmeans_seeds,
+        "kmeans_steps": q_kmeans_steps,
+        "clusters_summary": q_clusters_summary,
         "student_clusters": q_student_clusters,
     }

@@ -56,7 +56,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(
         "paper_code",
         F.lit(CREATE_TIME).alias("create_time"),
-        F.lpad(F.col("ck").cast("string"), 8, "0").alias("stu_code"),
+        F.lpad(F.col("ck").cast("string"), F.greatest(F.lit(8), F.length(F.col("ck").cast("string"))), F.lit("0")).alias("stu_code"),
         F.lit(1).alias("attempt"),
         F.when(item <= 3, 1).when(item <= 5, 2).otherwise(3).alias("section"),
         item.alias("item_id"),
@@ -97,7 +97,7 @@ responses AS (
            ((c.c_custkey * 7919) % 101) * 3 + cell.q % 101 AS z
     FROM cell JOIN customer c ON c.c_custkey = cell.ck)
   SELECT paper_code, '{CREATE_TIME}' AS create_time,
-    LPAD(CAST(ck AS VARCHAR(8)), 8, '0') AS stu_code,
+    LPAD(CAST(ck AS VARCHAR), CAST(GREATEST(8, LENGTH(CAST(ck AS VARCHAR))) AS INT), '0') AS stu_code,
     1 AS attempt,
     CASE WHEN item_id <= 3 THEN 1 WHEN item_id <= 5 THEN 2 ELSE 3 END AS section,
     item_id,
@@ -165,7 +165,7 @@ def wide_paper_item(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Batch files and requests derived from orders: a finished order is a landed file
-    ``data.<orderkey>`` of its customer's paper, an open order a request at that key."""
+    ``data.<orderkey>`` of its customer's paper, any other order a request at that key."""
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     cust = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     j = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
@@ -177,7 +177,7 @@ def batch_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         "paper_code", F.col("key").alias("ts"),
         F.concat(F.lit("/landing/"), F.col("paper_code"), F.lit("/data."), F.col("key")).alias("path"),
     )
-    requests = j.filter(F.col("o_orderstatus") == "O").select("paper_code", F.col("key").alias("submit_time"))
+    requests = j.filter(F.col("o_orderstatus") != "F").select("paper_code", F.col("key").alias("submit_time"))
     return files, requests
 
 
@@ -185,4 +185,4 @@ ORACLE_BATCHES = """
 ordp AS (SELECT c.c_mktsegment AS paper_code, LPAD(CAST(o.o_orderkey AS VARCHAR), 12, '0') AS k, o.o_orderstatus AS st
          FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
 files AS (SELECT paper_code, k AS ts FROM ordp WHERE st = 'F'),
-requests AS (SELECT paper_code, k AS submit_time FROM ordp WHERE st = 'O')"""
+requests AS (SELECT paper_code, k AS submit_time FROM ordp WHERE st <> 'F')"""
