@@ -101,37 +101,37 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     reachable.
 
     Alternating large-star and small-star rounds (each a grouping by node with a minimum, then one
-    join of the edges to that minimum) until the edges no longer change; every round is written to
-    the shared folder.  A node's neighbours are never gathered: the join on a node with many edges
-    goes through ``join_keyed``.  Empty edges give an empty table."""
+    join of the edges to that minimum) until every component is a star around its smallest node;
+    every round is written to the shared folder.  A node's neighbours are never gathered: the minimum
+    is aggregated before the shuffle, and the join on a node with many edges is an ordinary shuffle
+    join, which adaptive execution splits.  Empty edges give an empty table."""
     e = edges.filter(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").cast("long").alias("u"), F.least("a", "b").cast("long").alias("v")
     )
     e = scratch.write(e.distinct())
-    last = None
-    while True:
+    while not _are_stars(e):
         # large star: every larger neighbour of u links to the smallest of u and its neighbours
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        e2 = _star(scratch, both, F.col("v") > F.col("u"))
+        e2 = scratch.write(_star(both, F.col("v") > F.col("u")).distinct())
         # small star: u and its smaller neighbours link to the smallest of them
-        e3 = _star(scratch, e2, F.lit(True), own=True)
-        state = tuple(e3.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor("u")).first())
+        e3 = scratch.write(_star(e2, F.lit(True), own=True).distinct())
         scratch.free(e, e2)
         e = e3
-        if state == last:
-            break
-        last = state
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _star(scratch: Scratch, pairs: DataFrame, keep: Column, own: bool = False) -> DataFrame:
-    low = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    low = low.withColumn("m", F.least("u", "m"))
-    total = pairs.count()
-    j = join_keyed(pairs.filter(keep), low, "u", "n", total)
-    out = j.select(F.col("v").alias("x"), F.col("m"))
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller node, or is the end of edges only."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    by = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return by.filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
+
+
+def _star(pairs: DataFrame, keep: Column, own: bool = False) -> DataFrame:
+    low = pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    out = pairs.filter(keep).join(low, "u").select(F.col("v").alias("x"), F.col("m"))
     if own:
         out = out.unionByName(low.select(F.col("u").alias("x"), "m"))
-    out = out.filter(F.col("x") != F.col("m")).select(F.col("x").alias("u"), F.col("m").alias("v"))
-    return scratch.write(out.distinct())
+    return out.filter(F.col("x") != F.col("m")).select(F.col("x").alias("u"), F.col("m").alias("v"))
