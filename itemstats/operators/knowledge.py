@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from itemstats.functions.labels import knowledge_label, tag
 from itemstats.functions.sizing import small_side
-from itemstats.operators.reshape import cell
+from itemstats.operators.reshape import cell, score_type
 from itemstats.schema import STUDENT_KEYS
 
 
@@ -36,11 +36,11 @@ def points_by_paper(item_knowledge: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def _point_score(cells: F.Column, kl_items: F.Column, missing: str) -> F.Column:
+def _point_score(cells: F.Column, kl_items: F.Column, missing: str, kind: str) -> F.Column:
     vals = F.transform(kl_items, lambda i: cell(cells, i))
     if missing == "zero":
-        vals = F.transform(vals, lambda x: F.coalesce(x, F.lit(0)))
-    return F.aggregate(vals, F.lit(0), lambda acc, x: acc + x).cast("int")
+        vals = F.transform(vals, lambda x: F.coalesce(x, F.lit(0).cast(kind)))
+    return F.aggregate(vals, F.lit(0).cast(kind), lambda acc, x: (acc + x).cast(kind))
 
 
 def transactions(sheets: DataFrame, item_knowledge: DataFrame, items: DataFrame, missing: str = "propagate") -> DataFrame:
@@ -52,7 +52,7 @@ def transactions(sheets: DataFrame, item_knowledge: DataFrame, items: DataFrame,
     s = sheets.join(points_by_paper(item_knowledge, items), "paper_code")
     tags = F.transform(
         "_points",
-        lambda p: tag(p["kl_id"], knowledge_label(_point_score(F.col("cells"), p["kl_items"], missing), p["full_mark"])),
+        lambda p: tag(p["kl_id"], knowledge_label(_point_score(F.col("cells"), p["kl_items"], missing, score_type(sheets)), p["full_mark"])),
     )
     return s.select(*STUDENT_KEYS, F.array_sort(F.filter(tags, lambda x: x.isNotNull())).alias("items"))
 
@@ -70,7 +70,7 @@ def scores(sheets: DataFrame, item_knowledge: DataFrame, items: DataFrame, missi
     return p.select(
         *STUDENT_KEYS,
         F.col("_p.kl_id").alias("kl_id"),
-        _point_score(F.col("cells"), F.col("_p.kl_items"), missing).alias("kl_score"),
+        _point_score(F.col("cells"), F.col("_p.kl_items"), missing, score_type(sheets)).alias("kl_score"),
         F.col("_p.full_mark").alias("full_mark"),
     )
 

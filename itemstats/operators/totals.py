@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from itemstats.defaults import GROUP_FRACTION
 from itemstats.functions.sizing import small_side
 from itemstats.operators.ranking import rank_in_group
-from itemstats.operators.reshape import cell, with_papers
+from itemstats.operators.reshape import cell, score_type, with_papers
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 from itemstats.session import ensure_checkpoint_dir
 
@@ -36,11 +36,6 @@ def total_score(sheets: DataFrame, items: DataFrame, missing: str = "propagate")
     return s.withColumn("total_score", total.cast(kind))
 
 
-def score_type(sheets: DataFrame) -> str:
-    """Type of the scores on the sheets: ``int``, or ``double`` where marks may be fractional."""
-    return sheets.schema["cells"].dataType.valueType.simpleString()
-
-
 def group_sizes(totals: DataFrame, fraction: float = GROUP_FRACTION) -> DataFrame:
     """Per batch: ``n`` samples (null totals included) and ``pg = round(fraction * n)`` half up."""
     return (

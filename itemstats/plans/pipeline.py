@@ -49,15 +49,20 @@ class Options:
 def analyse(responses: DataFrame | None, blueprint: DataFrame, item_knowledge: DataFrame | None = None,
             steps: str = "123", requests: DataFrame | None = None, options: Options | None = None,
             sheets: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Build the result DataFrames of the requested steps (MLlib fits run eagerly), with
-    ``batches`` (the batches analysed) and, for step 3, ``left_out`` (samples without a cluster
-    and why).
+    """Build the result DataFrames of the requested steps (MLlib fits run eagerly).
 
     Input is the long ``responses`` or, from :func:`itemstats.sources.responses.read_sheets`,
     ready ``sheets``.  ``requests(paper_code, create_time)`` restricts the run to
     those batches (a semi join); by default every batch is analysed.
     """
     o = options or Options()
+    sheets, items = _inputs(responses, blueprint, requests, sheets)
+    return _results(sheets, items, item_knowledge, steps, o)
+
+
+def _inputs(responses: DataFrame | None, blueprint: DataFrame, requests: DataFrame | None,
+            sheets: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Stored answer sheets of the batches asked for, and the blueprint's items."""
     src = sheets if sheets is not None else responses
     if src is None:
         raise ValueError("give responses or sheets")
@@ -66,7 +71,11 @@ def analyse(responses: DataFrame | None, blueprint: DataFrame, item_knowledge: D
         src = src.join(requests.select(*BATCH_KEYS).distinct(), BATCH_KEYS, "left_semi")
     items = reshape.blueprint_items(blueprint)
     sheets = stored(src if sheets is not None else reshape.answer_sheets(src))
-    out: dict[str, DataFrame] = {"batches": reshape.batches(sheets)}
+    return sheets, items
+
+
+def _results(sheets: DataFrame, items: DataFrame, item_knowledge: DataFrame | None, steps: str, o: Options) -> dict[str, DataFrame]:
+    out: dict[str, DataFrame] = {}
     ii = None
     if "1" in steps or ("2" in steps and o.item_rules):
         t = totals.total_score(sheets, items, o.missing)
@@ -93,7 +102,6 @@ def analyse(responses: DataFrame | None, blueprint: DataFrame, item_knowledge: D
     if "3" in steps:
         prof, _ = clusters.run(sheets, items, o.k, o.max_iter, include_code=o.include_code, missing=o.missing)
         out["t_item_cluster"] = prof
-        out["left_out"] = clusters.left_out(sheets, items, o.include_code, o.missing)
     if o.narrow:
         out = {name: sinks.narrow(df, name) for name, df in out.items()}
     return out
@@ -105,14 +113,17 @@ def run(responses: DataFrame | None, blueprint: DataFrame, target: str, item_kno
     """:func:`analyse`, then write every result under ``target`` (``<target>/<table>`` or
     ``<target>.<table>`` with ``as_table``, created where missing), replacing only the batches
     analysed, also where they now give no row.  With ``jdbc`` (``url`` and connection properties)
-    the results are appended to database tables of the same names as well."""
+    the results are appended to database tables of the same names as well.  Step 3 also writes
+    ``t_left_out``, the samples without a cluster and why."""
+    o = options or Options()
     if as_table:
         sinks.ensure_tables((responses if responses is not None else sheets).sparkSession, target)
-    res = analyse(responses, blueprint, item_knowledge, steps, requests, options, sheets)
-    analysed = res.pop("batches")
-    for name, df in res.items():
-        if name in sinks.DDL:
-            sinks.write_result(df, f"{target}.{name}" if as_table else f"{target.rstrip('/')}/{name}", as_table, analysed)
-            if jdbc:
-                external.write_jdbc(df, jdbc["url"], name, {k: v for k, v in jdbc.items() if k != "url"})
+    sheets, items = _inputs(responses, blueprint, requests, sheets)
+    res = _results(sheets, items, item_knowledge, steps, o)
+    analysed = reshape.batches(sheets)
+    report = {"t_left_out": clusters.left_out(sheets, items, o.include_code, o.missing)} if "3" in steps else {}
+    for name, df in (res | report).items():
+        sinks.write_result(df, f"{target}.{name}" if as_table else f"{target.rstrip('/')}/{name}", as_table, analysed)
+        if jdbc and name in res:
+            external.write_jdbc(df, jdbc["url"], name, {k: v for k, v in jdbc.items() if k != "url"})
     return res

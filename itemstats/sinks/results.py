@@ -38,6 +38,8 @@ DDL = {
     "t_item_cluster": "stu_code string, attempt int, good_item string, bad_item string, centers int",
 }
 
+REPORT_DDL = {"t_left_out": "stu_code string, attempt int, reason string"}
+
 
 def narrow(df: DataFrame, table: str) -> DataFrame:
     """Cast statistics to the reference's decimal widths; a value that does not fit
@@ -47,10 +49,10 @@ def narrow(df: DataFrame, table: str) -> DataFrame:
 
 
 def ensure_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
-    """Create the database and the five result tables (Parquet, partitioned by batch) if missing."""
+    """Create the database, the five result tables and the report of samples left out (Parquet, partitioned by batch) if missing."""
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
-    for table, cols in DDL.items():
+    for table, cols in (DDL | REPORT_DDL).items():
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{table} ({cols}, paper_code string, create_time string) "
             "USING parquet PARTITIONED BY (paper_code, create_time)"
