@@ -14,6 +14,8 @@ from itemstats.session import ensure_checkpoint_dir
 
 #: Keys with more than total / HEAVY_KEYS rows are broadcast; there are fewer than this many by arithmetic.
 HEAVY_KEYS = 10_000
+#: Bits of the bitmap of keys that a join with wide rows is thinned by.
+BITS = 1 << 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +98,24 @@ def join_keyed(big: DataFrame, keyed: DataFrame, key: str, count: str, total: in
     return hot.unionByName(rest)
 
 
+def likely(df: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
+    """``df`` with ``_likely``: false on rows whose ``key`` (a long) is surely not in ``wanted.key``.
+
+    A bitmap of ``BITS`` hashed keys as a table of 64-bit words (at most BITS / 64 rows, broadcast).  It
+    keeps wide rows that a join would leave alone out of that join's shuffle; the join stays exact."""
+    bit = F.pmod(F.xxhash64(key), F.lit(BITS)).cast("int")
+
+    def mask(b: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), b % 64)
+
+    own = wanted.select(F.xxhash64("key").alias("_h")).select(F.pmod("_h", F.lit(BITS)).cast("int").alias("_b"))
+    words = own.select(F.floor(F.col("_b") / 64).cast("int").alias("_word"), mask(F.col("_b")).alias("_m"))
+    words = words.groupBy("_word").agg(F.bit_or("_m").alias("_bits"))
+    out = df.withColumn("_b", bit).withColumn("_word", F.floor(F.col("_b") / 64).cast("int")).join(F.broadcast(words), "_word", "left")
+    hit = F.coalesce(F.col("_bits").bitwiseAND(mask(F.col("_b"))) != 0, F.lit(False))
+    return out.select(*df.columns, hit.alias("_likely"))
+
+
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``edges`` (``a``, ``b`` longs), component = smallest node
     reachable.

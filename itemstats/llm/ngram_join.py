@@ -331,21 +331,16 @@ def _links(docs: DataFrame, groups: DataFrame) -> DataFrame:
     sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
     placed = common.join_keyed(groups, sizes.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")), "component", "members", groups.count())
     placed = placed.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    texts = docs.join(placed, "doc_id").select("doc_id", "component", "blocks", "block", "text")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own = [shingles(t.as_py()).tobytes() for t in b.column(4)]
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(4)], pa.array(own, pa.binary())], names=["doc_id", "component", "blocks", "block", "set"])
-
-    found = texts.mapInArrow(sets, "doc_id long, component long, blocks int, block int, set binary")
-    tasks = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "set"
+    # texts that no candidate needs stay out of the shuffle
+    likely = common.likely(docs, F.col("doc_id"), groups.select(F.col("doc_id").alias("key"))).filter("_likely")
+    texts = likely.join(placed.hint("merge"), "doc_id")
+    tasks = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "text"
     )
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        own = [np.frombuffer(s, np.uint64) for s in pdf["set"]]
+        own = [shingles(t) for t in pdf["text"]]
         ids = pdf["doc_id"].to_numpy()
         e = tree_links(ids, own, None if i == j else (pdf["block"] == j).to_numpy()) if len(own) > 1 else []
         return pd.DataFrame(np.array(e, "int64").reshape(-1, 2), columns=["a", "b"])
