@@ -31,8 +31,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itemstats.llm import common
-
 WINDOW, CHANGED = 13, 2
 GROUPS = 4
 #: Characters of benchmark text a task may hold the masked windows of (under 30 bytes a character).
