@@ -129,7 +129,10 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", doc_i
     own = own.withColumn("_th", F.xxhash64("_text"))
     gone = scratch.write(later_copies(scratch, own.select("_id", "_th", "_text"), min_words))
     gone = gone.select(F.col("_id").alias("_i"), F.col("_th").alias("_t"), "_deleted")
-    out = own.join(gone, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_th") == F.col("_t")), "left")
+    # only documents that may be edited are joined; the others' texts are not shuffled
+    own = common.likely(own, F.xxhash64("_id", "_th"), gone.select(F.xxhash64("_i", "_t").alias("key")))
+    edited = own.filter("_likely").join(gone.hint("merge"), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_th") == F.col("_t")), "left")
+    out = edited.drop("_i", "_t").unionByName(own.filter("NOT _likely").withColumn("_deleted", F.lit(None).cast("array<int>")))
     split = F.split("_text", "\n", -1)
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "_deleted"), lambda i: F.get(F.col("_lines"), i))
     count = F.size(F.filter("_lines", lambda x: _trimmed(x) != ""))
