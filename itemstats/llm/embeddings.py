@@ -3,16 +3,17 @@
 Vectors are compared only under equal, non-null labels.  Equal vectors of a label are merged first
 into one representative with a count, so a vector repeated by a third of all rows is one row.  A
 spherical k-means (fitted on a bounded sample of the representatives of each label) assigns every
-representative to its nearest cell.  No link is lost at a cell border: two vectors within angle t of
-each other satisfy angle(y, cell of x) <= angle(y, cell of y) + 2t, so a vector also visits every
-cell within that bound.  In a cell, members meet members and visitors in blocks of ``BLOCK`` rows:
+representative to its nearest cell.  No link is lost at a cell border: linked vectors are at most
+``sqrt(2 - 2 * cosine)`` apart, so one of another cell lies at most that far beyond the plane between
+the two centres, and a vector also visits every cell whose plane is that near.  In a cell, members meet members and visitors in blocks of ``BLOCK`` rows:
 one task per pair of blocks, double-precision products.  A task returns partial link counts and a
 spanning forest of its links, never all pairs; components follow from the forests.
 
 Defined cases: null labels, null or zero vectors, and vectors with a null or non-finite component
 link with nothing and are kept; vectors of different lengths under one label are compared within
 their length; repeated rows with one vec_id count as vectors of their own; a null vec_id
-is linked like any other but never names a component; an empty table gives an empty result; extra columns are ignored.
+is linked like any other but never names a component; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ BLOCK = 2000
 #: Representatives per cell aimed at, cells per label at most, and sample rows per cell for the fit.
 CELL, CELLS, FIT = 1000, 256, 50
 ROUNDS = 8
+#: Numbers in the centres of all labels up to which every task holds them (32 MB).
+CENTRE_NUMBERS = 4_000_000
 
 
 def unit(rows: list) -> np.ndarray:
@@ -40,8 +43,8 @@ def unit(rows: list) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def fit_cells(x: np.ndarray, k: int, seed: int = 7) -> np.ndarray:
-    """Spherical k-means centres of unit rows, seeded by farthest-first choice."""
+def fit_cells(x: np.ndarray, k: int) -> np.ndarray:
+    """Spherical k-means centres of unit rows, seeded by farthest-first choice; centres have length 1."""
     centres = [x[0]]
     near = x @ centres[0]
     while len(centres) < min(k, len(x)):
@@ -144,25 +147,34 @@ def _cells(scratch: common.Scratch, reps: DataFrame, cosine: float) -> DataFrame
 
     # at most CELLS * FIT rows of a label
     centres = scratch.write(sample.groupBy("label", "width").applyInPandas(fit, "label string, width int, cell int, centre array<double>"))
-    nested = centres.groupBy("label", "width").agg(F.array_sort(F.collect_list(F.struct("cell", "centre"))).alias("centres"))
-    # one row per label, at most CELLS centres each; labels are few
-    keyed = reps.join(nested, ["label", "width"], "left") if sizes.count() > 1000 else reps.join(F.broadcast(nested), ["label", "width"], "left")
-    reach = 2 * np.arccos(cosine) + 1e-6
+    numbers = centres.agg(F.sum(F.size("centre"))).first()[0] or 0
+    if numbers <= CENTRE_NUMBERS:  # every task holds the centres of all labels
+        table: dict = {}
+        for r in centres.orderBy("label", "width", "cell").collect():
+            table.setdefault((r["label"], r["width"]), []).append(r["centre"])
+        held = spark.sparkContext.broadcast({k: unit(v) for k, v in table.items()})
+        keyed = reps.withColumn("centres", F.lit(None).cast("array<struct<cell:int,centre:array<double>>>"))
+    else:  # too many labels for that: a label's centres travel with its rows
+        held = None
+        nested = centres.groupBy("label", "width").agg(F.array_sort(F.collect_list(F.struct("cell", "centre"))).alias("centres"))
+        keyed = reps.join(nested, ["label", "width"], "left")
+    reach = np.sqrt(2 - 2 * cosine)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for (_, _), own in pdf.groupby(["label", "width"], sort=False):
+            for key, own in pdf.groupby(["label", "width"], sort=False):
                 first = own["centres"].iloc[0]
-                c = unit([r["centre"] for r in first]) if first is not None and len(first) else None
+                c = held.value.get(key) if held else unit([r["centre"] for r in first]) if first is not None else None
+                between = None if c is None else np.sqrt(np.maximum(2 - 2 * c @ c.T, 0))
                 x = unit(list(own["embedding"]))
                 for at in range(0, len(own), 1024):
                     part = own.iloc[at : at + 1024]
                     if c is None:  # no sample row of this label: one cell
                         home, visits = np.zeros(len(part), int), np.ones((len(part), 1), bool)
                     else:
-                        angle = np.arccos(np.clip(x[at : at + 1024] @ c.T, -1, 1))
-                        home = angle.argmin(axis=1)
-                        visits = angle <= angle.min(axis=1, keepdims=True) + reach
+                        near = x[at : at + 1024] @ c.T
+                        home = near.argmax(axis=1)
+                        visits = near.max(axis=1, keepdims=True) - near <= reach * between[home] + 1e-7
                     i, cell = np.nonzero(visits)
                     yield pd.DataFrame({
                         "label": part["label"].to_numpy()[i], "width": part["width"].to_numpy()[i], "cell": cell, "home": home[i] == cell,

@@ -32,8 +32,9 @@ def brute(rows):
     return {i: good.get(i, (0, i)) for i, _, _ in rows}
 
 
-@pytest.mark.parametrize("block,cell", [(2000, 1000), (7, 5)])
-def test_against_brute_force(spark, monkeypatch, block, cell):
+@pytest.mark.parametrize("block,cell,held", [(2000, 1000, 10**6), (7, 5, 10**6), (7, 5, 0)])
+def test_against_brute_force(spark, monkeypatch, block, cell, held):
+    monkeypatch.setattr(embeddings, "CENTRE_NUMBERS", held)
     monkeypatch.setattr(embeddings, "BLOCK", block)
     monkeypatch.setattr(embeddings, "CELL", cell)
     rng = np.random.default_rng(3)
