@@ -48,8 +48,9 @@ class Encoder:
     """Ids of a text as little-endian unsigned 32-bit bytes, by a byte-level BPE ``tokenizers`` file.
 
     The file's vocabulary is handed to ``tiktoken``, whose ids are the same and several times cheaper
-    (a merge's rank is its id, which is checked); texts that contain a special token's string, and
-    files of another kind, are encoded by ``tokenizers`` itself."""
+    (a merge's rank is its id, which is checked); texts that contain a special token's string, texts
+    whose runs of white space overflow ``tiktoken``'s split (about a million), and files of another
+    kind, are encoded by ``tokenizers`` itself."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -75,7 +76,10 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if self.fast is None or any(t in text for t in self.special):
             return self.whole(text)
-        return np.asarray(self.fast.encode_to_numpy(text), "<u4").tobytes()
+        try:
+            return np.asarray(self.fast.encode_to_numpy(text), "<u4").tobytes()
+        except ValueError:  # its split backtracks over the whole of an unbroken run of white space
+            return self.whole(text)
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

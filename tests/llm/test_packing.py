@@ -86,3 +86,13 @@ def test_ids_equal_the_tokenizer_on_the_table(spark):
     assert encode.fast is not None
     for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect():
         assert encode(r["text"]) == encode.whole(r["text"])
+
+
+def test_long_runs_of_white_space(spark, documents):
+    encode = packing.encoder(packing.default_tokenizer())
+    rows = []
+    for run in (" " * 3_000_000, "\n" * 3_000_000):
+        rows += [(len(rows) + k, t) for k, t in enumerate((run, f"so far{run}and on", f"so far{run}"))]
+    for _, t in rows:
+        assert encode(t) == encode.whole(t)
+    check(rows[:2], packing.pack(documents(rows[:2])).collect(), 2048)
