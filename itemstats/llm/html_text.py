@@ -6,8 +6,10 @@ cut out first.  Every remaining node gets its composite density: characters per
 share of link characters and link tags; a node's density sum is the sum over its children.  The
 subtree with the largest density sum is the article's core; the smallest density on the path from
 it to the body is the threshold a node must reach for the largest-sum subtree below it to count as
-content too.  Where the core lies in an ``article`` or ``main`` element, the content is that element:
-nothing of an article is lost because a paragraph is short.
+content too.  Where the core lies in an ``article`` or ``main`` element, the content is that element,
+whatever the threshold says; elsewhere it is the common container of the subtrees that count, widened
+while its parent holds headings, paragraphs or lists of its own, with all blocks in it but links beside
+the first and last subtree that counts: nothing of an article is lost because a block is short.
 
 Text: character references decoded, white space inside a block becomes one space, blocks are joined
 in page order by one line feed.
@@ -49,6 +51,9 @@ MARKS = COMMENTS | set(
     "subscription signup social share sharing related recommended widget toolbar pagination pager login search hidden".split()
 )
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+PROSE = HEADINGS | {"p", "pre", "blockquote"}
+# fixed value: from this share of its characters in links, a block is links (the rest: bars and dots between them)
+LINKS = 0.8
 RESULT = "page_id long, url string, text string, n_chars long"
 
 
@@ -194,7 +199,35 @@ def content(root: Node) -> list[Node]:
         best[id(n)] = max([n, *[best[id(c)] for c in n.children if isinstance(c, Node)]], key=lambda x: x.total)
     chosen = {id(best[id(n)]) for n in nodes if n.density >= threshold and n.chars}
     tops = [n for n in nodes if id(n) in chosen and not any(id(a) in chosen for a in ancestors(n))]
-    return tops or [body]
+    return [container(tops)] if tops else [body]
+
+
+def container(tops: list[Node]) -> Node:
+    """The element of an article whose dense subtrees are ``tops``, without the links around them."""
+    node, held = tops[0], [tops[0], *ancestors(tops[0])]
+    for n in tops[1:]:
+        own = {id(a) for a in (n, *ancestors(n))}
+        held = [a for a in held if id(a) in own]
+        node = held[0]
+    while hasattr(node.parent, "density") and any(c is not node and prose(c) for c in node.parent.children):
+        node = node.parent
+    if node in tops:
+        return node
+    above = {id(a) for n in tops for a in (n, *ancestors(n))}
+    dense = [k for k, c in enumerate(node.children) if id(c) in above]
+    node.children = [c for k, c in enumerate(node.children) if dense[0] <= k <= dense[-1] or not links(c)]
+    return node
+
+
+def links(n: Node | str) -> bool:
+    return isinstance(n, Node) and n.tag not in PROSE and n.chars > 0 and n.links >= LINKS * n.chars
+
+
+def prose(n: Node | str) -> bool:
+    """A heading, paragraph or list, or an element around headings only."""
+    if isinstance(n, str) or not n.chars or n.links >= LINKS * n.chars and n.tag not in HEADINGS:
+        return False
+    return n.tag in PROSE or n.tag in ("ul", "ol", "dl") or sum(h.chars for h in walk(n) if h.tag in HEADINGS) == n.chars
 
 
 def blocks(nodes: list[Node]) -> str:

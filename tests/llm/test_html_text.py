@@ -29,6 +29,31 @@ def test_density_without_an_article_element():
     assert "home" not in got and "l1" not in got
 
 
+A, B, C = (f"{c * 4} " * n for c, n in (("a", 125), ("b", 150), ("c", 175)))
+
+
+@pytest.mark.parametrize(
+    "inner",
+    [
+        f"<div id=content><h1>The title</h1><p>{A}</p><p>Yes</p><div><p>{B}</p><p>{C}</p></div></div>",
+        f"<div id=content><div><h1>The title</h1></div><div><p>{A}</p><p>Yes</p><div><p>{B}</p><p>{C}</p></div></div></div>",
+        f"<h1>The title</h1><div><p>{A}</p><p>Yes</p></div><div><p>{B}</p><p>{C}</p></div>",
+        f"<div><h1>The title</h1><div><p>{A}</p></div><p>Yes</p><p>{B}</p><p>{C}</p></div>",
+    ],
+)
+def test_headings_and_short_paragraphs_without_an_article_element(inner):
+    top, end = "<div id=top><a href=x>home</a> | <a href=y>about</a></div>", "<ul><li><a href=1>l1</a></li><li><a href=2>l2</a></li></ul>"
+    want = "\n".join(["The title", A.strip(), "Yes", B.strip(), C.strip()])
+    assert html_text.main_text(f"<html><body>{inner}</body></html>") == want
+    assert html_text.main_text(f"<html><body><div>{top}{inner}{end}</div></body></html>") == want
+    assert html_text.main_text(f"<html><body>{top}{inner}{end}<footer>site</footer></body></html>") == want
+
+
+def test_headings_of_a_page_without_an_article_element():
+    page = f"<body><div id=x><h2>Head of it</h2><div><p>{A}</p></div><h3>Next</h3><p>No.</p><div><p>{B}</p></div><p>End</p></div></body>"
+    assert html_text.main_text(page) == "\n".join(["Head of it", A.strip(), "Next", "No.", B.strip(), "End"])
+
+
 @pytest.mark.parametrize("page,text", [(None, ""), ("", ""), ("plain &lt; text", "plain < text"), ("<div></div>", ""), ("<p>a<p>b", "a\nb"),
                                        ("<script>x", ""), ("a < b", "a < b"), ("<p>" * 3000 + "deep" + "</p>", "deep"), ("<div>" * 5000 + "x", "x")])
 def test_edges(page, text):
