@@ -6,7 +6,9 @@ groups; a mask keeps two of them and ignores the other places, and six masks kee
 groups, so two changed places always leave one mask untouched: no such window is missed.  Hashes of
 the masked windows of documents and benchmark are joined, and around every hit the aligned words are
 compared, which settles the number of changed places.  An item with fewer words than a window is
-one window of its own length (with a fifth of its places changeable, none below five words).
+one window of its own length (with a fifth of its places changeable, none below five words).  Such a
+window can be a phrase of everyday text: ``leaks`` flags as ``short`` what holds no window with
+``MIN_EQUAL`` equal words, and ``clean`` removes a document only for ``least`` equal words in a window.
 
 Scale: the benchmark is the query set.  Its masked hashes are joined in memory where the documents
 lie, behind a bounded bitmap that settles almost every window; documents are never shuffled.  The
@@ -32,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW, CHANGED = 13, 2
+#: Equal words of one window from which a leak is no everyday phrase (a full window has 11 at least).
+MIN_EQUAL = 8
 GROUPS = 4
 #: Characters of benchmark text a task may hold the masked windows of (under 30 bytes a character).
 SEED_LIMIT = 2_000_000
@@ -134,11 +138,16 @@ def merge(spans: list[tuple[int, int, int, int]]) -> tuple[int, int, int]:
     return spans[0][0], end, covered
 
 
+def equal(spans: list[tuple[int, int, int, int]]) -> int:
+    """Equal words of the best window."""
+    return max(b - a - changed for a, b, changed, _ in spans)
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
-    """``doc_id, item_id, first_word, end_word, words_covered, fewest_changed`` per document and item
-    whose windows it holds."""
+    """``doc_id, item_id, first_word, end_word, words_covered, fewest_changed, short`` per document and
+    item whose windows it holds; ``short`` where none of them has ``MIN_EQUAL`` equal words."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -159,7 +168,7 @@ def _in_blocks(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     return out
 
 
-RESULT = "doc_id long, item_id long, first_word long, end_word long, words_covered long, fewest_changed long"
+RESULT = "doc_id long, item_id long, first_word long, end_word long, words_covered long, fewest_changed long, short boolean"
 
 
 def _scan(docs: DataFrame, items: list) -> DataFrame:
@@ -173,36 +182,42 @@ def _scan(docs: DataFrame, items: list) -> DataFrame:
             out = []
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):
                 for row, spans in own.spans(words(t.as_py())).items() if own.widths else ():
-                    out.append((i, own.ids[row], *merge(spans), min(s[2] for s in spans)))
+                    out.append((i, own.ids[row], *merge(spans), min(s[2] for s in spans), equal(spans) < MIN_EQUAL))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
+                *numbers, short = zip(*out)
+                yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in numbers], pa.array(short, pa.bool_())], names=names)
 
     found = docs.mapInArrow(run, RESULT)
     # several items may share an id or a text: one row per document and id
     return found.groupBy("doc_id", "item_id").agg(
         F.min("first_word").alias("first_word"), F.max("end_word").alias("end_word"), F.max("words_covered").alias("words_covered"),
-        F.min("fewest_changed").alias("fewest_changed"),
+        F.min("fewest_changed").alias("fewest_changed"), F.bool_and("short").alias("short"),
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose own text leaks.  Rows are judged where they lie: no join."""
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", least: int = 1) -> DataFrame:
+    """``docs`` without the rows whose own text leaks with at least ``least`` equal words in one window
+    (1: every leak, also of an item of one word).  Rows are judged where they lie: no join."""
     items = benchmark.select(F.col(item_text).cast("string").alias("text"))
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-2 * size // SEED_LIMIT) if size > SEED_LIMIT else 1)
     for k in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k) if blocks > 1 else items
-        docs = _keep(docs, [r["text"] for r in part.distinct().orderBy("text").collect()], text)
+        docs = _keep(docs, [r["text"] for r in part.distinct().orderBy("text").collect()], text, least)
     return docs
 
 
-def _keep(docs: DataFrame, texts: list[str | None], text: str) -> DataFrame:
-    index = docs.sparkSession.sparkContext.broadcast(texts)
+def _keep(docs: DataFrame, texts: list[str | None], text: str, least: int) -> DataFrame:
+    # an item of fewer words has no window with as many equal
+    index = docs.sparkSession.sparkContext.broadcast([t for t in texts if len(words(t)) >= least])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Index(list(range(len(index.value))), index.value)
         for b in batches:
-            ok = [not (own.widths and own.spans(words(t.as_py()))) for t in b.column(b.schema.get_field_index(text))]
+            ok = []
+            for t in b.column(b.schema.get_field_index(text)):
+                found = own.spans(words(t.as_py())).values() if own.widths else ()
+                ok.append(all(equal(spans) < least for spans in found))
             yield b.filter(pa.array(ok, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

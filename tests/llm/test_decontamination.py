@@ -76,3 +76,15 @@ def test_edges(spark, documents):
     assert d.clean(a, b).count() == 5
     assert d.leaks(a.limit(0), b).collect() == [] and d.leaks(a, b.limit(0)).collect() == []
     assert d.clean(a, b.limit(0)).count() == 6 and d.clean(a, b).columns == a.columns
+
+
+def test_short_overlaps_are_flagged_and_removed_by_least_only(spark, documents):
+    eight, nine, ten = "p q r s t u v w", "a1 a2 a3 a4 a5 a6 a7 a8 a9", "b1 b2 b3 b4 b5 b6 b7 b8 b9 b10"
+    items = [(1, "Yes"), (2, "What is it"), (3, eight), (4, nine), (5, ten), (6, " ".join(f"c{k}" for k in range(13)))]
+    docs = [(1, "oh yes, what is it then"), (2, f"so {eight} on"), (3, f"so {eight.replace('s', 'x')} on"), (4, nine.replace("a4", "x")), (5, ten.replace("b4", "x").replace("b7", "x")), (6, "nothing")]
+    docs += [(7, items[5][1].replace("c3", "x").replace("c8", "x"))]
+    a, b = run(spark, documents, docs, items)
+    got = {(r["doc_id"], r["item_id"]): (r["fewest_changed"], r["short"]) for r in d.leaks(a, b).collect()}
+    assert got == {(1, 1): (0, True), (1, 2): (0, True), (2, 3): (0, False), (3, 3): (1, True), (4, 4): (1, False), (5, 5): (2, False), (7, 6): (2, False)}
+    assert sorted(r["doc_id"] for r in d.clean(a, b, least=d.MIN_EQUAL).collect()) == [1, 3, 6]
+    assert sorted(r["doc_id"] for r in d.clean(a, b).collect()) == [6]

@@ -83,3 +83,11 @@ def test_near_duplicates_with_repeated_ids(spark, documents):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (1, "quite another text than that one"), (2, "a b c d e f g"), (None, "x y z"), (3, None), (4, None)]
     out = pipeline.near_duplicates(spark, documents(rows), SF)
     assert sorted(r["doc_id"] or 0 for r in out.collect()) == [0, 1, 3, 4]
+
+
+def test_common_short_items_leave_clean_documents(spark, documents, tmp_path):
+    long = " ".join(f"word{k}" for k in range(16))
+    items = [(1, "Yes"), (2, "What is it"), (3, "Which of these is it"), (4, long)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, "yes it is"), (2, "so what is it"), (3, "which of those is it now"), (4, f"and {long}"), (5, "no")]
+    assert sorted(r["doc_id"] for r in pipeline.decontaminated(spark, documents(rows), str(tmp_path)).collect()) == [1, 2, 3, 5]
