@@ -91,3 +91,21 @@ def test_common_short_items_leave_clean_documents(spark, documents, tmp_path):
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     rows = [(1, "yes it is"), (2, "so what is it"), (3, "which of those is it now"), (4, f"and {long}"), (5, "no")]
     assert sorted(r["doc_id"] for r in pipeline.decontaminated(spark, documents(rows), str(tmp_path)).collect()) == [1, 2, 3, 5]
+
+
+def test_mixed_languages_and_no_labelled_row(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {}
+    for r in docs.orderBy("doc_id").collect():
+        if r["lang"] and len(r["text"] or "") > 1500:
+            texts.setdefault(r["lang"], r["text"])
+    a, b, c = sorted(texts)[:3]
+    mixed = " ".join([texts[a][:1200], texts[b][:900], texts[c][:900]])
+    extra = spark.createDataFrame([(10_001, mixed, None, "s", len(mixed)), (10_002, "1 2", None, "s", 3)], docs.schema)
+    kept = lambda df: {r["doc_id"] for r in pipeline.language(spark, df, SF).select("doc_id").collect()}
+    assert {10_001, 10_002} & kept(docs.unionByName(extra)) == {10_001}
+    assert kept(extra) == {10_001}  # nothing to learn from
+    monkeypatch.setattr(pipeline, "WANTED", (a, b))
+    assert 10_001 in kept(docs.unionByName(extra))
+    monkeypatch.setattr(pipeline, "WANTED", (c,))
+    assert 10_001 not in kept(docs.unionByName(extra))
