@@ -35,6 +35,9 @@ SEPARATOR = 0
 # fixed value: the split pattern of byte-level BPE
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Ids of pieces handed on at once, so that a batch of long texts stays within memory.
+IDS_AT_ONCE = 1 << 20
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -106,8 +109,14 @@ def pieces(docs: DataFrame, text: str, doc_id: str, tokenizer: str, max_tokens:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, tail = encoder(tokenizer), np.asarray([SEPARATOR], "<u4").tobytes()
+
+        def batch(out: list[tuple]) -> pa.RecordBatch:
+            arrays = [pa.array(c, type=t) for c, t in zip(zip(*out), ARROW[: len(out[0])])]
+            return pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
         for b in batches:
             out: list[tuple] = []
+            held = 0
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):
                 ids = encode(t.as_py() or "") + tail
                 n = len(ids) // 4
@@ -116,10 +125,13 @@ def pieces(docs: DataFrame, text: str, doc_id: str, tokenizer: str, max_tokens:
                     own = ids[4 * start : 4 * end]
                     row = (i, k, start, end - start, zlib.crc32(own))
                     out.append((*row, np.frombuffer(own, "<u4").astype("int64")) if with_ids else row)
+                    held += end - start if with_ids else 0
                     start, end, k = end, end + max_tokens, k + 1
+                    if held > IDS_AT_ONCE:
+                        yield batch(out)
+                        out, held = [], 0
             if out:
-                arrays = [pa.array(c, type=t) for c, t in zip(zip(*out), ARROW[: len(out[0])])]
-                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+                yield batch(out)
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 

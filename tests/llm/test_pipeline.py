@@ -109,3 +109,13 @@ def test_mixed_languages_and_no_labelled_row(spark, monkeypatch):
     assert 10_001 in kept(docs.unionByName(extra))
     monkeypatch.setattr(pipeline, "WANTED", (c,))
     assert 10_001 not in kept(docs.unionByName(extra))
+
+
+def test_packed_sequences_hold_their_ids(spark, documents):
+    packing = load("test_packing", f"{here}/test_packing.py")
+    rows = [(1, "some words " * 3000), (2, None), (3, "a few more"), (4, "naïve text\n" * 900)]
+    got = {}
+    for r in sorted(pipeline.packed(spark, documents(rows), SF).collect(), key=lambda r: (r["doc_id"], r["piece"])):
+        assert len(r["ids"]) == r["length"]
+        got.setdefault(r["doc_id"], []).extend(r["ids"])
+    assert got == {i: packing.reference(t) for i, t in rows}
