@@ -18,6 +18,7 @@ from itemstats.llm import (
     quotations,
     secrets,
     sharding,
+    url_filter,
 )
 from itemstats.llm.common import table
 
@@ -62,6 +63,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark, url_filter.RULES))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -74,8 +79,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_line_dedup": op9_line_dedup,
         "op10_sharding": op10_sharding,
+        "op11_url_filters": op11_url_filters,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op9_line_dedup": line_dedup.ORACLE}
+    return {"op9_line_dedup": line_dedup.ORACLE, "op11_url_filters": url_filter.ORACLE}
