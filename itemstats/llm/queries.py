@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from itemstats.llm import (
     decontamination,
+    divergence,
     embeddings,
     html_text,
     language_id,
@@ -67,6 +68,10 @@ def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark, url_filter.RULES))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -80,8 +85,13 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_line_dedup": op9_line_dedup,
         "op10_sharding": op10_sharding,
         "op11_url_filters": op11_url_filters,
+        "op12_source_divergence": op12_source_divergence,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op9_line_dedup": line_dedup.ORACLE, "op11_url_filters": url_filter.ORACLE}
+    return {
+        "op9_line_dedup": line_dedup.ORACLE,
+        "op11_url_filters": url_filter.ORACLE,
+        "op12_source_divergence": divergence.ORACLE,
+    }
