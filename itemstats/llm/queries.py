@@ -13,6 +13,7 @@ from itemstats.llm import (
     embeddings,
     html_text,
     language_id,
+    lexical_search,
     line_dedup,
     ngram_join,
     packing,
@@ -72,6 +73,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -86,6 +91,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_sharding": op10_sharding,
         "op11_url_filters": op11_url_filters,
         "op12_source_divergence": op12_source_divergence,
+        "op13_ranked_lexical_search": op13_ranked_lexical_search,
     }
 
 
@@ -94,4 +100,5 @@ def oracles() -> dict[str, str]:
         "op9_line_dedup": line_dedup.ORACLE,
         "op11_url_filters": url_filter.ORACLE,
         "op12_source_divergence": divergence.ORACLE,
+        "op13_ranked_lexical_search": lexical_search.ORACLE,
     }
