@@ -14,6 +14,7 @@ ignored.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import zlib
@@ -35,6 +36,7 @@ HEX = b"0123456789abcdef"
 # the method's own
 CHECKED = re.compile(rb"(?:gh[pousr]|npm)_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")
 KEY_BLOCK = re.compile(rb"-----BEGIN (?P<kind>[A-Z ]{0,40}PRIVATE KEY)-----")
+KEY_END = re.compile(rb"(?=-----END (?P<kind>[A-Z ]{0,40}PRIVATE KEY)-----)")
 KEYWORDS = {
     "password": "assign", "passwd": "assign", "secret": "assign", "token": "assign", "apikey": "assign", "api_key": "assign",
     "akia": "access",
@@ -93,12 +95,21 @@ def hex_runs(raw: bytes, search) -> Iterator[tuple[int, int]]:
             yield start, end
 
 
+def block_ends(raw: bytes) -> dict[bytes, list[int]]:
+    """Where the last lines of private keys start, by the name of the key: one pass over the text."""
+    out: dict[bytes, list[int]] = {}
+    for m in KEY_END.finditer(raw):
+        out.setdefault(m["kind"], []).append(m.start())
+    return out
+
+
 def scan(text: str, words, hexes) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every span, by start and then kind as listed, in code points."""
     raw = text.encode("utf-8", "surrogatepass")
     hits = sorted((e - n + 1, kind) for e, (n, kind) in words.iter(raw.lower().decode("latin-1")))
     found = [(a, b, "hex") for a, b in hex_runs(raw, hexes)]
     done = dict.fromkeys(KINDS, 0)
+    ends = None
     for at, kind in hits:
         if at < done[kind]:
             continue
@@ -117,8 +128,10 @@ def scan(text: str, words, hexes) -> list[tuple[int, int, str]]:
         if m:
             end = m.end()
             if kind == "private_key":
-                foot = b"-----END " + m["kind"] + b"-----"
-                end = raw.find(foot, end) + len(foot) if foot in raw[end:] else end
+                ends = block_ends(raw) if ends is None else ends
+                own = ends.get(m["kind"], [])
+                k = bisect.bisect_left(own, end)
+                end = own[k] + len(b"-----END -----") + len(m["kind"]) if k < len(own) else end
             done[kind] = end
             if good:
                 found.append((at, end, kind))

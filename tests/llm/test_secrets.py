@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 from itemstats.llm import secrets
@@ -51,5 +52,18 @@ def test_checksums_and_redaction(spark, documents):
     assert clean[1] == "é [REDACTED] x" and clean[3] == "a [REDACTED] b" and clean[2] == rows[1][1] and clean[6] is None
 
 
+def test_key_blocks_are_linear_and_end_at_their_own_foot():
+    words, hexes = secrets.automaton(secrets.KEYWORDS), secrets.automaton({"h" * 6: "hex"})
+    begin, end = "-----BEGIN A PRIVATE KEY-----", "-----END A PRIVATE KEY-----"
+    assert secrets.scan(begin + "-----END B PRIVATE KEY" + end + end, words, hexes) == [(0, len(begin) + 22 + len(end), "private_key")]
+    assert secrets.scan(end + begin, words, hexes) == [(len(end), len(end + begin), "private_key")]
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    own = lambda i: "".join(letters[i // 26**k % 26] for k in range(4))
+    many = "".join(f"-----BEGIN {own(i)} PRIVATE KEY-----\n" for i in range(100_000))  # all unclosed, all of other names
+    start = time.time()
+    assert len(secrets.scan(many, words, hexes)) == 100_000
+    assert time.time() - start < 10
+
+
 def test_empty_table(spark, documents):
     assert secrets.find(documents([])).collect() == []
