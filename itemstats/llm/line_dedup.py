@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 
 from itemstats.llm import common
 
-#: "Over 50 words."  Words of a line are its blanks plus one.
+#: "Over 50 words."  Words of a line are its runs without white space, one at least.
 MIN_WORDS = 51
+WORD = r"[^\t\n\x0B\f\r \p{Z}]+"
 
 
 def _trimmed(line: Column) -> Column:
@@ -44,8 +45,8 @@ def _lines(docs: DataFrame) -> DataFrame:
         F.transform(F.split("_text", "\n", -1), lambda x, i: F.struct(i.alias("pos"), _trimmed(x).alias("t"))), lambda x: x["t"] != ""
     )
     out = docs.select("_id", "_th", F.posexplode(lines).alias("seq", "x"))
-    blanks = F.length("x.t") - F.length(F.replace(F.col("x.t"), F.lit(" "), F.lit("")))
-    return out.select("_id", "_th", "seq", "x.pos", F.xxhash64("x.t").alias("h"), (blanks + 1).cast("long").alias("w"))
+    words = F.greatest(F.lit(1), F.regexp_count("x.t", F.lit(WORD)))
+    return out.select("_id", "_th", "seq", "x.pos", F.xxhash64("x.t").alias("h"), words.cast("long").alias("w"))
 
 
 def _names(segments: DataFrame, words: int) -> DataFrame:
@@ -125,23 +126,25 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", doc_i
     """``docs`` with later copies deleted from ``text``, and ``n_lines``, ``n_removed`` (not blank)."""
     scratch = common.Scratch(docs.sparkSession, "lines")
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    own = docs.select(*names).withColumn("_id", F.col(doc_id).cast("long")).withColumn("_text", F.col(text).cast("string"))
-    own = own.withColumn("_th", F.xxhash64("_text"))
-    gone = scratch.write(later_copies(scratch, own.select("_id", "_th", "_text"), min_words))
+    # the row is one column, so no name of its columns can clash
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    text_of = F.col("row")[text].cast("string")
+    own = own.withColumn("_id", F.col("row")[doc_id].cast("long")).withColumn("_th", F.xxhash64(text_of))
+    gone = scratch.write(later_copies(scratch, own.select("_id", "_th", text_of.alias("_text")), min_words))
     gone = gone.select(F.col("_id").alias("_i"), F.col("_th").alias("_t"), "_deleted")
     # only documents that may be edited are joined; the others' texts are not shuffled
     own = common.likely(own, F.xxhash64("_id", "_th"), gone.select(F.xxhash64("_i", "_t").alias("key")))
     edited = own.filter("_likely").join(gone.hint("merge"), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_th") == F.col("_t")), "left")
     out = edited.drop("_i", "_t").unionByName(own.filter("NOT _likely").withColumn("_deleted", F.lit(None).cast("array<int>")))
-    split = F.split("_text", "\n", -1)
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "_deleted"), lambda i: F.get(F.col("_lines"), i))
+    out = out.withColumn("_lines", F.split(text_of, "\n", -1))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_deleted"), lambda i: F.get(F.col("_lines"), i))
     count = F.size(F.filter("_lines", lambda x: _trimmed(x) != ""))
-    out = out.withColumn("_lines", split)
+    edited_text = F.when(F.col("_deleted").isNull(), F.col("row")[text]).otherwise(F.array_join(kept, "\n"))
     return out.select(
-        *[(F.when(F.col("_deleted").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(text) if c == text else F.col(c)) for c in names],
-        F.when(F.col("_text").isNull(), 0).otherwise(count).alias("n_lines"),
+        *[(edited_text if c == text else F.col("row")[c]).alias(c) for c in names],
+        F.when(text_of.isNull(), 0).otherwise(count).alias("n_lines"),
         F.when(F.col("_deleted").isNull(), 0).otherwise(F.size("_deleted")).alias("n_removed"),
-    )
+    )
 
 
 ORACLE = f"""
@@ -151,7 +154,7 @@ own AS (SELECT doc_id, pos, trim(line, ' ' || chr(9) || chr(13)) AS t,
   row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq
   FROM lines WHERE trim(line, ' ' || chr(9) || chr(13)) <> ''),
 pairs AS (SELECT a.doc_id AS da, b.doc_id AS db, a.seq AS sa, a.pos AS pa, a.seq - b.seq AS shift,
-  length(a.t) - length(replace(a.t, ' ', '')) + 1 AS w
+  greatest(1, len(regexp_extract_all(a.t, '{WORD}'))) AS w
   FROM own a JOIN own b ON a.t = b.t AND (b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.seq < a.seq))),
 islands AS (SELECT *, sa - row_number() OVER (PARTITION BY da, db, shift ORDER BY sa) AS island FROM pairs),
 gone AS (SELECT DISTINCT da, pa FROM (

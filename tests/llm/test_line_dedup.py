@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import pytest
+import regex
 
 from itemstats.llm import line_dedup
 from itemstats.llm.common import table
@@ -22,7 +23,7 @@ def brute(rows, least):
                     n = 0
                     while p + n < len(sa) and q + n < len(sb) and sa[p + n][1] == sb[q + n][1]:
                         n += 1
-                    if sum(x.count(" ") + 1 for _, x in sa[p : p + n]) >= least:
+                    if sum(max(1, len(regex.findall(r"[^\t\n\x0b\f\r \p{Z}]+", x))) for _, x in sa[p : p + n]) >= least:
                         gone |= {k for k, _ in sa[p : p + n]}
         out[docs[a]] = gone
     want = []
@@ -41,7 +42,7 @@ def get(df):
 @pytest.mark.parametrize("seed,least", [(1, 7), (2, 12), (3, 1)])
 def test_against_brute_force(spark, documents, seed, least):
     rnd = random.Random(seed)
-    pool = ["one", "two words", "three more words", "now four of them", " padded line\t", "", "  ", "Ünï code", "x " * 9 + "x"]
+    pool = ["one", "two words", "three more words", "now four of them", " padded line\t", "", "  ", "Ünï code", "x " * 9 + "x", "a" + " " * 60 + "b", "tab\tby\ttab\u00a0and more", "\u00a0", "a\x0bb\x0cc"]
     rows = []
     for i in range(40):
         t = "\n".join(rnd.choice(pool) for _ in range(rnd.randrange(1, 14)))
@@ -52,6 +53,17 @@ def test_against_brute_force(spark, documents, seed, least):
     assert get(line_dedup.dedup(documents(rows), least)) == brute(rows, least)
 
 
+def test_columns_of_any_name_are_kept(spark):
+    names = ["_id", "_th", "_text", "_lines", "_deleted", "_i", "_t", "_likely", "_b", "_word", "_bits", "row", "seq", "pos", "h", "w", "first", "name", "runs"]
+    rows = [(i, "same words here\n" * 20, *[f"{n}-{i}" for n in names]) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = line_dedup.dedup(df)
+    assert got.columns == [*df.columns, "n_lines", "n_removed"]
+    for r in got.collect():
+        assert all(r[n] == f"{n}-{r['doc_id']}" for n in names)
+        assert r["n_removed"] == (19 if r["doc_id"] == 0 else 20) and r["n_lines"] == 20
+
+
 def test_oracle_on_the_table(spark):
     path = "/root/testdata/sf0.001/documents.parquet"
     got = get(line_dedup.dedup(table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")))
