@@ -4,8 +4,8 @@ A document's set holds its distinct ``words``-word shingles (the whole word sequ
 words).  Two documents link when the Jaccard similarity of their sets is at least the threshold.
 
 1. One pass over the texts gives per document the set size and a 128-bit digest of the set, and per
-   batch the shingles that several distinct sets share.  Documents with equal digests are one class;
-   one document of a class, that with the smallest id, goes on.  The ``FREQUENT`` shingles shared
+   batch the shingles that several distinct sets share.  Documents with equal digests are one class,
+   named by half of the digest; one document of a class, that with the smallest id, goes on.  The ``FREQUENT`` shingles shared
    most form a bounded table that fixes the global order: all others by hash, then those by rising
    count.  It only orders; any table gives the same result.
 2. A second pass emits the prefix of every class: by the prefix filter, sets of sizes n <= m that link
@@ -23,8 +23,9 @@ words).  Two documents link when the Jaccard similarity of their sets is at leas
 Word hashes are 64 bits; two shingles are taken as equal when the combined hashes are.
 
 Defined cases: a null text and one without words have size 0 and link with nothing, nor with each
-other; long texts are handled whole; rows repeated with one doc_id are one node, whatever their texts;
-a null doc_id takes the component of its class; an empty table gives an empty result; extra columns are ignored.
+other; long texts are handled whole; every row is a document of its own, also one of several with a doc_id (their
+texts link only by their sets); a component without any doc_id has a null component_id; an empty table
+gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from itemstats.llm import common
@@ -96,9 +97,9 @@ def rank(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def _digests(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n, digest halves; and rows (token, count) of shared shingles."""
+    """Per document: doc_id, text_key, n, digest halves; and rows (token, count) of shared shingles."""
 
-    names = ["doc_id", "n", "one", "two", "token", "times"]
+    names = ["doc_id", "text_key", "n", "one", "two", "token", "times"]
 
     def batch(**columns) -> pa.RecordBatch:
         size = len(next(iter(columns.values())))
@@ -127,9 +128,9 @@ def _digests(docs: DataFrame) -> DataFrame:
                         held, size = [], 0
             if held:
                 yield shared(held)
-            yield batch(doc_id=b.column(0), n=n, one=one, two=two)
+            yield batch(doc_id=b.column(0), text_key=b.column(2), n=n, one=one, two=two)
 
-    return docs.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return docs.select("doc_id", "text", "text_key").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _frequent(rows: DataFrame) -> np.ndarray:
@@ -257,25 +258,37 @@ def tree_links(ids: np.ndarray, sets: list[np.ndarray], probes: np.ndarray | Non
     return out
 
 
+def text_key(text: Column) -> Column:
+    """Name of a text in the results of :func:`join`."""
+    return F.xxhash64(text.cast("string"))
+
+
 def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per row of ``docs``."""
+    """``doc_id, n_shingles, component_id, text_key, component`` per row of ``docs``; ``component`` names
+    its group also where no row of it has a doc_id (null without words)."""
     spark = docs.sparkSession
     scratch = common.Scratch(spark, "ngrams")
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    docs = docs.withColumn("text_key", text_key(F.col("text")))
     first = scratch.write(_digests(docs))
     frequent = _frequent(first)
-    rows = first.filter("n is not null").select("doc_id", "n", F.struct("one", "two").alias("set"))
-    classes = scratch.write(rows.filter("n > 0").groupBy("set", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
+    rows = first.filter("n is not null").select("doc_id", "text_key", "n", F.struct("one", "two").alias("set"))
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("rep")
+    classes = rows.filter("n > 0").groupBy("set", "n").agg(rep, F.min("doc_id").alias("low"), F.count("*").alias("copies"))
+    classes = scratch.write(classes.withColumn("one", F.col("set.one")))
     candidates = _candidates(scratch, _postings(docs, frequent))
     groups = common.components(scratch, candidates).withColumnRenamed("node", "one")
-    reps = groups.join(classes.select("set.one", "rep"), "one").select("component", F.col("rep").alias("doc_id"))
-    links = scratch.write(_links(docs, scratch.write(reps.filter("doc_id is not null").distinct())))
-    linked = common.components(scratch, links)
-    named = classes.join(linked.withColumnRenamed("node", "rep"), "rep", "left")
-    named = scratch.write(named.select("set", F.coalesce("component", "rep").alias("component_id"), "copies"))
-    keyed = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("set")).alias("set"))
+    reps = groups.join(classes.select("one", "rep.doc_id", "rep.text_key"), "one").distinct()
+    links = scratch.write(_links(docs, scratch.write(reps)))
+    linked = scratch.write(common.components(scratch, links).withColumnRenamed("node", "one").join(classes.select("one", "low"), "one"))
+    lowest = scratch.write(linked.groupBy("component").agg(F.min("low").alias("least"), F.count("*").alias("members")))
+    linked = common.join_keyed(linked, lowest, "component", "members", linked.count()).select("one", "component", "least")
+    named = classes.join(linked, "one", "left")
+    least = F.when(F.col("component").isNull(), F.col("low")).otherwise(F.col("least"))
+    named = scratch.write(named.select("set", least.alias("component_id"), F.coalesce("component", "one").alias("component"), "copies"))
+    keyed = rows.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("set")).alias("set"))
     out = common.join_keyed(keyed, named, "set", "copies", rows.count())
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_key", "component")
 
 
 def _postings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -327,21 +340,24 @@ def _candidates(scratch: common.Scratch, postings: DataFrame) -> DataFrame:
 
 
 def _links(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Links (a, b) among the documents of each candidate group (component, doc_id)."""
+    """Links (a, b) among the classes of each candidate group (component, one, doc_id, text_key)."""
+    # the row whose text stands for a class: its doc_id, or without one the name of its text
+    key = F.coalesce("doc_id", "text_key")
     sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
     placed = common.join_keyed(groups, sizes.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")), "component", "members", groups.count())
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    # texts that no candidate needs stay out of the shuffle
-    likely = common.likely(docs, F.col("doc_id"), groups.select(F.col("doc_id").alias("key"))).filter("_likely")
-    texts = likely.join(placed.hint("merge"), "doc_id")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("one"), F.col("blocks")).cast("int")).withColumn("row", key).drop("doc_id")
+    # texts that no candidate needs stay out of the shuffle, repeated rows meet before it
+    wanted = groups.select(F.xxhash64(key, "text_key").alias("key"))
+    likely = common.likely(docs.select(key.alias("row"), "text_key", "text"), F.xxhash64("row", "text_key"), wanted).filter("_likely")
+    texts = likely.groupBy("row", "text_key").agg(F.first("text").alias("text")).join(placed.hint("merge"), ["row", "text_key"])
     tasks = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "text"
+        "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "one", "text"
     )
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
         own = [shingles(t) for t in pdf["text"]]
-        ids = pdf["doc_id"].to_numpy()
+        ids = pdf["one"].to_numpy()
         e = tree_links(ids, own, None if i == j else (pdf["block"] == j).to_numpy()) if len(own) > 1 else []
         return pd.DataFrame(np.array(e, "int64").reshape(-1, 2), columns=["a", "b"])
 

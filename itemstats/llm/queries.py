@@ -26,7 +26,7 @@ from itemstats.llm.common import table
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join(table(spark, sf_dir, "documents"))
+    return ngram_join.join(table(spark, sf_dir, "documents")).drop("text_key", "component")
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

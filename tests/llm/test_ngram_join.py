@@ -101,3 +101,17 @@ def test_edges(spark, documents):
     rows = [(7, "a b c d e f"), (7, "a b c d e f"), (None, "a b c d e f"), (None, None), (3, "")]
     got = sorted(((r["doc_id"] or 0, r["n_shingles"], r["component_id"]) for r in ngram_join.join(documents(rows)).collect()), key=str)
     assert got == sorted([(7, 2, 7), (7, 2, 7), (0, 2, 7), (0, 0, None), (3, 0, 3)], key=str)
+
+
+def test_rows_are_documents_whatever_their_ids(spark, documents):
+    one = " ".join(f"a{k}" for k in range(60))
+    near, other, far = one + " more", " ".join(f"b{k}" for k in range(60)), " ".join(f"c{k}" for k in range(60))
+    rows = [(5, one), (5, other), (3, other), (5, one), (None, near), (None, near), (None, far), (None, far + " x"), (None, far + " x"), (9, far + " y"), (4, None)]
+    rows += [(None, "no other " * 9)]
+    got = ngram_join.join(documents(rows)).collect()
+    by = {}
+    for r in got:
+        by.setdefault((r["component"], r["component_id"]), []).append(r["doc_id"])
+    groups = sorted((c[1], sorted(v, key=str)) for c, v in by.items() if c[0] is not None and c[1] is not None)
+    assert groups == [(3, [3, 5]), (5, [5, 5, None, None]), (9, [9, None, None, None])]
+    assert sorted((c is None, i, v) for (c, i), v in by.items() if c is None or i is None) == [(False, None, [None]), (True, 4, [4])]
