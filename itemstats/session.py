@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
+from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
 
@@ -51,3 +53,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running itemstats on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="itemstats-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of a session, once per application.
+
+    Functions that run in tasks are found by their module's name, so the executors need the package even
+    where the driver alone has it on its path.  The archive lies in the folder from which Spark's driver
+    serves the files of an application.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_itemstats_shipped", None) == sc.applicationId:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(SparkFiles.getRootDirectory(), "itemstats-package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("itemstats", os.path.relpath(path, package)))
+    sc.addPyFile(archive)
+    sc._itemstats_shipped = sc.applicationId
