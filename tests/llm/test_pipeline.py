@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import importlib.util
 import os
+import random
 
 import numpy as np
 
@@ -79,10 +80,51 @@ def test_run_is_the_chain_of_stages_and_empty_input(spark):
     assert pipeline.run(spark, SF).count() > 0
 
 
-def test_near_duplicates_with_repeated_ids(spark, documents):
-    rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (1, "quite another text than that one"), (2, "a b c d e f g"), (None, "x y z"), (3, None), (4, None)]
-    out = pipeline.near_duplicates(spark, documents(rows), SF)
-    assert sorted(r["doc_id"] or 0 for r in out.collect()) == [0, 1, 3, 4]
+def near_copies(rows):
+    """Rows to stay by brute force: of every group of linked rows (pairs compared on whole sets) the one with
+    the smallest (doc_id, text key)."""
+    import regex
+    import xxhash
+
+    key = lambda t: xxhash.xxh64_intdigest(t.encode(), 42) - (1 << 64 if xxhash.xxh64_intdigest(t.encode(), 42) >> 63 else 0)
+    sets = []
+    for _, t in rows:
+        w = regex.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    group = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(sets):
+            for k, b in enumerate(sets):
+                if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                    group[i] = group[k] = min(group[i], group[k])
+    stay = {}
+    for i, (d, t) in enumerate(rows):
+        own = (d is None, d or 0, key(t or ""), t or "")
+        if not sets[i]:
+            stay[("none", i)] = (d, t)
+        elif group[i] not in stay or own < stay[group[i]][0]:
+            stay[group[i]] = (own, (d, t))
+    return sorted((v if k[0] == "none" else v[1] for k, v in ((k if isinstance(k, tuple) else (k,), v) for k, v in stay.items())), key=str)
+
+
+def test_near_duplicates_with_repeated_and_null_ids(spark, documents):
+    rnd = random.Random(4)
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(80))
+    rows = [(5, text(1)), (5, text(2)), (3, text(2)), (5, text(3)), (6, text(3)), (6, text(4))]  # unique texts under shared ids
+    for _ in range(90):
+        t = text(rnd.randrange(5, 20)) + " more" * rnd.randrange(3)
+        rows.append((rnd.choice([None, *range(20)]), t))
+    rows += [(None, text(30)), (None, text(30)), (None, text(31)), (7, text(32)), (7, text(32)), (7, text(32)), (1, None), (1, None), (None, ""), (2, " ")]
+    got = pipeline.near_duplicates(spark, documents(rows), SF).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == near_copies(rows)
+
+
+def test_near_duplicates_keep_columns_of_any_name(spark):
+    names = ["_id", "_likely", "_b", "row", "id", "of", "stays", "n", "component", "text_key"]
+    rows = [(i, f"a b c d e f {i // 2}" + " x" * 30, *[f"{n}-{i}" for n in names]) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = pipeline.near_duplicates(spark, df, SF)
+    assert got.columns == df.columns and all(r[n] == f"{n}-{r['doc_id']}" for r in got.collect() for n in names)
 
 
 def test_common_short_items_leave_clean_documents(spark, documents, tmp_path):
