@@ -105,7 +105,7 @@ def encoder(path: str) -> Encoder:
 
 
 def pieces(docs: DataFrame, text: str, doc_id: str, tokenizer: str, max_tokens: int, with_ids: bool) -> DataFrame:
-    schema = T._parse_datatype_string(PIECES + (", ids array<long>" if with_ids else ""))
+    schema = T._parse_datatype_string(PIECES + (", ids array<int>" if with_ids else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, tail = encoder(tokenizer), np.asarray([SEPARATOR], "<u4").tobytes()
@@ -124,7 +124,7 @@ def pieces(docs: DataFrame, text: str, doc_id: str, tokenizer: str, max_tokens:
                 while start < n:
                     own = ids[4 * start : 4 * end]
                     row = (i, k, start, end - start, zlib.crc32(own))
-                    out.append((*row, np.frombuffer(own, "<u4").astype("int64")) if with_ids else row)
+                    out.append((*row, np.frombuffer(own, "<i4")) if with_ids else row)
                     held += end - start if with_ids else 0
                     start, end, k = end, end + max_tokens, k + 1
                     if held > IDS_AT_ONCE:
@@ -136,7 +136,7 @@ def pieces(docs: DataFrame, text: str, doc_id: str, tokenizer: str, max_tokens:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-ARROW = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+ARROW = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
 
 
 def patterns(counts: dict[int, int], size: int) -> list[tuple[list[int], int]]:
