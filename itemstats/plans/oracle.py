@@ -591,6 +591,7 @@ def registry() -> dict[str, str]:
         "json_fractional": json_fractional(),
         "rejected": rejected(),
         "result_round_trip": item_index("propagate"),
+        "results_at_once": item_index("propagate"),
         "blueprint_items": blueprint_items(),
         "responses_complete": responses_complete(),
         "responses_marked": responses_marked(),

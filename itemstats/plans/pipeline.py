@@ -24,7 +24,7 @@ from itemstats.functions.sizing import stored
 from itemstats.operators import clusters, item_stats, paper_stats, reshape, rules, totals
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 from itemstats.session import ensure_checkpoint_dir
-from itemstats.sinks import external
+from itemstats.sinks import external, store
 from itemstats.sinks import results as sinks
 
 
@@ -109,21 +109,31 @@ def _results(sheets: DataFrame, items: DataFrame, item_knowledge: DataFrame | No
 
 def run(responses: DataFrame | None, blueprint: DataFrame, target: str, item_knowledge: DataFrame | None = None,
         steps: str = "123", requests: DataFrame | None = None, options: Options | None = None,
-        as_table: bool = False, sheets: DataFrame | None = None, jdbc: dict[str, str] | None = None) -> dict[str, DataFrame]:
+        as_table: bool = False, sheets: DataFrame | None = None, jdbc: dict[str, str] | None = None,
+        at_once: bool = False) -> dict[str, DataFrame]:
     """:func:`analyse`, then write every result under ``target`` (``<target>/<table>`` or
     ``<target>.<table>`` with ``as_table``, created where missing), replacing only the batches
-    analysed, also where they now give no row.  With ``jdbc`` (``url`` and connection properties)
-    the results are appended to database tables of the same names as well.  Step 3 also writes
-    ``t_left_out``, the samples without a cluster and why."""
+    analysed, also where they now give no row.  With ``at_once`` the tables of the batches are replaced
+    together by one commit of :mod:`itemstats.sinks.store` under ``target``, so a failure between two of
+    them leaves the old rows in all.  With ``jdbc`` (``url``, connection properties and optionally ``epoch``) the
+    batches are replaced in database tables of the same names as well, in one transaction
+    (:func:`itemstats.sinks.external.commit_jdbc`).  Step 3 also writes ``t_left_out``, the samples
+    without a cluster and why."""
     o = options or Options()
+    if at_once and as_table:
+        raise ValueError("at_once keeps its own folders: give a path")
     if as_table:
         sinks.ensure_tables((responses if responses is not None else sheets).sparkSession, target)
     sheets, items = _inputs(responses, blueprint, requests, sheets)
     res = _results(sheets, items, item_knowledge, steps, o)
     analysed = reshape.batches(sheets)
     report = {"t_left_out": clusters.left_out(sheets, items, o.include_code, o.missing)} if "3" in steps else {}
-    for name, df in (res | report).items():
-        sinks.write_result(df, f"{target}.{name}" if as_table else f"{target.rstrip('/')}/{name}", as_table, analysed)
-        if jdbc and name in res:
-            external.write_jdbc(df, jdbc["url"], name, {k: v for k, v in jdbc.items() if k != "url"})
+    if at_once:
+        store.commit(res | report, target, analysed)
+    else:
+        for name, df in (res | report).items():
+            sinks.write_result(df, f"{target}.{name}" if as_table else f"{target.rstrip('/')}/{name}", as_table, analysed)
+    if jdbc:
+        properties = {k: v for k, v in jdbc.items() if k not in ("url", "epoch")}
+        external.commit_jdbc(res, jdbc["url"], properties, analysed=analysed, epoch=jdbc.get("epoch"))
     return res

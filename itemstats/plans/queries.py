@@ -21,6 +21,7 @@ from itemstats.operators import clusters, discretize, item_stats, knowledge, pap
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 from itemstats.session import ensure_checkpoint_dir
 from itemstats.sinks import results as result_sinks
+from itemstats.sinks import store as result_store
 from itemstats.sources import batches, fixture, responses as json_source, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +140,17 @@ def q_result_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(result_sinks.read_result(spark, target))
 
 
+def q_results_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item and paper statistics committed together twice, first in zero mode, and the items read back."""
+    sheets, items = _inputs(spark, sf_dir)
+    target = f"{ensure_checkpoint_dir(spark)}/at-once-{uuid.uuid4().hex}"
+    for mode in ("zero", "propagate"):
+        grouped = stored(totals.high_low_groups(totals.total_score(sheets, items, mode)))
+        ii = stored(item_stats.from_groups(grouped, items))
+        result_store.commit({"t_item_index": ii, "t_paper_index": paper_stats.compute(grouped, ii, items)}, target, reshape.batches(sheets))
+    return round_doubles(result_store.read(spark, target, "t_item_index"))
+
+
 def q_blueprint_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     bp = tables.wide_blueprint(fixture.wide_paper_item(spark, sf_dir))
     return reshape.blueprint_items(bp)
@@ -381,6 +393,7 @@ def registry() -> dict[str, Query]:
         "json_fractional": q_json_fractional,
         "rejected": q_rejected,
         "result_round_trip": q_result_round_trip,
+        "results_at_once": q_results_at_once,
         "blueprint_items": q_blueprint_items,
         "responses_complete": q_responses_complete,
         "responses_marked": q_responses_marked,
