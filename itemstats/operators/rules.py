@@ -1,16 +1,19 @@
 """Association rules between items or knowledge points.
 
-Support is relative to a batch, so batches cannot share one threshold
-naively.  Every label is prefixed with its batch key, so no itemset ever mixes
-batches, and Spark's FP-Growth runs once over the batches of a fit group with
-the smallest per-batch count as threshold; itemsets are then kept when they
-reach their own batch's count ``ceil(min_support * n_batch)``.  This equals
-one FP-Growth per batch.  A fit group holds batches of one size class (powers
+Support is relative to a batch.  The itemsets of all batches come from one
+pass over blocks of transactions (:mod:`itemstats.operators.itemsets`); rules are
+derived from them with joins.
+
+:func:`fitted_itemsets` gives the same itemsets by Spark's FP-Growth: every label
+is prefixed with its batch key, so no itemset ever mixes batches, and one fit
+runs over the batches of a fit group with the smallest per-batch count as
+threshold; itemsets are then kept when they reach their own batch's count
+``ceil(min_support * n_batch)``.  A fit group holds batches of one size class (powers
 of two), so a small batch's low threshold never floods a large one, and at
 most about ``FIT_LABELS`` distinct labels in all, because a fit gathers its
 frequent single labels on the driver; the transactions are stored by fit
 group, so a fit reads only its own.  What is collected besides is one row per
-fit group.  Rules are derived from the frequent itemsets with joins.
+fit group; the fits run one after the other.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import functions as F
 from itemstats.defaults import CONFIDENCE, EXTREME_HI, EXTREME_LO, ITEM_SUPPORT, KNOWLEDGE_SUPPORT
 from itemstats.functions.sizing import small_side, stored
 from itemstats.operators import discretize, knowledge
+from itemstats.operators.itemsets import frequent_itemsets
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 
 #: Distinct labels one FP-Growth fit may hold (a batch with more is a fit of its own).
@@ -44,8 +48,8 @@ def _batch_tag() -> Column:
     return F.concat(F.col("paper_code"), F.lit(_KEYSEP), F.col("create_time"))
 
 
-def frequent_itemsets(transactions: DataFrame, min_support: float, num_partitions: int | None = None) -> DataFrame:
-    """Frequent itemsets per batch: ``(paper_code, create_time, items array<string> sorted, freq, n)``.
+def fitted_itemsets(transactions: DataFrame, min_support: float, num_partitions: int | None = None) -> DataFrame:
+    """Frequent itemsets per batch by FP-Growth fits: ``(paper_code, create_time, items array<string> sorted, freq, n)``.
 
     ``transactions(paper_code, create_time, ..., items array<string>)`` holds one
     row per sample with distinct labels.
@@ -167,10 +171,9 @@ def format_rules(rules: DataFrame) -> DataFrame:
     )
 
 
-def mine(transactions: DataFrame, min_support: float, min_confidence: float,
-         num_partitions: int | None = None) -> DataFrame:
+def mine(transactions: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
     """Frequent itemsets -> rules -> ids and labels split, for every batch at once."""
-    sets = frequent_itemsets(transactions, min_support, num_partitions)
+    sets = stored(frequent_itemsets(transactions, min_support))  # read three times
     return split_tags(association_rules(sets, min_confidence))
 
 

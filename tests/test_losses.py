@@ -94,9 +94,9 @@ def test_rules_do_not_depend_on_the_fit_groups(spark, monkeypatch):
     rows = [(f"P{b}", f"{i}", [f"{k}t" for k in range(5) if (i * 7 + k * b) % 3]) for b in range(6) for i in range(12)]
     tx = spark.createDataFrame([(p, "t", s, x) for p, s, x in rows], "paper_code string, create_time string, stu_code string, items array<string>")
     key = lambda df: sorted((r.paper_code, tuple(r["items"]), r.freq, r.n) for r in df.collect())
-    one = key(rules.frequent_itemsets(tx, 0.3))
+    one = key(rules.fitted_itemsets(tx, 0.3))
     monkeypatch.setattr(rules, "FIT_LABELS", 5)
-    assert key(rules.frequent_itemsets(tx, 0.3)) == one and one
+    assert key(rules.fitted_itemsets(tx, 0.3)) == one and one
 
 
 def test_broadcast_is_bounded_by_bytes(spark):

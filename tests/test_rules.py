@@ -7,7 +7,7 @@ import math
 import random
 
 from conftest import blueprint, responses
-from itemstats.operators import discretize, knowledge, reshape, rules
+from itemstats.operators import discretize, itemsets, knowledge, reshape, rules
 
 
 def _brute(tx_by_batch, support, confidence):
@@ -99,3 +99,53 @@ def test_null_knowledge_label_left_out(spark):
     ik = spark.createDataFrame([("P", 1, 1), ("P", 2, 2)], "paper_code string, kl_id int, item_id int")
     assert knowledge.transactions(sheets, ik, items).collect()[0]["items"] == ["1h"]
     assert knowledge.transactions(sheets, ik, items, missing="zero").collect()[0]["items"] == ["1h", "2l"]
+
+
+def _sets(df):
+    return {(r.paper_code, tuple(r["items"]), r.freq, r.n) for r in df.collect()}
+
+
+def test_itemsets_of_blocks_equal_fits_and_brute_force(spark, monkeypatch):
+    rnd = random.Random(11)
+    labels = [f"{i}{x}" for i in range(9) for x in "tf"]
+    tx = {"one": [], "hot": [], "tiny": [set()], "lone": [{"1t"}]}
+    for name, n in (("one", 12), ("hot", 400)):
+        tx[name] = [{rnd.choice([f"{i}t", f"{i}t", f"{i}t", f"{i}f"]) for i in range(9) if rnd.random() < 0.9} for _ in range(n)]
+    df = _tx_df(spark, tx).repartition(4)
+
+    def brute(support):
+        out = set()
+        for b, txs in tx.items():
+            least = max(1, math.ceil(support * len(txs)))
+            for size in range(1, 10):
+                found = {(b, c, f, len(txs)) for c in itertools.combinations(sorted(labels), size) if (f := sum(set(c) <= t for t in txs)) >= least} if size < 4 else set()
+                out |= found
+        return out
+
+    for support in (0.3, 0.62):
+        want = brute(support)
+        assert _sets(rules.fitted_itemsets(df, support)) == _sets(rules.frequent_itemsets(df, support))
+        for rows in (1, 50):  # blocks of a batch: many, several
+            with monkeypatch.context() as m:
+                m.setattr(itemsets, "ROWS", rows)
+                got = _sets(rules.frequent_itemsets(df, support))
+            assert {g for g in got if len(g[1]) < 4} == want
+            assert got == _sets(rules.frequent_itemsets(df, support))
+
+
+def test_itemsets_of_empty_and_odd_transactions(spark):
+    schema = "paper_code string, create_time string, items array<string>"
+    assert rules.frequent_itemsets(spark.createDataFrame([], schema), 0.5).collect() == []
+    rows = [("A", "1", ["b", "a", "a", None]), ("A", "1", None), ("A", "1", []), ("A", "2", ["a"])]
+    got = {(r.create_time, tuple(r["items"]), r.freq, r.n) for r in rules.frequent_itemsets(spark.createDataFrame(rows, schema), 0.3).collect()}
+    assert got == {("1", ("a",), 1, 3), ("1", ("b",), 1, 3), ("1", ("a", "b"), 1, 3), ("2", ("a",), 1, 1)}
+
+
+def test_many_batches_are_mined_in_a_bounded_number_of_jobs(spark):
+    ids = spark.range(2000)
+    tx = ids.selectExpr("concat('p', id % 500) AS paper_code", "'1' AS create_time", "array('1t', concat(id % 3, 'f')) AS items")
+    group = "itemsets-jobs"
+    spark.sparkContext.setJobGroup(group, group)
+    assert rules.frequent_itemsets(tx, 0.5).filter("array_size(items) = 1 AND items[0] = '1t'").count() == 500
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < 25
+    spark.sparkContext.setJobGroup("", "")
