@@ -2,8 +2,8 @@
 
 Lookup tables here are derived (per-paper item lists, score histograms,
 centroids) and their size follows the number of papers and batches, not a
-constant.  :func:`small_side` materialises such a table once (reliable
-checkpoint), measures it, and hints a broadcast only under a bound on its
+constant.  :func:`small_side` writes such a table once below the checkpoint folder
+(one job; a reliable checkpoint computes its last stage twice), measures it, and hints a broadcast only under a bound on its
 bytes; above it the join stays a shuffle join, where AQE splits hot keys.  Without the
 check the planner's estimate of a derived table is often too large, so it
 plans a sort-merge join that shuffles the big side by paper, a hot key.
@@ -31,15 +31,14 @@ def measured(df: DataFrame) -> tuple[int, int]:
 
 
 def checked(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, int]:
-    """``df`` checkpointed and its row count; broadcast-hinted when it measures at most ``max_bytes``."""
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint()
+    """``df`` stored and its row count; broadcast-hinted when it measures at most ``max_bytes``."""
+    df = stored(df)
     n, size = measured(df)
     return (F.broadcast(df) if size <= (BROADCAST_BYTES if max_bytes is None else max_bytes) else df), n
 
 
 def small_side(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """``df`` checkpointed, with a broadcast hint when it measures at most ``max_bytes``."""
+    """``df`` stored, with a broadcast hint when it measures at most ``max_bytes``."""
     return checked(df, max_bytes)[0]
 
 

@@ -147,14 +147,14 @@ def seeds(feats: DataFrame, k: int = K, seed: int = SEED, vec: str = "features")
     first = feats.withColumn("_key", _uniform(seed, 0)).groupBy(*BATCH_KEYS).agg(
         F.max_by(vec, "_key").alias("center")
     )
-    cents = first.withColumn("cluster", F.lit(0)).checkpoint()
+    cents = stored(first.withColumn("cluster", F.lit(0)))
     small = _centroids_small(cents)
     for j in range(1, k):
         d = assign(feats, cents, vec, small=small).filter(F.col("distance") > 0)
         nxt = d.withColumn("_key", F.log(_uniform(seed, j)) / F.col("distance")).groupBy(*BATCH_KEYS).agg(
             F.max_by(vec, "_key").alias("center")
         )
-        cents = cents.unionByName(nxt.withColumn("cluster", F.lit(j))).checkpoint()
+        cents = stored(cents.unionByName(nxt.withColumn("cluster", F.lit(j))))
     return cents
 
 
@@ -162,22 +162,21 @@ def fit(feats: DataFrame, k: int = K, max_iter: int = MAX_ITER, tol: float = TOL
     """Lloyd's k-means per batch; returns the centroids ``(batch, cluster, center, size)``.
 
     Stops when no centroid moves more than ``tol`` (Euclidean) or after
-    ``max_iter`` steps.  Each step's centroids are checkpointed to the
+    ``max_iter`` steps.  Each step's centroids are stored below the
     session's ``spark.checkpoint.dir``.
     """
     ensure_checkpoint_dir(feats.sparkSession)
     cents = seeds(feats, k, seed)
     small = _centroids_small(cents.filter("cluster = 0"))
     for _ in range(max_iter):
-        new = centroids(assign(feats, cents, small=small)).checkpoint()
-        # one small job: the largest centroid move; a cluster that appeared or emptied counts as infinite
+        # a step's centroids are stored with their move; a cluster that appeared or emptied moved infinitely far
         old = cents.select(*BATCH_KEYS, "cluster", F.col("center").alias("_old"))
-        moved = new.join(old, [*BATCH_KEYS, "cluster"], "full_outer")
-        step = F.when(F.col("center").isNull() | F.col("_old").isNull(), F.lit(float("inf"))).otherwise(
-            F.sqrt(_sqdist(F.col("center"), F.col("_old")))
-        )
-        shift = moved.agg(F.max(step)).first()[0]
-        cents = new
+        new = centroids(assign(feats, cents, small=small)).join(old, [*BATCH_KEYS, "cluster"], "full_outer")
+        far = F.sqrt(_sqdist(F.col("center"), F.col("_old")))
+        new = new.withColumn("_move", F.when(F.col("center").isNull() | F.col("_old").isNull(), F.lit(float("inf"))).otherwise(far))
+        new = stored(new.drop("_old"))
+        shift = new.agg(F.max("_move")).first()[0]
+        cents = new.filter(F.col("center").isNotNull()).drop("_move")
         if shift is None or shift <= tol:
             break
     return cents

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemstats.defaults import GROUP_FRACTION
-from itemstats.functions.sizing import small_side
+from itemstats.functions.sizing import small_side, stored
 from itemstats.operators.ranking import rank_in_group
 from itemstats.operators.reshape import cell, score_type, with_papers
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
@@ -92,7 +92,7 @@ def high_low_groups(totals: DataFrame, fraction: float = GROUP_FRACTION) -> Data
         (F.col("_take_lo") > 0) & (F.col("_take_lo") < F.col("_cnt"))
     )
     tie_key = F.concat(F.col("stu_code"), F.lit("\u0001"), F.lpad(F.col("attempt").cast("string"), 10, "0"))
-    ties = full.filter(partial).select(*STUDENT_KEYS, "_tnull", "_tval", tie_key.alias("_tie")).checkpoint()
+    ties = stored(full.filter(partial).select(*STUDENT_KEYS, "_tnull", "_tval", tie_key.alias("_tie")))
     # samples off the cut score have no rank: their bucket is wholly in (take = cnt) or out (take = 0)
     if ties.count() == 0:
         flagged = full.withColumn("_rank", F.lit(None).cast("long"))
