@@ -215,7 +215,12 @@ def pack(
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``) per piece."""
     scratch = common.Scratch(docs.sparkSession, "pack")
     cut = pieces(docs, text, doc_id, tokenizer or default_tokenizer(), max_tokens, with_ids)
-    rows = common.ordered(scratch, scratch.write(cut), ["length", "doc_id", "piece", "ids_crc32"])
+    if with_ids:  # the ids stay out of the sort and of the workers, and are joined by key to their places
+        stored = scratch.write(cut.withColumn("key", F.monotonically_increasing_id()))
+        cut = stored.drop("ids")
+    else:
+        stored = cut = scratch.write(cut)
+    rows = common.ordered(scratch, cut, ["length", "doc_id", "piece", "ids_crc32"])
     counts = {r[0]: r[1] for r in rows.groupBy("length").count().collect()}  # at most max_tokens rows
     totals = {r[0]: r[1] for r in rows.groupBy("part").count().collect()}  # one row per partition
     first, sequence, offset = intervals(patterns(counts, max_tokens))
@@ -232,4 +237,7 @@ def pack(
             keep += [pa.array(sequence[run] + rank - first[run]), pa.array(offset[run])]
             yield pa.RecordBatch.from_arrays(keep, names=[*names, "sequence_id", "offset"])
 
-    return rows.mapInArrow(place, schema)
+    placed = rows.mapInArrow(place, schema)
+    if not with_ids:
+        return placed
+    return placed.join(stored.select("key", "ids").hint("merge"), "key").select(*stored.drop("key", "ids").columns, "sequence_id", "offset", "ids")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 from hypothesis import given, settings
@@ -12,8 +13,13 @@ from tokenizers import Tokenizer
 from itemstats.llm import packing
 
 
+@cache
+def tokenizer():
+    return Tokenizer.from_file(packing.default_tokenizer())
+
+
 def reference(text):
-    t = Tokenizer.from_file(packing.default_tokenizer())
+    t = tokenizer()
     return [*t.encode(text or "", add_special_tokens=False).ids, 0]
 
 
@@ -55,6 +61,11 @@ def test_edges(spark, documents):
     assert packing.pack(documents([])).collect() == []
     got = packing.pack(documents([(7, "a b c")]), with_ids=True).collect()
     assert got[0]["ids"] == reference("a b c")
+    rows = [(8, "word " * 300), (9, "same"), (9, "same"), (None, "x"), (10, None)]
+    got = packing.pack(documents(rows), max_tokens=128, with_ids=True).collect()
+    check(rows, got, 128)
+    for r in got:
+        assert len(r["ids"]) == r["length"] and zlib.crc32(np.asarray(r["ids"], "<u4").tobytes()) == r["ids_crc32"]
     assert len(packing.pack(documents([(None, "x"), (None, None)])).collect()) == 2
 
 
