@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import html
+import math
+import random
 import re
+import time
 
 import pytest
 
@@ -77,3 +80,101 @@ def test_empty_table_and_nulls(spark):
     df = spark.createDataFrame([(1, None, None), (1, "u", "<p>a"), (None, "v", "")], "page_id long, url string, html string")
     assert sorted((r["page_id"] or 0, r["text"]) for r in html_text.extract(df).collect()) == [(0, ""), (1, ""), (1, "a")]
     assert html_text.extract(df.limit(0)).collect() == []
+
+
+LONG = "many words of prose that belong to the article and say something at length. " * 4
+
+
+@pytest.mark.parametrize(
+    "name,inner,stays",
+    [
+        ("related-work", f"<h2>Related work</h2><p>{LONG}</p>", True),
+        ("search-results", f"<p>{LONG}</p><p>{LONG}</p>", True),
+        ("related-posts", "<ul><li><a href=1>one post</a></li><li><a href=2>another post</a></li></ul>", False),
+        ("related-posts", f"<p><a href=1>{LONG}</a></p><p>x</p>", False),
+        ("share-buttons", "<span>tweet</span><span>send</span>", False),
+        ("related", f"<p>{LONG}</p>", False),
+        ("ad-slot", f"<p>{LONG}</p>", False),
+        ("cookie-notice", f"<p>{LONG}</p>", False),
+        ("right-sidebar", f"<p>{LONG}</p>", False),
+        ("related-work sidebar", f"<p>{LONG}</p>", False),
+    ],
+)
+@pytest.mark.parametrize("attribute", ["class", "id"])
+def test_marked_blocks_inside_an_article(attribute, name, inner, stays):
+    page = f"<body><nav>menu</nav><article><h1>T</h1><p>{LONG}</p><section {attribute}='{name}'>{inner}</section><p>{LONG}</p></article></body>"
+    own = [" ".join(b.split()) for b in re.findall("<(?:h2|p)>(.*?)</", inner)] if stays else []
+    assert html_text.main_text(page) == "\n".join(["T", LONG.strip(), *own, LONG.strip()])
+
+
+def test_doubtful_blocks_in_each_other_and_alone():
+    alone = f"<article><div class=related-work><p>{LONG}</p><div class=search-results><p>{LONG}</p></div></div></article>"
+    assert html_text.main_text(alone) == "\n".join([LONG.strip()] * 2)
+    sparse = f"<article><p>{LONG}</p><div class=related-work><p>a</p><div class=search-results><p>b</p></div></div></article>"
+    assert html_text.main_text(sparse) == LONG.strip()
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 50_000 + "x",
+        "<div>" * 50_000 + "x" + "</section>" * 50_000,
+        "<i><div>" + "<b>" * 50_000 + "</i>" * 50_000,
+        "<b>" * 50_000 + "<p>x</p>" * 20_000,
+        "<div><p>aa aa</p>" * 30_000,
+        "<article>" + "<div class=related-work>x y" * 50_000,
+        "<div><article>" * 30_000 + "x",
+    ],
+)
+def test_time_is_linear_in_depth(page):
+    """A tenth of the page takes about a tenth of the time (a hundredth, were the time quadratic)."""
+
+    def seconds(text):
+        start = time.process_time()
+        html_text.main_text(text)
+        return time.process_time() - start
+
+    assert seconds(page) < 40 * max(seconds(page[: len(page) // 10]), 0.02)
+
+
+def made_page(rnd):
+    tags = "div p section b i a span ul li h1 h2 td".split()
+    out = []
+    for _ in range(rnd.randrange(1, 40)):
+        k, t = rnd.random(), rnd.choice(tags)
+        out.append(f"<{t}>" if k < 0.45 else f"</{t}>" if k < 0.75 else " ".join("w" * rnd.randrange(1, 9) for _ in range(rnd.randrange(1, 30))))
+    return "".join(out)
+
+
+def test_densities_and_container_by_brute_force():
+    """Every figure of every node from its whole subtree, and what lies around the chosen subtrees."""
+    rnd = random.Random(3)
+
+    def below(n):
+        return [x for c in n.children if isinstance(c, html_text.Node) for x in (c, *below(c))]
+
+    def chars(n):
+        return sum(len("".join(c.split())) if isinstance(c, str) else chars(c) for c in n.children)
+
+    def links(n):
+        return chars(n) if n.tag == "a" else sum(links(c) for c in n.children if isinstance(c, html_text.Node))
+
+    for _ in range(400):
+        root = html_text.parse(made_page(rnd))
+        share = links(root) / max(chars(root), 1)
+
+        def density(n):
+            c, k, l, m = chars(n), max(len(below(n)), 1), links(n), sum(x.tag == "a" for x in below(n))
+            if not c or not l:
+                return c / k
+            base = math.log(c / max(c - l, 1) * l + share * c + math.e)
+            return c / k * math.log(max(c / l * k / max(m, 1), 1)) / math.log(max(base, 1.0001))
+
+        for n in html_text.densities(root):
+            own = [density(c) for c in n.children if isinstance(c, html_text.Node)]
+            assert (n.chars, n.tags, n.links) == (chars(n), len(below(n)), links(n))
+            assert n.density == pytest.approx(density(n)) and n.total == pytest.approx(sum(own) or n.density)
+        # the core is in the text, whole
+        core = max([root, *below(root)], key=lambda n: n.total)
+        text = "".join(html_text.blocks([core]).split())
+        assert text in "".join(html_text.blocks(html_text.content(root)).split())
