@@ -18,21 +18,25 @@ from pyspark.sql import functions as F
 from itemstats.functions.sizing import small_side, stored
 from itemstats.session import ensure_checkpoint_dir
 
+from itemstats.sources.blocks import read_lines
 from itemstats.sources.responses import BATCH_FILE
 
+#: Chosen files named to one text scan; more are read from their table.
+FEW_FILES = 10_000
 PAPER_DIR = r"/([^/]+)/[^/]+$"
 
 
 def list_batches(spark: SparkSession, root: str) -> DataFrame:
-    """``(paper_code, ts, path, uri)`` for every batch file under ``root`` (contents are not read);
-    ``uri`` is the encoded path by which a scan names its file."""
+    """``(paper_code, ts, path, uri, length)`` for every batch file under ``root`` (contents are not read);
+    ``uri`` is the encoded path by which a scan names its file.  It lists all folders:
+    :mod:`itemstats.sources.catalogue` keeps the names between calls."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(root)
-        .select("path", F.col("_metadata.file_path").alias("uri"))
+        .select("path", F.col("_metadata.file_path").alias("uri"), "length")
     )
-    return batch_files(files).select("paper_code", "ts", "path", "uri")
+    return batch_files(files).select("paper_code", "ts", "path", "uri", "length")
 
 
 def batch_files(files: DataFrame, path_col: str = "path") -> DataFrame:
@@ -86,25 +90,29 @@ def select_batch(files: DataFrame, requests: DataFrame, partitions: int | None =
     )
 
 
-def chosen_files(spark: SparkSession, root: str, requests: DataFrame) -> DataFrame:
-    """``(paper_code, submit_time, create_time, path, uri)`` per request; null where the paper has no file."""
-    files = list_batches(spark, root)
+def chosen_files(spark: SparkSession, root: str, requests: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """``(paper_code, submit_time, create_time, path, uri, length)`` per request; null where the paper has no
+    file.  ``files`` (such as ``catalogue.files``) stands for a listing of ``root``."""
+    files = list_batches(spark, root) if files is None else files
     return select_batch(files, requests).join(
-        files.select("paper_code", F.col("ts").alias("create_time"), "path", "uri"), ["paper_code", "create_time"], "left"
+        files.select("paper_code", F.col("ts").alias("create_time"), "path", "uri", "length"), ["paper_code", "create_time"], "left"
     )
 
 
-def _lines(spark: SparkSession, root: str, requests: DataFrame) -> DataFrame:
+def _lines(spark: SparkSession, root: str, requests: DataFrame, files: DataFrame | None, few_files: int) -> DataFrame:
     from itemstats.sources.responses import file_position
 
-    chosen = stored(chosen_files(spark, root, requests).filter(F.col("path").isNotNull()))
-    # one path per request goes to the reader, which then opens no other file
-    paths = [r["path"] for r in chosen.select("path").distinct().toLocalIterator()]
-    schema = "value string, uri string, _pos string"
-    if not paths:
-        lines = spark.createDataFrame([], schema)
-    else:
+    chosen = stored(chosen_files(spark, root, requests, files).filter(F.col("path").isNotNull()))
+    own = stored(chosen.select("path", "uri", "length").distinct())
+    # the reader takes a bounded list of paths and then opens no other file; more files are planned as a table
+    paths = [r["path"] for r in own.select("path").limit(few_files + 1).collect()] if files is None else []
+    if files is not None or len(paths) > few_files:
+        lines = read_lines(own)
+        lines = lines.select("value", "uri", file_position(F.col("uri"), F.col("start"), F.col("line_start")).alias("_pos"))
+    elif paths:
         lines = spark.read.text([_literal(p) for p in paths]).select("value", F.col("_metadata.file_path").alias("uri"), file_position().alias("_pos"))
+    else:
+        lines = spark.createDataFrame([], "value string, uri string, _pos string")
     return lines.join(small_side(chosen.select("uri", "paper_code", "submit_time")), "uri")
 
 
@@ -114,27 +122,30 @@ def _literal(path: str) -> str:
 
 
 def read_requested(spark: SparkSession, root: str, requests: DataFrame, as_sheets: bool = False,
-                   score_type: str = "double") -> DataFrame:
+                   score_type: str = "double", files: DataFrame | None = None, few_files: int = FEW_FILES) -> DataFrame:
     """Responses (or, with ``as_sheets``, answer sheets) of the batches chosen for
     ``requests(paper_code, submit_time)`` under ``root``; only the chosen files are read.
 
     Rows are keyed by the request's paper and submit time, as the reference keys
     its results; a file chosen by two requests feeds both.  Every line of a chosen
     file counts, also one that names another paper (:func:`requested_rejects`).
+    ``files`` (such as ``catalogue.files``) stands for a listing of ``root``; its files, and more than
+    ``few_files`` chosen ones, are read by blocks planned from their table (:mod:`itemstats.sources.blocks`), so no list grows on the driver.
     """
     from itemstats.sources.responses import to_long, to_sheets
 
     parse = to_sheets if as_sheets else to_long
-    return parse(_lines(spark, root, requests), create_time=F.col("submit_time"), order_col="_pos",
+    return parse(_lines(spark, root, requests, files, few_files), create_time=F.col("submit_time"), order_col="_pos",
                  paper_code=F.col("paper_code"), score_type=score_type)
 
 
-def requested_rejects(spark: SparkSession, root: str, requests: DataFrame, score_type: str = "double") -> DataFrame:
+def requested_rejects(spark: SparkSession, root: str, requests: DataFrame, score_type: str = "double",
+                      files: DataFrame | None = None, few_files: int = FEW_FILES) -> DataFrame:
     """``(create_time, reason, n)`` of what :func:`read_requested` could not use (or, for another
     ``paperCode``, used all the same), with ``no file`` for requests without one."""
     from itemstats.sources.responses import rejected
 
-    none = chosen_files(spark, root, requests).filter(F.col("path").isNull())
+    none = chosen_files(spark, root, requests, files).filter(F.col("path").isNull())
     none = none.groupBy(F.col("submit_time").alias("create_time")).agg(F.count(F.lit(1)).alias("n"))
-    out = rejected(_lines(spark, root, requests), create_time=F.col("submit_time"), paper_code=F.col("paper_code"), score_type=score_type)
+    out = rejected(_lines(spark, root, requests, files, few_files), create_time=F.col("submit_time"), paper_code=F.col("paper_code"), score_type=score_type)
     return out.unionByName(none.select("create_time", F.lit("no file").alias("reason"), "n"))

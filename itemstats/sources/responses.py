@@ -180,7 +180,7 @@ def read_sheets(spark: SparkSession, path: str | list[str], create_time: str | N
     return to_sheets(lines, create_time=ct, order_col="_pos", score_type=score_type)
 
 
-def file_position(path: Column | None = None, block: Column | None = None) -> Column:
+def file_position(path: Column | None = None, block: Column | None = None, row: Column | None = None) -> Column:
     """Where a line sits: a sortable text of (file, split start, row number within the split).
 
     Taken straight off the scan, it follows the file's line order and is the same
@@ -189,8 +189,9 @@ def file_position(path: Column | None = None, block: Column | None = None) -> Co
     """
     path = path if path is not None else F.col("_metadata.file_path")
     block = block if block is not None else F.col("_metadata.file_block_start")
+    row = row if row is not None else F.monotonically_increasing_id()
 
     def hex16(c: Column) -> Column:
         return F.lpad(F.hex(c), 16, "0")
 
-    return F.concat(hex16(F.xxhash64(path)), hex16(block), hex16(F.monotonically_increasing_id()))
+    return F.concat(hex16(F.xxhash64(path)), hex16(block), hex16(row))
