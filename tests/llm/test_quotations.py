@@ -16,8 +16,12 @@ def norm(t):
     return re.sub(r"[\W_]+", " ", t.lower()).strip()
 
 
+def sentences(t):
+    return re.split(r"(?<=[.!?…])\s+|\n\s*\n", t)
+
+
 def brute(rows):
-    """Conversation by conversation: latest earlier holder of each quoted line, then a preorder walk."""
+    """Conversation by conversation: latest earlier holder of each quoted line or sentence, then a preorder walk."""
     out = {}
     for conv in {r[0] for r in rows}:
         own, parent, count = [], [], []
@@ -33,13 +37,14 @@ def brute(rows):
             for lv, b in levels:
                 number += lv != last
                 last = lv
-                if lv and norm(b):
-                    passages.setdefault((number, lv), []).append(norm(b))
+                if lv:
+                    passages.setdefault((number, lv), []).append(b)
             found = []
             for (number, lv), lines in passages.items():
-                for t in {*lines, " ".join(lines)}:
+                whole = "\n".join(lines)
+                for t in {norm(x) for x in [*lines, *sentences(whole), whole]} - {""}:
                     for p in range(m - 1, -1, -1):
-                        if t in {norm(x) for x in [*own[p].split("\n"), own[p]]}:
+                        if t in {norm(x) for x in [*own[p].split("\n"), *sentences(own[p]), own[p]]}:
                             found.append((lv, p, t.count(" ") + 1))
                             break
             count.append(len(found))
@@ -106,3 +111,34 @@ def test_one_conversation_over_many_partitions(spark):
     rows = [(5, i, "u", f"line {i}" if i % 10 else f"> line {i - 7}\nanswer {i}") for i in range(300)] + [(6, 0, "u", "x")]
     got = {(r["conv_id"], r["turn"]): (r["text"], r["reply_to"], r["n_links"], r["position"]) for r in quotations.reply_order(frame(spark, rows)).collect()}
     assert got == brute(rows)
+
+
+def test_part_of_a_message_with_new_line_breaks(spark):
+    first = "We looked at the old bridge on\nThursday. It is safe for walkers, but\nnot for lorries! Shall we close it?"
+    rows = [(1, 0, "a", first), (1, 1, "b", "I was away."), (1, 2, "c", "> It is safe for\n> walkers, but not for lorries!\nThen close it.")]
+    got = {r["turn"]: r for r in quotations.reply_order(frame(spark, rows)).collect()}
+    assert got[2]["reply_to"] == 0 and got[2]["n_links"] == 1 and got[2]["text"] == "Then close it."
+
+
+def jobs_of(spark, run):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("quotations", "")
+    before = len(tracker.getJobIdsForGroup("quotations"))
+    out = run()
+    jobs = len(tracker.getJobIdsForGroup("quotations")) - before
+    spark.sparkContext._jsc.clearJobGroup()
+    return out, jobs
+
+
+def test_deep_threads_in_few_jobs(spark):
+    """Every message quotes the one before, the one two or three before, or one of the first."""
+    quote = {1: lambda i: i - 1, 2: lambda i: i - 2, 3: lambda i: i - 3, 4: lambda i: i % 3}
+    rows = [(c, i, "u", (f"> say {of(i)} here\n" if i >= 3 else "") + f"say {i} here") for c, of in quote.items() for i in range(800 if c == 2 else 200)]
+    out, jobs = jobs_of(spark, lambda: quotations.reply_order(frame(spark, rows)).collect())
+    got = {(r["conv_id"], r["turn"]): (r["text"], r["reply_to"], r["n_links"], r["position"]) for r in out}
+    assert got == brute(rows)
+    depth = {}
+    for (conv, m), (_, parent, _, _) in sorted(got.items()):
+        depth[conv, m] = 0 if m == 0 else depth[conv, parent] + (parent != m - 1)
+    assert {(r["conv_id"], r["turn"]): r["depth"] for r in out} == depth and max(depth.values()) > 300
+    assert 0 < jobs < 200
