@@ -42,6 +42,12 @@ def from_groups(grouped: DataFrame, items: DataFrame) -> DataFrame:
         F.max("n").alias("_n"),
         F.max("pg").alias("_pg"),
     )
+    return from_sums(agg, items)
+
+
+def from_sums(agg: DataFrame, items: DataFrame) -> DataFrame:
+    """Difficulty and discrimination from each item's sums: over all samples (``_sum``), the high and the
+    low group (``_sum_hi``, ``_sum_lo``), with the batch's ``_n`` samples and group size ``_pg``."""
     marks = items.select("paper_code", "item_id", "kind", "full_mark")
     j = agg.join(marks, ["paper_code", "item_id"])
     full = F.col("full_mark").cast("double")

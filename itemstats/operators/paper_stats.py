@@ -33,6 +33,11 @@ def compute(totals: DataFrame, item_index: DataFrame, items: DataFrame, rounded:
         F.var_pop(t).alias("fc_score"),
         F.stddev_pop(t).alias("bzc_score"),
     )
+    return from_totals(paper, item_index, items, rounded)
+
+
+def from_totals(paper: DataFrame, item_index: DataFrame, items: DataFrame, rounded: bool = False) -> DataFrame:
+    """The same from each batch's statistics of the totals (``paper``)."""
 
     def item_value(name: str) -> F.Column:
         c = F.col(name)

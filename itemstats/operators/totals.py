@@ -45,17 +45,24 @@ def group_sizes(totals: DataFrame, fraction: float = GROUP_FRACTION) -> DataFram
     )
 
 
-def _histogram(totals: DataFrame, fraction: float) -> DataFrame:
-    """Students per (batch, total score), with how many each group takes from the bucket.
+def total_buckets(totals: DataFrame) -> DataFrame:
+    """``totals`` with its bucket of the histogram, ``_tnull`` and ``_tval``, which join as equal values."""
+    return totals.withColumn("_tnull", F.col("total_score").isNull()).withColumn(
+        "_tval", F.coalesce(F.col("total_score"), F.lit(0).cast(totals.schema["total_score"].dataType))
+    )
+
+
+def group_takes(sizes: DataFrame, fraction: float) -> DataFrame:
+    """How many samples each group takes (``_take_hi``, ``_take_lo``) from every bucket of ``_cnt``
+    samples, with the batch's ``n_batch`` samples and group size ``pg``.
 
     The high group walks totals descending with nulls last, the low group
     ascending with nulls first.  The histogram has one row per distinct total,
     so its per-batch window is small whatever the number of students.
     """
-    hist = totals.groupBy(*BATCH_KEYS, "_tnull", "_tval").agg(F.count(F.lit(1)).alias("_cnt"))
     batch = Window.partitionBy(*BATCH_KEYS)
-    hist = hist.withColumn("n", F.sum("_cnt").over(batch)).withColumn(
-        "pg", F.round(F.col("n") * F.lit(fraction)).cast("int")
+    hist = sizes.withColumn("n_batch", F.sum("_cnt").over(batch)).withColumn(
+        "pg", F.round(F.col("n_batch") * F.lit(fraction)).cast("int")
     )
     high_first = [F.col("_tnull").asc(), F.col("_tval").desc()]
     low_first = [F.col("_tnull").desc(), F.col("_tval").asc()]
@@ -65,6 +72,12 @@ def _histogram(totals: DataFrame, fraction: float) -> DataFrame:
     return hist
 
 
+def _histogram(totals: DataFrame, fraction: float) -> DataFrame:
+    """Students per (batch, total score), with how many each group takes from the bucket."""
+    sizes = totals.groupBy(*BATCH_KEYS, "_tnull", "_tval").agg(F.count(F.lit(1)).alias("_cnt"))
+    return group_takes(sizes, fraction).withColumnRenamed("n_batch", "n")
+
+
 def high_low_groups(totals: DataFrame, fraction: float = GROUP_FRACTION) -> DataFrame:
     """Add ``is_high`` / ``is_low`` (and ``n``, ``pg``) to rows keyed by sample with ``total_score``.
 
@@ -81,9 +94,7 @@ def high_low_groups(totals: DataFrame, fraction: float = GROUP_FRACTION) -> Data
     by a shuffle join on the sample key otherwise; the sheets are read once.
     """
     ensure_checkpoint_dir(totals.sparkSession)
-    t = totals.withColumn("_tnull", F.col("total_score").isNull()).withColumn(
-        "_tval", F.coalesce(F.col("total_score"), F.lit(0).cast(totals.schema["total_score"].dataType))
-    )
+    t = total_buckets(totals)
     hist = small_side(
         _histogram(t, fraction).select(*BATCH_KEYS, "_tnull", "_tval", "n", "pg", "_cnt", "_take_hi", "_take_lo")
     )

@@ -586,6 +586,8 @@ def registry() -> dict[str, str]:
         "paper_index": paper_index("propagate"),
         "paper_index_zero": paper_index("zero"),
         "paper_index_rounded": paper_index("propagate", rounded=True),
+        "item_index_grown": item_index("propagate"),
+        "paper_index_grown": paper_index("propagate"),
         "responses_long": responses_long(),
         "json_sheets": json_sheets(),
         "json_fractional": json_fractional(),

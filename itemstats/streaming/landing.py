@@ -10,11 +10,18 @@ micro-batch rewrites the same batches and the sink stays exactly-once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from itemstats.defaults import GROUP_FRACTION
+from itemstats.functions.sizing import stored
+from itemstats.operators import growing
+from itemstats.operators.reshape import blueprint_items
 from itemstats.plans import pipeline
+from itemstats.sinks.results import write_result
 from itemstats.sources.batches import PAPER_DIR
 from itemstats.sources.responses import BATCH_FILE, file_position, to_sheets
 
@@ -54,3 +61,28 @@ def watch(spark: SparkSession, root: str, blueprint: DataFrame, target: str,
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
+
+
+def follow(spark: SparkSession, root: str, blueprint: DataFrame, target: str, state: str, batch_of: Callable[[Column], Column], *,
+           checkpoint: str, missing: str = "propagate", fraction: float = GROUP_FRACTION,
+           available_now: bool = False, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Item and paper statistics of batches that many files make up, brought up to date as files land.
+
+    ``batch_of`` gives a file's batch from its ``<ts>`` (its day, say).  A micro-batch is reduced to moments,
+    merged with those at ``state`` (:mod:`itemstats.operators.growing`), and the batches it touched are
+    written anew; the files of earlier micro-batches are not read again.  State is kept per epoch and a
+    replayed epoch replaces its own, so each file counts once.  The moments lie in Parquet rather than in a
+    keyed streaming state, where a batch with a third of all samples would meet one task."""
+    items = blueprint_items(blueprint)
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        lines = batch.withColumn("_pos", file_position(F.col("path"), F.col("_block")))
+        sheets = to_sheets(lines, create_time=batch_of(F.col("create_time")), order_col="_pos", paper_code=F.col("paper_code"), score_type="double")
+        touched = stored(growing.add(sheets, items, state, epoch, missing))
+        results = growing.statistics(spark, state, items, touched, fraction, "double")
+        for name, df in zip(("t_item_index", "t_paper_index"), results, strict=True):
+            write_result(df, f"{target}/{name}", analysed=touched)
+
+    w = landing_lines(spark, root, max_files_per_trigger).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
