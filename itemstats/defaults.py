@@ -20,3 +20,7 @@ BAD = (0.2, 0.3)
 # Our own choices (not in the reference): k-means stopping tolerance, as MLlib's
 # default, and the seed of the reproducible k-means++ seeding.
 TOL, SEED = 1e-4, 42
+# k-means||: rounds of oversampling, weighted Lloyd steps on the candidates, first step number of their draws.
+ROUNDS = 2
+RECLUSTER_STEPS = 5
+CANDIDATE_STEP = 1000

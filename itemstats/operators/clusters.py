@@ -12,6 +12,8 @@ distance to the seeds so far), where ``u`` is a hash of the student key and
 the seed, so the choice is reproducible and independent of partitioning.  The
 reference used MLlib's randomly seeded k-means||, so its clusters changed from
 run to run (D13).  Clusters are finally numbered by ascending mean score.
+:func:`parallel_seeds` is k-means|| with the same reproducible draws: its passes over the
+samples do not grow with ``k``.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from itemstats.defaults import BAD, GOOD, K, MAX_ITER, SEED, TOL
+from itemstats.defaults import BAD, CANDIDATE_STEP, GOOD, K, MAX_ITER, RECLUSTER_STEPS, ROUNDS, SEED, TOL
 from itemstats.functions.sizing import BROADCAST_BYTES, measured, small_side, stored
 from itemstats.functions.students import PARTS, code_parts
 from itemstats.operators.reshape import cell, with_papers
@@ -29,7 +31,6 @@ from itemstats.session import ensure_checkpoint_dir
 from itemstats.schema import BATCH_KEYS, STUDENT_KEYS
 
 
-
 def features(sheets: DataFrame, items: DataFrame, include_code: bool = False, missing: str = "propagate") -> DataFrame:
     """Per complete sample: ``scores array<double>`` in item order and ``features``.
 
@@ -123,14 +124,18 @@ def assign(feats: DataFrame, cents: DataFrame, vec: str = "features", digits: in
     )
 
 
-def _uniform(seed: int, step: int) -> Column:
-    """A reproducible uniform number in (0, 1) per sample, seed and step: 48 bits of an MD5 digest,
-    the same in any engine."""
-    text = F.concat_ws("|", F.col("stu_code"), F.col("attempt").cast("string"), F.lit(str(seed)), F.lit(str(step)))
+def _hashed(*columns: str, seed: int, step: int) -> Column:
+    """A reproducible uniform number in (0, 1) per row, seed and step: 48 bits of an MD5 digest of
+    ``columns``, the same in any engine."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns], F.lit(str(seed)), F.lit(str(step)))
     h = F.conv(F.substring(F.md5(text), 1, 12), 16, 10)
     return (h.cast("double") + 0.5) / float(1 << 48)
 
 
+def _uniform(seed: int, step: int) -> Column:
+    return _hashed("stu_code", "attempt", seed=seed, step=step)
+
+
 def _centroids_small(cents: DataFrame) -> bool:
     """Whether the first step's centroids, times the ``K`` there may be, stay under the broadcast bound."""
     return measured(cents)[1] * K <= BROADCAST_BYTES
@@ -158,15 +163,71 @@ def seeds(feats: DataFrame, k: int = K, seed: int = SEED, vec: str = "features")
     return cents
 
 
-def fit(feats: DataFrame, k: int = K, max_iter: int = MAX_ITER, tol: float = TOL, seed: int = SEED) -> DataFrame:
+def _candidates(feats: DataFrame, k: int, seed: int, vec: str) -> DataFrame:
+    """Candidate seeds of every batch, ``(paper_code, create_time, cluster, center)``, by oversampling.
+
+    From one sample, each round takes every sample with probability ``2 k d^2 / cost`` on its own, so
+    a batch has about ``2 k ROUNDS + 1`` candidates; equal vectors are one candidate."""
+    first = feats.withColumn("_key", _uniform(seed, 0)).groupBy(*BATCH_KEYS).agg(F.max_by(vec, "_key").alias("center"))
+    found = stored(first)
+    for r in range(1, ROUNDS + 1):
+        near = assign(feats, _numbered(found), vec).filter(F.col("distance") > 0)
+        cost = small_side(near.groupBy(*BATCH_KEYS).agg(F.sum("distance").alias("_cost")))
+        drawn = near.join(cost, BATCH_KEYS).filter(_uniform(seed, r) < F.lit(float(2 * k)) * F.col("distance") / F.col("_cost"))
+        found = stored(found.unionByName(drawn.select(*BATCH_KEYS, F.col(vec).alias("center"))).distinct())
+    return _numbered(found)
+
+
+def _numbered(centers: DataFrame) -> DataFrame:
+    order = Window.partitionBy(*BATCH_KEYS).orderBy("center")  # the candidates of one batch
+    return centers.withColumn("cluster", (F.row_number().over(order) - 1).cast("int"))
+
+
+def parallel_seeds(feats: DataFrame, k: int = K, seed: int = SEED, vec: str = "features") -> DataFrame:
+    """k-means|| seeding for every batch at once: ``(paper_code, create_time, cluster, center)``.
+
+    ``ROUNDS`` rounds of oversampling (:func:`_candidates`) and one pass that weighs each candidate with
+    the samples nearest to it: ``2 ROUNDS + 2`` passes over the samples for any ``k``.  The weighted
+    candidates, a table of a few rows a batch, are then clustered: k-means++ by weight and squared
+    distance, and ``RECLUSTER_STEPS`` weighted Lloyd steps.  A batch with fewer than ``k`` candidates
+    gets fewer seeds."""
+    ensure_checkpoint_dir(feats.sparkSession)
+    cand = stored(_candidates(feats, k, seed, vec))
+    weights = assign(feats, cand, vec).groupBy(*BATCH_KEYS, "cluster").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    points = cand.join(weights, [*BATCH_KEYS, "cluster"])
+    points = stored(points.select(*BATCH_KEYS, F.col("cluster").alias("id"), F.col("center").alias("point"), "w"))
+
+    def draw(step: int) -> Column:
+        return F.log(_hashed(*BATCH_KEYS, "id", seed=seed, step=CANDIDATE_STEP + step))
+
+    cents = points.groupBy(*BATCH_KEYS).agg(F.max_by("point", draw(0) / F.col("w")).alias("center"))
+    cents = stored(cents.withColumn("cluster", F.lit(0)))
+    for j in range(1, k):
+        d = assign(points, cents, "point").filter(F.col("distance") > 0)
+        nxt = d.groupBy(*BATCH_KEYS).agg(F.max_by("point", draw(j) / (F.col("w") * F.col("distance"))).alias("center"))
+        cents = stored(cents.unionByName(nxt.withColumn("cluster", F.lit(j))))
+    for _ in range(RECLUSTER_STEPS):
+        own = assign(points, cents, "point").withColumn("_v", array_to_vector("point"))
+        mean = own.groupBy(*BATCH_KEYS, "cluster").agg(Summarizer.mean(F.col("_v"), F.col("w")).alias("_m"))
+        cents = stored(mean.select(*BATCH_KEYS, "cluster", vector_to_array("_m").alias("center")))
+    return cents
+
+
+#: Ways to choose the first centroids.
+SEEDINGS = {"++": seeds, "||": parallel_seeds}
+
+
+def fit(feats: DataFrame, k: int = K, max_iter: int = MAX_ITER, tol: float = TOL, seed: int = SEED, init: str = "++") -> DataFrame:
     """Lloyd's k-means per batch; returns the centroids ``(batch, cluster, center, size)``.
 
+    ``init``: ``"++"`` (k-means++, a pass per seed) or ``"||"`` (k-means||, for many clusters).
+
     Stops when no centroid moves more than ``tol`` (Euclidean) or after
     ``max_iter`` steps.  Each step's centroids are stored below the
     session's ``spark.checkpoint.dir``.
     """
     ensure_checkpoint_dir(feats.sparkSession)
-    cents = seeds(feats, k, seed)
+    cents = SEEDINGS[init](feats, k, seed)
     small = _centroids_small(cents.filter("cluster = 0"))
     for _ in range(max_iter):
         # a step's centroids are stored with their move; a cluster that appeared or emptied moved infinitely far
@@ -221,11 +282,11 @@ def profile(assigned: DataFrame, items: DataFrame, good: tuple[float, float] = G
 
 
 def run(sheets: DataFrame, items: DataFrame, k: int = K, max_iter: int = MAX_ITER, tol: float = TOL,
-        include_code: bool = False, seed: int = SEED, missing: str = "propagate") -> tuple[DataFrame, DataFrame]:
+        include_code: bool = False, seed: int = SEED, missing: str = "propagate", init: str = "++") -> tuple[DataFrame, DataFrame]:
     """Features -> k-means -> relabelled assignment -> profile.  Returns ``(profile, assigned)``."""
     ensure_checkpoint_dir(sheets.sparkSession)
     feats = stored(features(sheets, items, include_code, missing))
-    cents = fit(feats, k, max_iter, tol, seed)
+    cents = fit(feats, k, max_iter, tol, seed, init)
     assigned = relabel(assign(feats, cents, small=_centroids_small(cents.filter("cluster = 0"))))
     return profile(assigned, items), assigned
 

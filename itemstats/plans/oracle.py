@@ -8,7 +8,7 @@ rounded to 6 decimals on both sides.
 
 from __future__ import annotations
 
-from itemstats.defaults import BAD, GOOD, K, MAX_ITER, SEED
+from itemstats.defaults import BAD, CANDIDATE_STEP, GOOD, K, MAX_ITER, RECLUSTER_STEPS, ROUNDS, SEED
 from itemstats.sources.fixture import ORACLE_BATCHES, oracle
 
 _TOTALS = """
@@ -535,6 +535,46 @@ def kmeans_steps() -> str:
     return _centers(3)
 
 
+def kmeans_parallel_seeds() -> str:
+    """k-means|| unrolled: rounds of oversampling, candidates weighed by their samples, k-means++ and Lloyd on them."""
+    batch = "paper_code, create_time"
+    out = [_kmeans(0)[0], f"\nq0 AS (SELECT {batch}, center FROM k0)"]
+    for r in range(1, ROUNDS + 1):
+        out.append(f"""
+r{r} AS MATERIALIZED (SELECT s.paper_code, s.create_time, s.stu_code, s.attempt, any_value(s.v) AS v, MIN({_DIST}) AS d
+        FROM vec s JOIN q{r - 1} c ON {_ON_BATCH} GROUP BY s.paper_code, s.create_time, s.stu_code, s.attempt),
+f{r} AS (SELECT {batch}, SUM(d) AS cost FROM r{r} GROUP BY {batch}),
+q{r} AS MATERIALIZED (SELECT * FROM q{r - 1} UNION SELECT s.paper_code, s.create_time, s.v
+        FROM r{r} s JOIN f{r} c ON {_ON_BATCH} WHERE s.d > 0 AND {_uniform(r)} < {2.0 * K!r} * s.d / c.cost)""")
+    text = "s.paper_code || '|' || s.create_time || '|' || CAST(s.id AS VARCHAR)"
+    draw = {j: "ln((CAST(CAST('0x' || substr(md5(" + text + f" || '|{SEED}|{CANDIDATE_STEP + j}'), 1, 12) AS UBIGINT) AS DOUBLE) + 0.5) / {float(1 << 48)!r})" for j in range(K)}
+    out.append(f"""
+cand AS MATERIALIZED (SELECT {batch}, center, ROW_NUMBER() OVER (PARTITION BY {batch} ORDER BY center) - 1 AS cluster FROM q{ROUNDS}),
+wt AS (SELECT {batch}, cluster, CAST(COUNT(*) AS DOUBLE) AS w FROM ({_nearest("cand")}) GROUP BY {batch}, cluster),
+pts AS MATERIALIZED (SELECT s.paper_code, s.create_time, s.cluster AS id, s.center AS v, c.w
+        FROM cand s JOIN wt c ON {_ON_BATCH} AND c.cluster = s.cluster),
+s0 AS MATERIALIZED (SELECT {batch}, 0 AS cluster, arg_max(s.v, {draw[0]} / s.w) AS center FROM pts s GROUP BY {batch})""")
+    for j in range(1, K):
+        out.append(f"""
+s{j} AS MATERIALIZED (SELECT * FROM s{j - 1} UNION ALL SELECT {batch}, {j}, arg_max(s.v, {draw[j]} / (s.w * s.d)) FROM (
+        SELECT s.paper_code, s.create_time, s.id, any_value(s.v) AS v, any_value(s.w) AS w, MIN({_DIST}) AS d
+        FROM pts s JOIN s{j - 1} c ON {_ON_BATCH} GROUP BY s.paper_code, s.create_time, s.id) s WHERE s.d > 0 GROUP BY {batch})""")
+    for t in range(RECLUSTER_STEPS):
+        before = f"s{K - 1}" if t == 0 else f"l{t}"
+        out.append(f"""
+l{t + 1} AS MATERIALIZED (SELECT {batch}, cluster, list(m ORDER BY pos) AS center FROM (
+        SELECT {batch}, cluster, pos, SUM(w * x) / SUM(w) AS m FROM (
+          SELECT {batch}, cluster, w, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM (
+            SELECT {batch}, id, any_value(v) AS v, any_value(w) AS w, MIN(struct_pack(d := dist, c := cluster)).c AS cluster
+            FROM (SELECT s.*, c.cluster, {_DIST} AS dist FROM pts s JOIN {before} c ON {_ON_BATCH}) GROUP BY {batch}, id))
+        GROUP BY {batch}, cluster, pos) GROUP BY {batch}, cluster)""")
+    return oracle(
+        f"""SELECT {batch}, CAST(cluster AS INT) AS cluster, CAST(pos - 1 AS INT) AS pos, ROUND(x, 6) AS x
+FROM (SELECT {batch}, cluster, unnest(center) AS x, generate_subscripts(center, 1) AS pos FROM l{RECLUSTER_STEPS})""",
+        _GRID, *out,
+    )
+
+
 def clusters_summary() -> str:
     return oracle(
         """SELECT paper_code, create_time, COUNT(*) AS clusters, string_agg(CAST(size AS VARCHAR), ',' ORDER BY cluster) AS sizes
@@ -625,6 +665,7 @@ def registry() -> dict[str, str]:
         "cluster_centers_given": cluster_centers_given(),
         "item_index_narrow": item_index_narrow(),
         "kmeans_seeds": kmeans_seeds(),
+        "kmeans_parallel_seeds": kmeans_parallel_seeds(),
         "kmeans_steps": kmeans_steps(),
         "clusters_summary": clusters_summary(),
         "student_clusters": student_clusters(),

@@ -376,6 +376,11 @@ def q_kmeans_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cluster_rows(clusters.seeds(stored(clusters.features(sheets, items))))
 
 
+def q_kmeans_parallel_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets, items = _inputs(spark, sf_dir)
+    return _cluster_rows(clusters.parallel_seeds(stored(clusters.features(sheets, items))))
+
+
 def q_kmeans_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three Lloyd steps from the seeds."""
     sheets, items = _inputs(spark, sf_dir)
@@ -445,6 +450,7 @@ def registry() -> dict[str, Query]:
         "cluster_centers_given": q_cluster_centers_given,
         "item_index_narrow": q_item_index_narrow,
         "kmeans_seeds": q_kmeans_seeds,
+        "kmeans_parallel_seeds": q_kmeans_parallel_seeds,
         "kmeans_steps": q_kmeans_steps,
         "clusters_summary": q_clusters_summary,
         "student_clusters": q_student_clusters,

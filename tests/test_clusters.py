@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 from conftest import blueprint, responses
@@ -80,3 +82,28 @@ def test_centers_by_item(spark):
     given = feats.withColumn("cluster", F.when(F.col("stu_code") == "01010002", 1).otherwise(0))
     got = {(r.cluster, r.item_id): r.center for r in clusters.centers_by_item(given, items).collect()}
     assert got == {(0, 1): 2.0, (0, 2): 3.0, (1, 1): 9.0, (1, 2): 9.0}
+
+
+def test_parallel_seeds(spark, monkeypatch):
+    """As good as k-means++ seeds, the same for any partitioning, passes over the samples independent of k."""
+    rnd = random.Random(4)
+    pts = [(min(10, max(0, round(rnd.gauss(x, 1)))), min(10, max(0, round(rnd.gauss(y, 1))))) for x, y in [(2, 2), (8, 8), (2, 8), (8, 2)] for _ in range(60)]
+    items = reshape.blueprint_items(blueprint(spark, BP))
+    feats = clusters.features(_sheets(spark, pts), items).cache()
+    passes, assign = [], clusters.assign
+    monkeypatch.setattr(clusters, "assign", lambda df, *a, **k: (passes.append("stu_code" in df.columns), assign(df, *a, **k))[1])
+
+    def cost(cents):
+        return assign(feats, cents).agg(F.sum("distance")).first()[0]
+
+    for k in (2, 6):
+        passes.clear()
+        got = clusters.parallel_seeds(feats, k)
+        assert sum(passes) == clusters.ROUNDS + 1 and got.count() == k
+    assert cost(got) <= 1.02 * cost(clusters.seeds(feats, 6))
+    again = clusters.parallel_seeds(feats.repartition(5), 6)
+    rounded = lambda df: sorted((r["cluster"], [round(x, 9) for x in r["center"]]) for r in df.collect())
+    assert rounded(again) == rounded(got)
+    few = feats.limit(0).unionByName(feats.filter("features = array(2.0D, 2.0D)"))
+    assert clusters.parallel_seeds(few, 4).count() == 1 and clusters.parallel_seeds(feats.limit(0), 4).count() == 0
+    feats.unpersist()
