@@ -33,6 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from itemstats.llm import common
+
 WINDOW, CHANGED = 13, 2
 #: Equal words of one window from which a leak is no everyday phrase (a full window has 11 at least).
 MIN_EQUAL = 8
@@ -187,7 +189,7 @@ def _scan(docs: DataFrame, items: list) -> DataFrame:
                 *numbers, short = zip(*out)
                 yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in numbers], pa.array(short, pa.bool_())], names=names)
 
-    found = docs.mapInArrow(run, RESULT)
+    found = common.map_in_arrow(docs, run, RESULT)
     # several items may share an id or a text: one row per document and id
     return found.groupBy("doc_id", "item_id").agg(
         F.min("first_word").alias("first_word"), F.max("end_word").alias("end_word"), F.max("words_covered").alias("words_covered"),
@@ -220,4 +222,4 @@ def _keep(docs: DataFrame, texts: list[str | None], text: str, least: int) -> Da
                 ok.append(all(equal(spans) < least for spans in found))
             yield b.filter(pa.array(ok, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return common.map_in_arrow(docs, run, docs.schema)

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from itemstats.llm import common
+
 BUCKETS = 1 << 15
 TRAIN_DOCS = 1500
 #: Log-likelihood a further language must gain, times the logarithm of the number of trigrams.
@@ -198,7 +200,7 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, text: str = "t
             out = [pa.array(pred), pa.array(score), pa.array(sets)]
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(names))], *out], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return common.map_in_arrow(rows, run, schema)
 
 
 def identify(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:

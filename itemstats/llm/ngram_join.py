@@ -4,7 +4,7 @@ A document's set holds its distinct ``words``-word shingles (the whole word sequ
 words).  Two documents link when the Jaccard similarity of their sets is at least the threshold.
 
 1. One pass over the texts gives per document the set size and a 128-bit digest of the set, and per
-   batch the shingles that several distinct sets share.  Documents with equal digests are one class,
+   run of sets the shingles that several distinct sets share.  Documents with equal digests are one class,
    named by half of the digest; one document of a class, that with the smallest id, goes on.  The ``FREQUENT`` shingles shared
    most form a bounded table that fixes the global order: all others by hash, then those by rising
    count.  It only orders; any table gives the same result.
@@ -48,6 +48,8 @@ OVER, UNDER = 80, 100
 #: Shingles ordered last (a bounded table of the most shared ones).
 FREQUENT = 200_000
 STAR = 32
+#: Shingles and sets over which shared ones are counted, and prefix shingles returned at once, in a task.
+SHARED_TOKENS, SHARED_SETS, POSTINGS = 2_000_000, 10_000, 250_000
 #: Sets per tree walk.
 BLOCK = 1000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -106,13 +108,16 @@ def _digests(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(columns[c], pa.int64()) if c in columns else pa.nulls(size, pa.int64()) for c in names], names=names)
 
     def shared(held: list[np.ndarray]) -> pa.RecordBatch:
-        tokens, times = np.unique(np.concatenate(held), return_counts=True)
-        often = times > 2
-        return batch(token=tokens[often].view(np.int64), times=times[often])
+        tokens = np.concatenate(held)
+        tokens.sort()
+        # all but the last two of each run: only tokens of more than two sets
+        tokens, times = np.unique(tokens[:-2][tokens[2:] == tokens[:-2]], return_counts=True)
+        return batch(token=tokens.view(np.int64), times=times + 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, held, size = set(), [], 0  # over several batches, whatever their rows
         for b in batches:
-            n, one, two, seen, held, size = [], [], [], set(), [], 0
+            n, one, two = [], [], []
             for t in b.column(1):
                 s = shingles(t.as_py())
                 digest = xxhash.xxh3_128_intdigest(s.tobytes())
@@ -123,14 +128,14 @@ def _digests(docs: DataFrame) -> DataFrame:
                     seen.add(digest)
                     held.append(s)
                     size += len(s)
-                    if size > 2_000_000:
+                    if size > SHARED_TOKENS or len(held) >= SHARED_SETS:
                         yield shared(held)
-                        held, size = [], 0
-            if held:
-                yield shared(held)
+                        seen, held, size = set(), [], 0
             yield batch(doc_id=b.column(0), text_key=b.column(2), n=n, one=one, two=two)
+        if held:
+            yield shared(held)
 
-    return docs.select("doc_id", "text", "text_key").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return common.map_in_arrow(docs.select("doc_id", "text", "text_key"), run, ", ".join(f"{c} long" for c in names))
 
 
 def _frequent(rows: DataFrame) -> np.ndarray:
@@ -234,11 +239,10 @@ def tree_links(ids: np.ndarray, sets: list[np.ndarray], probes: np.ndarray | Non
     the sets outside it, which form the tree, and those inside it.
 
     Order in the tree: shingles of most sets first, so that near copies share long paths."""
-    tokens, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    place = np.empty(len(tokens), np.int64)
+    tokens, times = np.unique(np.concatenate(sets), return_counts=True)
+    place = np.empty(len(tokens), np.int32 if len(tokens) < 1 << 31 else np.int64)
     place[np.lexsort((tokens, -times))] = np.arange(len(tokens))
-    cuts = np.cumsum([len(s) for s in sets])[:-1]
-    local = [np.sort(x) for x in np.split(place[number], cuts)]
+    local = [np.sort(place[np.searchsorted(tokens, s)]) for s in sets]  # set by set: no copy of all at once
     order = sorted(range(len(sets)), key=lambda i: local[i].astype(">u4").tobytes())
     mark, parent = np.zeros(len(tokens), bool), {}
     out: list[tuple[int, int]] = []
@@ -307,7 +311,7 @@ def _postings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     prefix = s[rank(s, shared.value)[: prefix_size(len(s))]].view(np.int64)
                     held.append((prefix, (digest >> 64) - (1 << 63), len(s)))
                     size += len(prefix)
-                    if size > 1_000_000:
+                    if size > POSTINGS:
                         yield pack(held)
                         held, size = [], 0
             if held:
@@ -318,7 +322,7 @@ def _postings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         columns = [np.concatenate([p for p, _, _ in held]), np.repeat([c for _, c, _ in held], lens), np.repeat([n for _, _, n in held], lens)]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["token", "class", "n"])
 
-    return docs.select("text").mapInArrow(run, "token long, class long, n long")
+    return common.map_in_arrow(docs.select("text"), run, "token long, class long, n long")
 
 
 def _candidates(scratch: common.Scratch, postings: DataFrame) -> DataFrame:

@@ -133,7 +133,7 @@ def pieces(docs: DataFrame, text: str, doc_id: str, tokenizer: str, max_tokens:
             if out:
                 yield batch(out)
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return common.map_in_arrow(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), run, schema)
 
 
 ARROW = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]

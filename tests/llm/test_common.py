@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from itemstats.llm import common
@@ -43,3 +44,24 @@ def test_ordered_keeps_one_order(spark):
     df = spark.createDataFrame([(i % 3, i) for i in range(500)], "k long, i long")
     rows = common.ordered(scratch, df, ["k", "i"]).orderBy("part", "row").collect()
     assert [(r["k"], r["i"]) for r in rows] == sorted((i % 3, i) for i in range(500))
+
+
+def test_texts_reach_workers_in_bounded_batches(spark):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit, None)
+    texts = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    try:
+        spark.conf.unset(limit)
+        got = common.map_in_arrow(texts, sizes, "rows long, bytes long").collect()
+        assert sum(r["rows"] for r in got) == 4000
+        assert max(r["bytes"] for r in got) < 2 * common.BATCH_BYTES
+        spark.conf.set(limit, "1m")  # a session's own limit stays
+        got = common.map_in_arrow(texts, sizes, "rows long, bytes long").collect()
+        assert max(r["bytes"] for r in got) < 2 << 20 and spark.conf.get(limit) == "1m"
+    finally:
+        spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)

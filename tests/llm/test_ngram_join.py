@@ -115,3 +115,18 @@ def test_rows_are_documents_whatever_their_ids(spark, documents):
     groups = sorted((c[1], sorted(v, key=str)) for c, v in by.items() if c[0] is not None and c[1] is not None)
     assert groups == [(3, [3, 5]), (5, [5, 5, None, None]), (9, [9, None, None, None])]
     assert sorted((c is None, i, v) for (c, i), v in by.items() if c is None or i is None) == [(False, None, [None]), (True, 4, [4])]
+
+
+def test_shared_shingles_are_counted_over_batches(spark):
+    option = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(option, None)
+    texts = [f"one two three four five {w}" for w in ("a", "b", "c", "c", "d")] + [None, "alone"]
+    docs = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, text_key long").coalesce(1)
+    try:
+        spark.conf.set(option, "1")  # every batch holds one text
+        rows = ngram_join._digests(docs).collect()
+    finally:
+        spark.conf.unset(option) if before is None else spark.conf.set(option, before)
+    assert sorted(r["doc_id"] for r in rows if r["n"] is not None) == list(range(7))
+    common_one = np.intersect1d(*map(ngram_join.shingles, texts[:2])).view(np.int64).tolist()
+    assert [(r["token"], r["times"]) for r in rows if r["token"] is not None] == [(common_one[0], 4)]
