@@ -40,7 +40,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from itemstats.llm import terms
-from itemstats.llm.common import Scratch, offsets, ordered, with_part_values
+from itemstats.llm.common import Scratch, map_in_arrow, offsets, ordered, with_part_values
 
 #: Fixed values of the ranking function.
 WEIGHT = 1000
@@ -53,6 +53,8 @@ TREE_COUNTS = 1 << 21
 LEAF = 128
 #: Relative error allowed to sums of doubles; that of 2^20 terms is below 2^-32.
 SLACK = 1e-9
+#: Bytes of text split at a time, at about 11 times their size; a longer text is taken by itself, whole.
+TEXT_BYTES = 1 << 20
 #: (item, term) rows held by a task.
 BLOCK_TERMS = 1_000_000
 VECTORS = "doc_id long, n long, dims array<int>, tf array<long>"
@@ -110,7 +112,7 @@ def vectors(docs: DataFrame, vocabulary: list[bytes], text: str = "text", doc_id
         known = Vocabulary(shared.value)
         size = max(1, len(shared.value))
         for b in batches:
-            for start, end in terms.slices(b.column(1)):
+            for start, end in terms.slices(b.column(1), TEXT_BYTES):
                 found = terms.split(b.column(1)[start:end], CHARACTERS)
                 at, number = known.numbers(found)
                 cells, tf = np.unique(found.row[at] * size + number, return_counts=True)
@@ -121,7 +123,7 @@ def vectors(docs: DataFrame, vocabulary: list[bytes], text: str = "text", doc_id
                 yield pa.RecordBatch.from_arrays([b.column(0)[start:end], n, *lists], names=names)
 
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return own.mapInArrow(run, VECTORS)
+    return map_in_arrow(own, run, VECTORS)
 
 
 def weight(documents: int, holding: int) -> int:
@@ -177,7 +179,9 @@ class Tree:
             line[place[start[b] : start[b + 1]]] -= y[start[b] : start[b + 1]]
             half = np.argsort(self._sums(y * line[place], start), kind="stable")
             middle = len(rows) // 2
-            kind = (self._build(np.sort(rows[half[:middle]])), self._build(np.sort(rows[half[middle:]])))
+            left, right = np.sort(rows[half[:middle]]), np.sort(rows[half[middle:]])
+            del rows, cells, start, place, y, norm, far, line, away, half  # not held while the halves are built
+            kind = (self._build(left), self._build(right))
             below = None
         self.nodes.append((radius, of, mean, excess, kind, below))
         return len(self.nodes) - 1
@@ -289,11 +293,13 @@ def item_terms(items: DataFrame, item_id: str = "item_id", text: str = "text") -
 
 
 def _blocks(scratch: Scratch, wanted: DataFrame) -> Iterator[list]:
-    """The (item, term) rows in blocks of about BLOCK_TERMS, an item in one of them."""
-    total = wanted.count()
-    if total <= BLOCK_TERMS:
-        yield wanted.collect()
+    """The (item, term) rows in blocks of about BLOCK_TERMS, an item in one of them; written only for several blocks."""
+    rows = wanted.limit(BLOCK_TERMS + 1).collect()
+    if len(rows) <= BLOCK_TERMS:
+        yield rows
         return
+    del rows
+    wanted = scratch.write(wanted)
     sizes = ordered(scratch, wanted.groupBy("item_id").agg(F.count(F.lit(1)).alias("rows")), ["item_id"])
     before = W.partitionBy("part").orderBy("row").rowsBetween(W.unboundedPreceding, -1)
     sums = {r["part"]: r["rows"] for r in sizes.groupBy("part").agg(F.sum("rows").alias("rows")).collect()}
@@ -309,9 +315,8 @@ def search(
 ) -> DataFrame:
     """``item_id, rank, doc_id, score``: the k highest-scoring documents of each item."""
     scratch = Scratch(docs.sparkSession, "search")
-    wanted = scratch.write(item_terms(items, item_id, item_text))
     out = None
-    for rows in _blocks(scratch, wanted):
+    for rows in _blocks(scratch, item_terms(items, item_id, item_text)):
         found = scratch.write(_search(scratch, docs, rows, k, text, doc_id))
         out = found if out is None else out.unionByName(found)
     order = W.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
@@ -336,7 +341,7 @@ def _search(scratch: Scratch, docs: DataFrame, rows: list, k: int, text: str, do
     factor = F.call_function("div", F.col("n").cast("decimal(19,0)") * F.lit(LENGTH_SHARE * documents).cast("decimal(18,0)"), F.lit(max(1, length)).cast("decimal(19,0)"))
     ready = own.filter(F.size("dims") > 0).select("doc_id", (factor + (100 - LENGTH_SHARE)).alias("m"), "dims", "tf")
     shared = docs.sparkSession.sparkContext.broadcast((items, weights))
-    return ready.mapInArrow(_search_task(shared, k), FOUND)
+    return map_in_arrow(ready, _search_task(shared, k), FOUND)
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

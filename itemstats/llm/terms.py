@@ -36,13 +36,14 @@ def pattern(digits: bool) -> str:
     return r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+" if digits else r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Consecutive row ranges of ``texts`` with about SLICE_BYTES of text each."""
+def slices(texts: pa.Array, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Consecutive row ranges of ``texts`` with about ``most`` (SLICE_BYTES) bytes of text each."""
+    most = most or SLICE_BYTES
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     end = np.cumsum(size)
     at = 0
     while at < len(size):
-        to = int(np.searchsorted(end, (end[at - 1] if at else 0) + SLICE_BYTES, side="right"))
+        to = int(np.searchsorted(end, (end[at - 1] if at else 0) + most, side="right"))
         to = max(to, at + 1)
         yield at, to
         at = to

@@ -3,13 +3,15 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from itemstats.llm import lexical_search, terms
+from itemstats.llm import common, lexical_search, terms
 from itemstats.llm.lexical_search import Tree, Vocabulary
 from tests.llm.test_terms import lower
 
@@ -136,3 +138,60 @@ def test_empty_tables(frames):
     docs, items = corpus(3, 20)
     for d, i in (([], items), (docs, []), ([(1, None)], items), ([], [])):
         assert lexical_search.search(*frames(d, i)).collect() == []
+
+
+def test_both_passes_take_batches_bounded_by_bytes(spark, monkeypatch):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit, None)
+    rare = F.when(F.col("id") % 1000 == 0, "rare").otherwise("")
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("word "), 2000), rare).alias("text"))
+    items = spark.createDataFrame([(1, "rare")], "item_id long, text string")
+    plain, seen = type(docs).mapInArrow, []
+
+    def watched(self, run, schema):
+        def bounded(batches):
+            def each():
+                for b in batches:
+                    assert b.nbytes < 2 * common.BATCH_BYTES
+                    yield b
+
+            return run(each())
+
+        seen.append(schema)
+        return plain(self, bounded, schema)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", watched)
+    try:
+        spark.conf.unset(limit)
+        got = rows(lexical_search.search(docs, items, k=3))
+    finally:
+        spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
+    assert seen == [lexical_search.VECTORS, lexical_search.FOUND]
+    assert [r[:3] for r in got] == [(1, 1, 0), (1, 2, 1000), (1, 3, 2000)]
+
+
+def test_items_of_one_block_are_not_written(frames, monkeypatch):
+    plain, written = common.Scratch.write, []
+
+    def write(self, df, *partition_by):
+        written.append(df.columns)
+        return plain(self, df, *partition_by)
+
+    monkeypatch.setattr(common.Scratch, "write", write)
+    docs, items = corpus(4, 100)
+    assert rows(lexical_search.search(*frames(docs, items))) == brute(docs, items)
+    assert written == [["doc_id", "n", "dims", "tf"], ["item_id", "doc_id", "score"]]
+
+
+def test_tree_holds_one_level_at_a_time():
+    rnd = np.random.default_rng(6)
+    docs, size = 4096, 64
+    dims = np.concatenate([np.sort(rnd.choice(3000, size, replace=False)) for _ in range(docs)]).astype(np.int32)
+    y = rnd.integers(1, 10**9, docs * size)
+    tracemalloc.start()
+    try:
+        Tree(np.arange(0, docs * size + 1, size), dims, y)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 75 * docs * size
