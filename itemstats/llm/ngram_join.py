@@ -5,19 +5,23 @@ words).  Two documents link when the Jaccard similarity of their sets is at leas
 
 1. One pass over the texts gives per document the set size and a 128-bit digest of the set, and per
    run of sets the shingles that several distinct sets share.  Documents with equal digests are one class,
-   named by half of the digest; one document of a class, that with the smallest id, goes on.  The ``FREQUENT`` shingles shared
-   most form a bounded table that fixes the global order: all others by hash, then those by rising
-   count.  It only orders; any table gives the same result.
+   named by half of the digest; one document of a class, that with the smallest id, goes on.  Two bounded tables fix
+   the global order: shingles of rarer words first (by the counts of ``WORD_BUCKETS`` buckets of words), then by hash,
+   and the ``FREQUENT`` shingles shared most at the end by rising count.  They only order; any tables give the same result.
 2. A second pass emits the prefix of every class: by the prefix filter, sets of sizes n <= m that link
    share at least ``extra(n)`` shingles among the first ``n - ceil(t n) + extra(n)`` of either.
-   Classes meeting in a shingle become candidate pairs, counted over all shingles they meet in.  In
-   a shingle with more than ``STAR`` classes each is tied to the smallest one instead, so a group is
-   never expanded into its pairs; a pair that meets there is connected whatever its count.
+   Classes meeting in a shingle become candidate pairs, counted over all shingles they meet in.  A
+   shingle with more than ``STAR`` classes is never expanded into its pairs: where its classes hold so many of
+   such shingles that a link could consist of them, each is tied to the smallest one of its band of sizes, and
+   connected whatever the count; any other class must meet its links in the remaining ones too, and is counted there.
+   So documents that only have a passage in common fall into no group.
 3. Candidates fall into connected groups.  The sets of a group, globally ordered, are stored in a
    prefix tree whose chains are folded; every set walks the tree level by level from the root, shares
    the overlap counted so far among all sets below a node, and drops a subtree when even its longest
-   remainder could not reach the needed overlap.  Groups over ``BLOCK`` sets are split into pairs of
-   blocks, one tree walk each.  Only a spanning forest of the links leaves a task.
+   remainder could not reach the needed overlap.  Groups over ``BLOCK`` sets are split into blocks: each is walked by
+   itself and against the first one; then sets outside the largest component so far are walked against all
+   others.  In a group of near copies these are few, so what is sent to tasks grows with the group, not with its
+   square.  Only a spanning forest of the links leaves a task.
 4. Components of the links, joined back to the classes, then to all documents.
 
 Word hashes are 64 bits; two shingles are taken as equal when the combined hashes are.
@@ -48,8 +52,14 @@ OVER, UNDER = 80, 100
 #: Shingles ordered last (a bounded table of the most shared ones).
 FREQUENT = 200_000
 STAR = 32
+#: Prefix shingles that linked sets share at least, as far as they are that large; a twentieth of the set comes on top.
+LEAST = 4
 #: Shingles and sets over which shared ones are counted, and prefix shingles returned at once, in a task.
 SHARED_TOKENS, SHARED_SETS, POSTINGS = 2_000_000, 10_000, 250_000
+#: Classes with heavy shingles up to which they are broadcast (16 bytes each).
+BROADCAST = 500_000
+#: Buckets of words, by the highest bits of their hashes, whose counts grade the shingles.
+WORD_BUCKETS, WORD_SHIFT = 1 << 16, np.uint64(48)
 #: Sets per tree walk.
 BLOCK = 1000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -61,47 +71,72 @@ def word_hashes(text: str) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
-    h = word_hashes(text) if text else np.zeros(0, np.uint64)
-    if not len(h):
-        return h
+def _windows(h: np.ndarray, words: int) -> np.ndarray:
+    """Shingle hashes by place, of at least one word."""
     k = min(words, len(h))
     out = np.full(len(h) - k + 1, np.uint64(k))
     for i in range(k):
         out = (out ^ h[i : len(h) - k + 1 + i]) * MULTIPLIER
         out ^= out >> np.uint64(29)
+    return out
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct shingle hashes of a text."""
+    return _distinct(word_hashes(text) if text else np.zeros(0, np.uint64), words)
+
+
+def _distinct(h: np.ndarray, words: int = WORDS) -> np.ndarray:
+    if not len(h):
+        return h
+    out = _windows(h, words)
     out.sort()
     return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
+def graded(text: str | None, grades: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of a text and the sum of the grades of each one's words."""
+    h = word_hashes(text) if text else np.zeros(0, np.uint64)
+    if not len(h):
+        return h, np.zeros(0, np.int64)
+    out = _windows(h, words)
+    own = grades[h >> WORD_SHIFT]
+    total = sum(own[i : i + len(out)] for i in range(min(words, len(h))))
+    order = np.argsort(out, kind="stable")
+    out = out[order]
+    first = np.concatenate([[True], out[1:] != out[:-1]])
+    return out[first], total[order][first]
+
+
 def need(n: int | np.ndarray, m: int | np.ndarray):
     """Smallest overlap with which sets of sizes n and m link."""
     return -(-(OVER * (n + m)) // (OVER + UNDER))
 
 
-def extra(n):
+def extra(n: int) -> int:
     """Prefix shingles that a linked set of size n must share: the plain prefix filter asks for 1."""
-    return 1 + n // 20
+    return min(LEAST + n // 20, -(-OVER * n // UNDER))
 
 
 def prefix_size(n: int) -> int:
     return min(n, n - -(-OVER * n // UNDER) + extra(n))
 
 
-def rank(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Positions that sort ``tokens`` globally: the frequent ones last, by their place there."""
+def rank(tokens: np.ndarray, grade: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Positions that sort ``tokens`` globally: by the grade of their words, then by hash; the frequent ones
+    last, by their place there."""
     at = np.searchsorted(frequent["token"], tokens)
     at[at == len(frequent)] = 0
     known = frequent["token"][at] == tokens if len(frequent) else np.zeros(len(tokens), bool)
     place = np.where(known, frequent["place"][at] + 1, 0) if len(frequent) else np.zeros(len(tokens), np.int64)
-    return np.lexsort((tokens, place))
+    return np.lexsort((tokens, np.where(place > 0, 0, grade), place))
 
 
 def _digests(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, text_key, n, digest halves; and rows (token, count) of shared shingles."""
+    """Per document: doc_id, text_key, n, digest halves; rows (token, count) of shared shingles; and rows
+    (word, count) of the buckets of words that a task meets more often than the mean bucket."""
 
-    names = ["doc_id", "text_key", "n", "one", "two", "token", "times"]
+    names = ["doc_id", "text_key", "n", "one", "two", "token", "times", "word"]
 
     def batch(**columns) -> pa.RecordBatch:
         size = len(next(iter(columns.values())))
@@ -116,10 +151,12 @@ def _digests(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, size = set(), [], 0  # over several batches, whatever their rows
+        words, counted = [], np.zeros(WORD_BUCKETS, np.int64)
         for b in batches:
             n, one, two = [], [], []
             for t in b.column(1):
-                s = shingles(t.as_py())
+                h = word_hashes(t) if (t := t.as_py()) else np.zeros(0, np.uint64)
+                s = _distinct(h)
                 digest = xxhash.xxh3_128_intdigest(s.tobytes())
                 n.append(len(s))
                 one.append((digest >> 64) - (1 << 63))
@@ -128,12 +165,17 @@ def _digests(docs: DataFrame) -> DataFrame:
                     seen.add(digest)
                     held.append(s)
                     size += len(s)
+                    words.append((h >> WORD_SHIFT).astype(np.uint16))
                     if size > SHARED_TOKENS or len(held) >= SHARED_SETS:
                         yield shared(held)
-                        seen, held, size = set(), [], 0
+                        counted += np.bincount(np.concatenate(words), minlength=WORD_BUCKETS)
+                        seen, held, size, words = set(), [], 0, []
             yield batch(doc_id=b.column(0), text_key=b.column(2), n=n, one=one, two=two)
         if held:
             yield shared(held)
+            counted += np.bincount(np.concatenate(words), minlength=WORD_BUCKETS)
+        often = np.flatnonzero(counted * WORD_BUCKETS > counted.sum())
+        yield batch(word=often, times=counted[often])
 
     return common.map_in_arrow(docs.select("doc_id", "text", "text_key"), run, ", ".join(f"{c} long" for c in names))
 
@@ -147,6 +189,15 @@ def _frequent(rows: DataFrame) -> np.ndarray:
     return out
 
 
+def _grades(rows: DataFrame) -> np.ndarray:
+    """Per bucket of words how common it is: the binary logarithm of its share over that of the mean bucket,
+    0 for the others.  Shares don't depend on the number of documents, so neither does the order."""
+    often = rows.filter("word is not null").groupBy("word").agg(F.sum("times").alias("times")).toPandas()  # at most WORD_BUCKETS
+    out, times = np.zeros(WORD_BUCKETS, np.int64), often["times"].to_numpy(np.float64)
+    out[often["word"].to_numpy(np.int64)] = 1 + np.log2(np.maximum(times * WORD_BUCKETS / max(times.sum(), 1), 1))
+    return out
+
+
 class Tree:
     """Ordered sets in a prefix tree with folded chains: nodes in breadth-first order."""
 
@@ -280,10 +331,10 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("rep")
     classes = rows.filter("n > 0").groupBy("set", "n").agg(rep, F.min("doc_id").alias("low"), F.count("*").alias("copies"))
     classes = scratch.write(classes.withColumn("one", F.col("set.one")))
-    candidates = _candidates(scratch, _postings(docs, frequent))
+    candidates = _candidates(scratch, _postings(docs, frequent, _grades(first)))
     groups = common.components(scratch, candidates).withColumnRenamed("node", "one")
     reps = groups.join(classes.select("one", "rep.doc_id", "rep.text_key"), "one").distinct()
-    links = scratch.write(_links(docs, scratch.write(reps)))
+    links = scratch.write(_links(scratch, docs, scratch.write(reps)))
     linked = scratch.write(common.components(scratch, links).withColumnRenamed("node", "one").join(classes.select("one", "low"), "one"))
     lowest = scratch.write(linked.groupBy("component").agg(F.min("low").alias("least"), F.count("*").alias("members")))
     linked = common.join_keyed(linked, lowest, "component", "members", linked.count()).select("one", "component", "least")
@@ -295,20 +346,20 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_key", "component")
 
 
-def _postings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def _postings(docs: DataFrame, frequent: np.ndarray, grades: np.ndarray) -> DataFrame:
     """(token, class, n) for every prefix shingle of every class, once per task and class."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT rows
+    shared = docs.sparkSession.sparkContext.broadcast((frequent, grades))  # at most FREQUENT and WORD_BUCKETS rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for b in batches:
             held, size = [], 0
             for t in b.column(0):
-                s = shingles(t.as_py())
+                s, grade = graded(t.as_py(), shared.value[1])
                 digest = xxhash.xxh3_128_intdigest(s.tobytes())
                 if len(s) and digest not in seen:
                     seen.add(digest)
-                    prefix = s[rank(s, shared.value)[: prefix_size(len(s))]].view(np.int64)
+                    prefix = s[rank(s, grade, shared.value[0])[: prefix_size(len(s))]].view(np.int64)
                     held.append((prefix, (digest >> 64) - (1 << 63), len(s)))
                     size += len(prefix)
                     if size > POSTINGS:
@@ -329,40 +380,91 @@ def _candidates(scratch: common.Scratch, postings: DataFrame) -> DataFrame:
     """Edges (a, b) such that linked classes are in one connected group.  One shuffle by token."""
     n = max(common.partitions(scratch.spark), 1)
     own = postings.repartition(n, "token").distinct()
-    by = own.groupBy("token").agg(F.count("*").alias("times"), F.min("class").alias("low")).filter("times > 1")
+    by = own.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1")
     met = scratch.write(own.join(by.hint("merge"), "token"))
-    few = met.filter(F.col("times") <= STAR).groupBy("token").agg(F.sort_array(F.collect_list(F.struct("class", "n"))).alias("g"))  # at most STAR
+    # of a class: its shingles shared by more than STAR classes, and whether a link could consist of them
+    heavy = scratch.write(met.filter(F.col("times") > STAR).groupBy("class").agg(F.count("*").alias("heavy")))
+    heavy = F.broadcast(heavy) if heavy.count() <= BROADCAST else heavy.hint("merge")
+    rows = met.join(heavy, "class", "left").withColumn("heavy", F.coalesce("heavy", F.lit(0)))
+    rows = rows.withColumn("tied", F.col("heavy") >= _extra(F.ceil(F.col("n") * OVER / UNDER)))
+    few = rows.filter(F.col("times") <= STAR).groupBy("token").agg(F.sort_array(F.collect_list(F.struct("class", "n", "heavy", "tied"))).alias("g"))  # at most STAR
     pairs = (
         few.select(F.posexplode("g").alias("at", "x"), "g")
         .select("x", F.explode(F.slice("g", F.col("at") + 2, STAR)).alias("y"))
-        .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), F.least("x.n", "y.n").alias("lo"), F.greatest("x.n", "y.n").alias("hi"))
+        .select(
+            F.col("x.class").alias("a"), F.col("y.class").alias("b"), F.least("x.n", "y.n").alias("lo"), F.greatest("x.n", "y.n").alias("hi"),
+            # heavy shingles they may share unlisted; two tied classes that share one are connected by it
+            F.when(F.col("x.tied") & F.col("y.tied"), 0).otherwise(F.least("x.heavy", "y.heavy")).alias("unseen"),
+        )
         .filter((F.col("a") != F.col("b")) & (F.col("lo") * UNDER >= F.col("hi") * OVER))
-    )
-    plain = pairs.groupBy("a", "b", "lo").count().filter(F.col("count") >= 1 + F.floor(F.col("lo") / 20)).select("a", "b")
-    star = met.filter((F.col("times") > STAR) & (F.col("class") != F.col("low")))
+    )
+    plain = pairs.groupBy("a", "b", "lo", "unseen").count().filter(F.col("count") >= _extra(F.col("lo")) - F.col("unseen")).select("a", "b")
+    star = rows.filter((F.col("times") > STAR) & F.col("tied"))
+    star = star.withColumn("band", F.explode(F.array(_band("n"), _band("n") + 1)))
+    low = star.groupBy("token", "band").agg(F.min("class").alias("low"))
+    star = star.join(low.hint("merge"), ["token", "band"]).filter(F.col("class") != F.col("low"))
     return plain.unionByName(star.select(F.col("low").alias("a"), F.col("class").alias("b")).distinct())
 
 
-def _links(docs: DataFrame, groups: DataFrame) -> DataFrame:
+def _extra(n: Column) -> Column:
+    """:func:`extra` of a column."""
+    return F.least(LEAST + F.floor(n / 20), F.ceil(n * OVER / UNDER))
+
+
+def _band(n: str) -> Column:
+    """Band of a set's size: sets that link are of the same or of adjacent bands."""
+    return F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(UNDER / OVER)) * (1 - 1e-9))
+
+
+def _links(scratch: common.Scratch, docs: DataFrame, groups: DataFrame) -> DataFrame:
     """Links (a, b) among the classes of each candidate group (component, one, doc_id, text_key)."""
     # the row whose text stands for a class: its doc_id, or without one the name of its text
-    key = F.coalesce("doc_id", "text_key")
     sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
     placed = common.join_keyed(groups, sizes.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")), "component", "members", groups.count())
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("one"), F.col("blocks")).cast("int")).withColumn("row", key).drop("doc_id")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("one"), F.col("blocks")).cast("int")).withColumn("row", F.coalesce("doc_id", "text_key")).drop("doc_id")
+    placed = scratch.write(placed)
+    links = scratch.write(_walked(docs, _first_tasks(placed)))
+    large = placed.filter("blocks > 1")
+    if large.isEmpty():
+        return links
+    found = common.components(scratch, links).select(F.col("node").alias("one"), F.col("component").alias("linked"))
+    large = scratch.write(large.join(found, "one", "left").withColumn("linked", F.coalesce("linked", "one")))
+    return links.unionByName(_walked(docs, _other_tasks(large)))
+
+
+def _first_tasks(placed: DataFrame) -> DataFrame:
+    """Tasks (component, i, j): every block by itself, and (probes) against the first one."""
+    other = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0), F.col("block")))
+    return placed.withColumn("other", F.explode(other)).select(
+        "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).alias("probe"), "one", "row", "text_key"
+    )
+
+
+def _other_tasks(large: DataFrame) -> DataFrame:
+    """Tasks of groups of several blocks: the sets outside a group's largest component (``linked``), in blocks
+    of their own, as probes against all blocks but the first.  Sets of one component need no comparison."""
+    most = large.groupBy("component", "linked").agg(F.count("*").alias("n")).groupBy("component").agg(F.max(F.struct("n", "linked")).alias("most"), F.sum("n").alias("all"))
+    most = most.select("component", F.col("most.linked").alias("most"), F.ceil((F.col("all") - F.col("most.n")) / BLOCK).cast("int").alias("rest"))
+    own = large.join(F.broadcast(most.filter("rest > 0")), "component")  # a row per group of over BLOCK sets
+    probes = own.filter(F.col("linked") != F.col("most")).withColumn("i", F.col("blocks") + F.pmod(F.xxhash64("one"), F.col("rest")).cast("int"))
+    probes = probes.withColumn("j", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)))
+    stored = own.filter("block > 0").withColumn("i", F.explode(F.sequence(F.col("blocks"), F.col("blocks") + F.col("rest") - 1))).withColumn("j", F.col("block"))
+    columns = ["component", "i", "j", "probe", "one", "row", "text_key"]
+    return probes.withColumn("probe", F.lit(True)).select(columns).unionByName(stored.withColumn("probe", F.lit(False)).select(columns))
+
+
+def _walked(docs: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Links (a, b) found in each task (component, i, j): among its sets where i = j, else of probes and others."""
+    key = F.coalesce("doc_id", "text_key")
     # texts that no candidate needs stay out of the shuffle, repeated rows meet before it
-    wanted = groups.select(F.xxhash64(key, "text_key").alias("key"))
+    wanted = tasks.select(F.xxhash64("row", "text_key").alias("key"))
     likely = common.likely(docs.select(key.alias("row"), "text_key", "text"), F.xxhash64("row", "text_key"), wanted).filter("_likely")
-    texts = likely.groupBy("row", "text_key").agg(F.first("text").alias("text")).join(placed.hint("merge"), ["row", "text_key"])
-    tasks = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "one", "text"
-    )
+    texts = likely.groupBy("row", "text_key").agg(F.first("text").alias("text")).join(tasks.hint("merge"), ["row", "text_key"])
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
         own = [shingles(t) for t in pdf["text"]]
-        ids = pdf["one"].to_numpy()
-        e = tree_links(ids, own, None if i == j else (pdf["block"] == j).to_numpy()) if len(own) > 1 else []
+        probes = None if pdf["i"].iloc[0] == pdf["j"].iloc[0] else pdf["probe"].to_numpy(bool)
+        e = tree_links(pdf["one"].to_numpy(), own, probes) if len(own) > 1 else []
         return pd.DataFrame(np.array(e, "int64").reshape(-1, 2), columns=["a", "b"])
 
-    return tasks.groupBy("component", "i", "j").applyInPandas(walk, "a long, b long")
+    return texts.select("component", "i", "j", "probe", "one", "text").groupBy("component", "i", "j").applyInPandas(walk, "a long, b long")

@@ -130,3 +130,46 @@ def test_shared_shingles_are_counted_over_batches(spark):
     assert sorted(r["doc_id"] for r in rows if r["n"] is not None) == list(range(7))
     common_one = np.intersect1d(*map(ngram_join.shingles, texts[:2])).view(np.int64).tolist()
     assert [(r["token"], r["times"]) for r in rows if r["token"] is not None] == [(common_one[0], 4)]
+
+
+def test_a_common_passage_makes_no_group(spark, monkeypatch):
+    """Long documents that share one passage, more of them than STAR, are no candidates of each other; near copies are."""
+    monkeypatch.setattr(ngram_join, "STAR", 4)
+    monkeypatch.setattr(ngram_join, "FREQUENT", 0)
+    rnd = random.Random(5)
+    passage = " ".join(f"common{k}" for k in range(30))
+    texts = [passage + " " + " ".join(f"w{i}x{k}" for k in range(rnd.randrange(700, 900))) for i in range(20)]
+    texts += [t + " end" for t in texts[:2]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    grades = np.zeros(ngram_join.WORD_BUCKETS, np.int64)
+    postings = ngram_join._postings(docs, np.zeros(0, [("token", np.uint64), ("place", np.int64)]), grades)
+    scratch = ngram_join.common.Scratch(spark, "test")
+    edges = {frozenset(e) for e in ngram_join._candidates(scratch, postings).collect()}
+    assert len(edges) == 2 and len(set().union(*edges)) == 4
+
+
+def test_what_tasks_get_grows_with_a_group_of_near_copies(spark):
+    """Sets sent to the tasks of a group: thrice its size where one component holds nearly all, not its square."""
+    blocks = 40
+    rows = [(1, i, i, i, i % blocks, blocks, 7 if i % 400 else i) for i in range(4000)]
+    large = spark.createDataFrame(rows, "component long, one long, row long, text_key long, block int, blocks int, linked long")
+    assert ngram_join._first_tasks(large).count() <= 3 * len(rows)
+    assert ngram_join._other_tasks(large).count() <= 2 * len(rows)
+    assert ngram_join._other_tasks(large.withColumn("linked", large["component"])).count() == 0
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_large_groups_of_blocks_against_brute_force(spark, documents, monkeypatch, seed):
+    monkeypatch.setattr(ngram_join, "STAR", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    rnd = random.Random(seed)
+    base = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(90):  # a chain of drifting copies: links, but not between all
+        if i % 3 == 0:
+            base[rnd.randrange(40)] = f"v{i}"
+        own = list(base)
+        own[rnd.randrange(40)] = f"u{rnd.randrange(4)}"
+        rows.append((i, " ".join(own[: rnd.randrange(34, 41)])))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(documents(rows)).collect()}
+    assert got == brute(rows)
