@@ -10,7 +10,8 @@ prediction is the language with the largest proportion in the chosen set, the sc
 Training reads only text and language of the labelled rows it is given, at most ``TRAIN_DOCS`` of
 each language (chosen by a hash of the id); the model is ``BUCKETS`` counts per language, so what
 reaches the driver does not grow with the corpus.  Prediction is one pass over whole texts; long
-texts are counted in slices, their counts summed.
+texts are counted in slices, their counts summed.  Where ``wanted`` languages are named, an even
+component stands for all languages that were not learnt, and ``share`` is what the wanted ones hold.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; without any labelled
 row every prediction is ``und``; ties go to the first language by name; repeated rows are predicted
@@ -20,7 +21,7 @@ each; an empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import cache
 
 import numpy as np
@@ -40,6 +41,9 @@ SMOOTHING = 0.05
 #: Letters handled at once, so that a batch of very long texts stays within memory.
 SLICE = 1 << 20
 UNKNOWN = "und"
+#: Probability of each trigram in a language that was not learnt, in parts of the mean one.  Well under 1, so that
+#: trigrams not seen in few labelled rows speak against no text.
+STRANGE = 0.1
 
 
 @cache
@@ -165,16 +169,22 @@ def mixtures(found: list[np.ndarray], n: list[np.ndarray], model: np.ndarray) ->
     return out
 
 
-def predict(docs: DataFrame, langs: list[str], model: np.ndarray, text: str = "text", keep: list[Column] | None = None) -> DataFrame:
-    """``keep`` columns, ``lang_pred``, ``score`` and ``languages`` (the chosen set with proportions)."""
+def predict(docs: DataFrame, langs: list[str], model: np.ndarray, text: str = "text", keep: list[Column] | None = None, wanted: Collection[str] | None = None) -> DataFrame:
+    """``keep`` columns, ``lang_pred``, ``score`` and ``languages`` (the chosen set with proportions); with
+    ``wanted``, languages not learnt are a component (``und``) and ``share`` is the proportion of the wanted ones."""
+    if wanted is not None:
+        chosen = np.array([la in wanted for la in langs] + [False])
+        langs, model = [*langs, UNKNOWN], np.column_stack([model, np.full(BUCKETS, np.log(STRANGE / BUCKETS))])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS rows, one column per language
     rows = docs.select(*(keep or []), F.col(text).cast("string").alias("_text"))
     names = rows.columns[:-1]
     schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double").add("languages", "string")
+    if wanted is not None:
+        schema = schema.add("share", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            pred, score, sets = [UNKNOWN] * b.num_rows, [0.0] * b.num_rows, [""] * b.num_rows
+            pred, score, sets, share = [UNKNOWN] * b.num_rows, [0.0] * b.num_rows, [""] * b.num_rows, [0.0] * b.num_rows
             group: list[tuple] = []
 
             def flush() -> None:
@@ -184,6 +194,8 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, text: str = "t
                         best = int(own.argmax())
                         pred[row], score[row] = langs[best], min(1.0, float(own[best]))
                         sets[row] = ",".join(f"{langs[i]}:{own[i]:.3f}" for i in np.flatnonzero(own))
+                        if wanted is not None:
+                            share[row] = float(own[chosen].sum())
                     group.clear()
 
             size = 0
@@ -197,7 +209,7 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, text: str = "t
                         flush()
                         size = 0
             flush()
-            out = [pa.array(pred), pa.array(score), pa.array(sets)]
+            out = [pa.array(pred), pa.array(score), pa.array(sets), *([pa.array(share)] if wanted is not None else [])]
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(names))], *out], names=schema.names)
 
     return common.map_in_arrow(rows, run, schema)

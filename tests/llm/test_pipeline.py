@@ -153,6 +153,16 @@ def test_mixed_languages_and_no_labelled_row(spark, monkeypatch):
     assert 10_001 not in kept(docs.unionByName(extra))
 
 
+def test_documents_in_languages_of_no_labelled_row_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    greek = "η γλώσσα αυτή δεν υπάρχει στις γραμμές που έχουν ετικέτα και το έγγραφο πρέπει να φύγει " * 5
+    known = next(r["text"] for r in docs.orderBy("doc_id").collect() if r["lang"] == "en" and len(r["text"] or "") > 1500)
+    rows = [(10_001, greek), (10_002, known[:900] + greek[:300]), (10_003, known[:150] + greek), (10_004, greek.upper())]
+    extra = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in rows], docs.schema)
+    kept = {r["doc_id"] for r in pipeline.language(spark, docs.unionByName(extra), SF).select("doc_id").collect()}
+    assert {i for i, _ in rows} & kept == {10_002} and len(kept) == docs.count() + 1
+
+
 def test_packed_sequences_hold_their_ids(spark, documents):
     packing = load("test_packing", f"{here}/test_packing.py")
     rows = [(1, "some words " * 3000), (2, None), (3, "a few more"), (4, "naïve text\n" * 900)]
