@@ -58,3 +58,32 @@ def test_empty_and_repeated(spark):
     df = spark.createDataFrame([(5, [1.0, 2.0], 1, 1, 1, 1)] * 3, SCHEMA)
     assert [(r["vec_id"], r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(df).collect()] == [(5, 2, 5)] * 3
     assert embeddings.near_duplicates(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("numbers", [16_000_000, 100])
+def test_slices_of_large_labels_against_brute_force(spark, monkeypatch, numbers):
+    monkeypatch.setattr(embeddings, "BLOCK", 6)
+    monkeypatch.setattr(embeddings, "SLICE", 4)
+    monkeypatch.setattr(embeddings, "CELL", 5)
+    monkeypatch.setattr(embeddings, "NUMBERS", numbers)
+    monkeypatch.setattr(embeddings, "STRIP", (16, 4))
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(5, 8))
+    rows = [(i, [float(x) for x in base[i % 5] + rng.normal(size=8) * rng.choice([0.0, 0.08, 0.12])], int(i % 9 == 0)) for i in range(90)]
+    rows += [(100 + i, [1.0 + i, 2.0], 0) for i in range(3)]
+    df = spark.createDataFrame([(*r, 1, 1, 1) for r in rows], SCHEMA)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(df).collect()}
+    assert got == brute(rows)
+
+
+def test_vectors_are_stored_once(spark, monkeypatch, tmp_path):
+    """However many cells a vector is compared with, it is written once, and not by a shuffle per cell."""
+    monkeypatch.setattr(embeddings, "BLOCK", 10)
+    monkeypatch.setattr(embeddings, "CELL", 10)
+    made = []
+    write = embeddings.common.Scratch.write
+    monkeypatch.setattr(embeddings.common.Scratch, "write", lambda self, df, *a, **b: made.append(write(self, df, *a, **b)) or made[-1])
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=8)], 1, 1, 1, 1) for i in range(200)], SCHEMA)
+    assert embeddings.near_duplicates(df).count() == 200
+    assert sum(t.count() for t in made if "embedding" in t.columns) == 200
